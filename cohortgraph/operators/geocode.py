@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,23 +27,27 @@ def attach_country(
     locations: DataFrame,
     salt_on: str,
     how: str = "left",
+    countries: Sequence[str] | None = None,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Join ``country_short`` on ``user_location``.
 
     ``how="left"`` keeps unknown and null locations with a null country,
-    ``"inner"`` drops them. The location table is measured first: up to
-    ``broadcast_limit`` bytes it is broadcast. Beyond, both sides are shuffled on
+    ``"inner"`` drops them; ``countries`` limits the locations before they are joined.
+    The location table is measured first: up to ``broadcast_limit`` bytes it is
+    broadcast. Beyond, both sides are shuffled on
     (location, salt): a location that many rows share, and the null location, is
     spread over ``SALTS`` tasks by the hash of ``salt_on``, and each location is
     sent to all of them. The salt is a hash, not a random number, so a retried
     task repeats it.
     """
     locations = locations.select("user_location", "country_short")
-    countries = unique_locations(locations)
+    resolved = unique_locations(locations)
+    if countries is not None:
+        resolved = resolved.where(F.col("country_short").isin(list(countries)))
     if text_bytes(locations) <= broadcast_limit:
-        return df.join(F.broadcast(countries), "user_location", how)
+        return df.join(F.broadcast(resolved), "user_location", how)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_on), F.lit(SALTS)))
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
-    countries = countries.withColumn("_salt", F.explode(salts))
-    return salted.join(countries, ["user_location", "_salt"], how).drop("_salt")
+    resolved = resolved.withColumn("_salt", F.explode(salts))
+    return salted.join(resolved, ["user_location", "_salt"], how).drop("_salt")

@@ -12,19 +12,28 @@ from cohortgraph.session import shared_dir
 def country_edges(posts: DataFrame, users: DataFrame) -> DataFrame:
     """Distinct mention edges with both ends in ``users``.
 
-    Edges are made distinct first: repeated mentions are combined map-side and the
-    pair is the shuffle key, so neither a prolific author nor a celebrity forms a
-    hot partition there. Both membership tests are semi joins of plain inputs, the
-    form in which adaptive execution can split a skewed side.
+    Users are counted first. If their ids fit a broadcast, both ends are tested
+    map-side and only edges of the country are shuffled. Otherwise edges are made
+    distinct first: repeated mentions are combined map-side and the pair is the
+    shuffle key, so neither a prolific author nor a celebrity forms a hot partition;
+    the membership tests are then semi joins of plain shuffles, the form in which
+    adaptive execution splits a skewed side.
     """
-    edges = (
-        posts.select("user_id", F.explode("tweet_mentioned_user_id").alias("neighbor_id"))
-        .where(F.col("user_id").isNotNull() & F.col("neighbor_id").isNotNull())
-        .distinct()
-    )
     ends = users.select("user_id")
-    return edges.join(ends, "user_id", "left_semi").join(
-        ends.withColumnRenamed("user_id", "neighbor_id"), "neighbor_id", "left_semi"
+    mentions = posts.select("user_id", "tweet_mentioned_user_id")
+    few_users = id_rows_fit(ends.count())
+    if few_users:
+        ends = F.broadcast(ends)
+        mentions = mentions.join(ends, "user_id", "left_semi")
+    edges = mentions.select("user_id", F.explode("tweet_mentioned_user_id").alias("neighbor_id"))
+    targets = ends.withColumnRenamed("user_id", "neighbor_id")
+    if few_users:
+        return edges.join(F.broadcast(targets), "neighbor_id", "left_semi").select("user_id", "neighbor_id").distinct()
+    edges = edges.where(F.col("user_id").isNotNull() & F.col("neighbor_id").isNotNull()).distinct()
+    return (
+        edges.join(ends, "user_id", "left_semi")
+        .join(targets, "neighbor_id", "left_semi")
+        .select("user_id", "neighbor_id")
     )
 
 

@@ -24,9 +24,8 @@ def post_urls(
     has one row per id, so no shuffle is needed; for other inputs ``unique_posts=False``
     keeps one row per post.
     """
-    wanted = locations.where(F.col("country_short").isin(list(countries)))
     narrow = posts.select("tweet_id", "user_location", "tweet_urls").where(F.size("tweet_urls") > 0)
-    located = attach_country(narrow, wanted, salt_on="tweet_id", how="inner")
+    located = attach_country(narrow, locations, salt_on="tweet_id", how="inner", countries=countries)
     if all_urls:
         return located.select("tweet_id", F.explode("tweet_urls").alias("url"), "country_short")
     first = located.select("tweet_id", F.get("tweet_urls", F.lit(0)).alias("url"), "country_short")
