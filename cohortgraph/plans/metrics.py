@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortgraph.functions.columns import ceil_div
 
-# Parts of a pull file name. Posts:
-#   user_timeline_<u>[_users][_<r>_requests][_<t>_tweets]_<CC>_<ddmmyyyy>_<full|update>…
-# users: lookup_users_<n>_<ddmmyyyy>_…; friends: friends_ids_<CC>_<n>_users_<yyyy>_<mm>_<dd>_…
+# Parts of a pull file name. Post files are named
+#   user_timeline_<u>[_users][_<r>_requests][_<t>_tweets][_<CC>]_<date>_[…_]<full|update>_…
+# user files lookup_users_<n>_<date>_…, friend files friends_ids_<CC>_<n>_users_<yyyy>_<mm>_<dd>_…
 MANIFEST_PATTERNS = {
     "n_users": r"^user_timeline_(\d+)_|^lookup_users_(\d+)_|^friends_ids_[A-Z]{2}_(\d+)_users_",
     "n_requests": r"_(\d+)_requests_",
     "n_tweets": r"_(\d+)_tweets_",
     "country_short": r"_([A-Z]{2})_",
-    "pull_date": r"_(\d{8})_",
+    "pull_date": (
+        r"^user_timeline_.*?_(?:[A-Z]{2}|tweets)_(\d{6}|\d{8})_"
+        r"|^lookup_users_\d+_(\d{8})_"
+        r"|_users_(\d{4}_\d{2}_\d{2})_"
+    ),
     "pull_type": r"_(full|update)_",
 }
 
@@ -85,7 +91,7 @@ def parse_pull_names(names: DataFrame, column: str = "file_name") -> DataFrame:
     name = F.col(column)
 
     def part(pattern: str) -> Column:
-        groups = [F.nullif(F.regexp_extract(name, pattern, g + 1), F.lit("")) for g in range(pattern.count("("))]
+        groups = [F.nullif(F.regexp_extract(name, pattern, g + 1), F.lit("")) for g in range(re.compile(pattern).groups)]
         return F.coalesce(*groups)
 
     parts = {field: part(pattern) for field, pattern in MANIFEST_PATTERNS.items()}
