@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortgraph.functions.columns import TIME_TEXT_FORMAT_WITH_DAY
+from cohortgraph.schemas import user_column
 from cohortgraph.session import use_utc
 
 UNRESOLVED_REGION = "MIDDLE EAST"
@@ -73,7 +74,6 @@ def _post_columns() -> list[Column]:
     return [
         text("event_id").alias("tweet_id"),
         post_time().alias("tweet_timestamp"),
-        text("user_id").alias("user_id"),
         F.when(F.col("event_type") == "view", F.array(F.get_json_object("props", "$.k"))).alias(
             "tweet_mentioned_user_id"
         ),
@@ -84,17 +84,24 @@ def _post_columns() -> list[Column]:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts without their author's profile."""
-    return table(spark, sf_dir, "events").select(*_post_columns())
+    return table(spark, sf_dir, "events").select(text("user_id").alias("user_id"), *_post_columns())
+
+
+def _with_author(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
+    """Events with the customer and nation columns of their author. Customers are joined
+    before the small tables, so no wide customer table has to be built first."""
+    customer, nation = table(spark, sf_dir, "customer"), nations(spark, sf_dir)
+    return events.join(customer, F.col("user_id") == F.col("c_custkey"), "left").join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
+    )
 
 
 def profiled_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts with their author's profile."""
-    authors = customers(spark, sf_dir).select(F.col("c_custkey").alias("author"), *_user_columns())
-    authors = authors.drop("user_id", "user_statuses_count")
-    events = table(spark, sf_dir, "events").select(
-        *_post_columns(), F.col("event_id").alias("user_statuses_count"), F.col("user_id").alias("author")
-    )
-    return events.join(authors, "author", "left").drop("author")
+    authored = _with_author(spark, sf_dir, table(spark, sf_dir, "events"))
+    # Statuses grow with every post, so a post's record counts those up to it.
+    profile = _user_columns({"statuses_count": F.col("event_id")})
+    return authored.select(*_post_columns(), *profile)
 
 
 def _raw_user() -> dict[str, Column]:
@@ -120,42 +127,38 @@ def _raw_user() -> dict[str, Column]:
     }
 
 
-def _user_columns() -> list[Column]:
+def _user_columns(changes: dict[str, Column]) -> list[Column]:
     """The same as table columns: creation time in seconds, names with a prefix."""
-    raw = _raw_user() | {"created_at": F.lit(FIRST_ACCOUNT) + F.col("c_custkey") * 3600}
-    names = {"created_at": "user_timestamp", "id_str": "user_id"}
-    return [value.alias(names.get(name, f"user_{name}")) for name, value in raw.items()]
+    raw = _raw_user() | {"created_at": F.lit(FIRST_ACCOUNT) + F.col("c_custkey") * 3600} | changes
+    return [value.alias(user_column(field)) for field, value in raw.items()]
 
 
-def _raw_user_fields() -> list[Column]:
-    return [value.alias(name) for name, value in _raw_user().items()]
+def _raw_user_fields(changes: dict[str, Column] | None = None) -> list[Column]:
+    return [value.alias(field) for field, value in (_raw_user() | (changes or {})).items()]
 
 
 def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested posts as pulled: views carry a link, signups a place, purchases coordinates."""
-    kind, k = F.col("event_type"), F.get_json_object("props", "$.k")
-    # Statuses grow with every post, so a post's record counts those up to it.
-    user = [value for value in _raw_user_fields()]
-    authors = customers(spark, sf_dir).select(F.col("c_custkey").alias("author"), F.struct(*user).alias("user"), "r_name")
-    events = table(spark, sf_dir, "events").withColumn("author", F.col("user_id")).drop("user_id")
-    id_struct = F.struct(k.alias("id_str"))
-    return events.join(authors, "author", "left").select(
+    authored = _with_author(spark, sf_dir, table(spark, sf_dir, "events"))
+    kind = F.col("event_type")
+    target = F.struct(F.get_json_object("props", "$.k").alias("id_str"))
+    link = F.struct(F.concat(F.lit("https://example.org/post/"), text("event_id")).alias("expanded_url"))
+    place = F.struct(F.col("r_name").alias("country_code"), F.col("n_name").alias("full_name"))
+    point = F.struct(F.array("value", -F.col("value")).alias("coordinates"))
+    return authored.select(
         text("event_id").alias("id_str"),
         time_text(post_time()).alias("created_at"),
         F.substring("event_type", 1, 2).alias("lang"),
         F.concat_ws(" ", "event_type", "props").alias("full_text"),
         _target("purchase").alias("in_reply_to_user_id_str"),
-        F.when(kind == "click", F.struct(id_struct.alias("user"))).alias("retweeted_status"),
+        F.when(kind == "click", F.struct(target.alias("user"))).alias("retweeted_status"),
         F.struct(
-            F.when(kind == "view", F.array(id_struct)).alias("user_mentions"),
-            F.when(
-                kind == "view",
-                F.array(F.struct(F.concat(F.lit("https://example.org/post/"), text("event_id")).alias("expanded_url"))),
-            ).alias("urls"),
+            F.when(kind == "view", F.array(target)).alias("user_mentions"),
+            F.when(kind == "view", F.array(link)).alias("urls"),
         ).alias("entities"),
-        F.when(kind == "signup", F.struct(F.col("r_name").alias("country_code"), F.col("user.location").alias("full_name"))).alias("place"),
-        F.when(kind == "purchase", F.struct(F.array("value", -F.col("value")).alias("coordinates"))).alias("coordinates"),
-        F.col("user").withField("statuses_count", F.col("event_id")).alias("user"),
+        F.when(kind == "signup", place).alias("place"),
+        F.when(kind == "purchase", point).alias("coordinates"),
+        F.struct(*_raw_user_fields({"statuses_count": F.col("event_id")})).alias("user"),
     )
 
 
