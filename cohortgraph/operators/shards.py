@@ -23,26 +23,25 @@ def exact_positions(df: DataFrame, key: str, by: Sequence[str], seed: int) -> Da
     evenly over 4,096 buckets instead: rows are numbered inside their bucket, and
     bucket counts (at most 4,096 small rows per group) give each bucket its offset.
     """
-    hashed = df.withColumn("_hash", shuffle_hash(key, seed)).withColumn(
-        "_bucket", F.substring("_hash", 1, BUCKET_DIGITS)
-    )
-    counts = hashed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    group = Window.partitionBy(*by)
+    # A struct is never null and its null fields are equal, so the null group is joined as
+    # any other and the rows keep the partitioning of the window.
+    hashed = df.withColumns(
+        {"_hash": shuffle_hash(key, seed), "_group": F.struct(*[F.col(name) for name in by])}
+    ).withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
+    counts = hashed.groupBy("_group", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy("_group")
     before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *[F.col(name).alias(f"_by_{name}") for name in by],
-        F.col("_bucket").alias("_by_bucket"),
+        "_group",
+        "_bucket",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
         F.sum("_n").over(group).alias("group_size"),
     )
-    numbered = hashed.withColumn(
-        "_row", F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy("_hash", key))
-    )
-    same_bucket = F.col("_bucket") == F.col("_by_bucket")
-    for name in by:
-        same_bucket &= F.col(name).eqNullSafe(F.col(f"_by_{name}"))
-    return numbered.join(offsets, same_bucket).select(
-        *df.columns, (F.col("_offset") + F.col("_row") - 1).alias("position"), "group_size"
+    row = F.row_number().over(Window.partitionBy("_group", "_bucket").orderBy("_hash", key))
+    return (
+        hashed.withColumn("_row", row)
+        .join(offsets, ["_group", "_bucket"])
+        .select(*df.columns, (F.col("_offset") + F.col("_row") - 1).alias("position"), "group_size")
     )
 
 

@@ -1,40 +1,39 @@
-"""One row per key, chosen by a stated order."""
+"""One row per key, chosen by a stated order.
+
+Both forms thin the rows map-side: every map task sends at most one row per key, so a
+key holding any share of the input (copies, a hot author) costs no more than another.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def keep_greatest(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    where: Column | None = None,
-    aggregates: Sequence[Column] = (),
-) -> DataFrame:
-    """Per key, the whole row with the greatest ``order`` (nulls lowest).
+def keep_greatest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Per key, the row with the greatest ``order``, nulls lowest. Columns keep their order.
 
-    Rows failing ``where`` cannot be chosen, and a key without a choosable row is
-    left out; ``aggregates`` still see all rows of the key. This is a single
-    aggregation: every map task sends at most one row per key, so a key holding
-    any share of the input (copies, a hot author) costs no more than another.
+    Spark plans the first row number as a group limit, before and after the shuffle.
     """
-    values = [name for name in df.columns if name not in keys]
-    rank = F.struct(*[column.alias(f"o{i}") for i, column in enumerate(order)])
-    if where is not None:
-        rank = F.when(where, rank)
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*values), rank).alias("_best"), *aggregates)
-    if where is not None:
-        best = best.where(F.col("_best").isNotNull())
-    extra = best.columns[len(keys) + 1 :]
-    return best.select(*keys, *[F.col("_best")[name].alias(name) for name in values], *extra)
+    ranked = Window.partitionBy(*keys).orderBy(*[column.desc_nulls_last() for column in order])
+    return df.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def drop_copies(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """De-duplicate on ``keys``: greatest ``order`` first, then a hash of the whole
-    row, so the survivor does not depend on task timing. Columns keep their order."""
-    row_hash = F.xxhash64(*df.columns)
-    return keep_greatest(df, keys, [*order, row_hash]).select(*df.columns)
+    """De-duplicate on ``keys``: greatest ``order`` first, then a hash of the whole row,
+    so the survivor does not depend on task timing."""
+    return keep_greatest(df, keys, [*order, F.xxhash64(*df.columns)])
+
+
+def greatest_and_totals(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], where: Column, totals: Sequence[Column]
+) -> DataFrame:
+    """As ``keep_greatest`` among the rows passing ``where``, plus aggregates over all rows
+    of the key, in one aggregation. A key without a row to choose is left out."""
+    values = [name for name in df.columns if name not in keys]
+    rank = F.when(where, F.struct(*[column.alias(f"o{i}") for i, column in enumerate(order)]))
+    grouped = df.groupBy(*keys).agg(F.max_by(F.struct(*values), rank).alias("_best"), *totals)
+    chosen = grouped.where(F.col("_best").isNotNull())
+    return chosen.select(*keys, "_best.*", *grouped.columns[len(keys) + 1 :])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortgraph.operators.sizing import id_rows_fit
-from cohortgraph.session import shared_dir
+from cohortgraph.session import materialize
 
 
 def country_edges(posts: DataFrame, users: DataFrame) -> DataFrame:
@@ -47,11 +47,10 @@ def level_members(
     files: plans do not grow, nothing is recomputed, and a lost executor costs a
     re-read. A frontier is broadcast only if its counted rows fit.
     """
-    shared_dir(posts.sparkSession)
     users = profiles.where(F.col("country_short") == country).select("user_id")
-    edges = country_edges(posts, users).checkpoint()
+    edges = materialize(country_edges(posts, users))
     reached = seeds.select("user_id").distinct().join(users, "user_id", "left_semi")
-    frontier = reached.withColumn("level", F.lit(0)).checkpoint()
+    frontier = materialize(reached.withColumn("level", F.lit(0)))
     members = frontier
     for level in range(1, depth + 1):
         n_frontier = frontier.count()
@@ -61,7 +60,8 @@ def level_members(
         if id_rows_fit(n_frontier):
             sources = F.broadcast(sources)
         targets = edges.join(sources, "user_id", "left_semi").select(F.col("neighbor_id").alias("user_id")).distinct()
-        frontier = targets.join(members, "user_id", "left_anti").withColumn("level", F.lit(level)).checkpoint()
+        fresh = targets.join(members, "user_id", "left_anti")
+        frontier = materialize(fresh.withColumn("level", F.lit(level)))
         members = members.unionByName(frontier)
     return members
 

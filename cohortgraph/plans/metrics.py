@@ -30,19 +30,22 @@ def monthly_counts(df: DataFrame, timestamp: str, start: str | None = None, key:
     """(month_end, n_users): rows per month between the first and last month, months
     without rows as 0; only months ending on or after ``start``.
 
-    Rows are reduced to months first; the calendar is built from those few rows.
+    Rows are reduced to months in one pass. The months, a few hundred at most, become
+    one map that the calendar looks itself up in.
     """
     month = F.trunc(timestamp, "month").alias("month")
-    counts = (
-        df.where(F.col(timestamp).isNotNull()).groupBy(month).agg(F.count(key).alias("n_users"))
+    counts = df.where(F.col(timestamp).isNotNull()).groupBy(month).agg(F.count(key).alias("n_users"))
+    span = counts.agg(
+        F.min("month").alias("first"),
+        F.max("month").alias("last"),
+        F.map_from_entries(F.collect_list(F.struct("month", "n_users"))).alias("by_month"),
     )
-    calendar = counts.agg(F.min("month").alias("first"), F.max("month").alias("last")).select(
-        F.explode(F.sequence("first", "last", F.expr("interval 1 month"))).alias("month")
+    months = span.select("by_month", F.explode(F.sequence("first", "last", F.expr("interval 1 month"))).alias("month"))
+    result = months.select(
+        F.last_day("month").alias("month_end"),
+        F.coalesce(F.try_element_at("by_month", F.col("month")), F.lit(0)).alias("n_users"),
     )
-    months = calendar.join(counts, "month", "left").select(
-        F.last_day("month").alias("month_end"), F.coalesce("n_users", F.lit(0)).alias("n_users")
-    )
-    return months if start is None else months.where(F.col("month_end") >= F.lit(start).cast("date"))
+    return result if start is None else result.where(F.col("month_end") >= F.lit(start).cast("date"))
 
 
 def posts_per_user(posts: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortgraph.functions.columns import flatten_users, numeric_id
 from cohortgraph.operators.geocode import attach_country
-from cohortgraph.operators.survivors import drop_copies, keep_greatest
+from cohortgraph.operators.survivors import drop_copies, greatest_and_totals
 from cohortgraph.schemas import PROFILE_COLUMNS, USER_COLUMNS
 
 
@@ -17,12 +17,12 @@ def latest_posts(posts: DataFrame) -> DataFrame:
     Users whose post times are all null have no newest post and drop out, while
     posts without a time still count for the others.
     """
-    return keep_greatest(
-        posts,
+    return greatest_and_totals(
+        posts.where(F.col("user_id").isNotNull()),
         ["user_id"],
-        [F.col("tweet_timestamp"), numeric_id("tweet_id"), F.col("tweet_id")],
-        where=F.col("tweet_timestamp").isNotNull() & F.col("user_id").isNotNull(),
-        aggregates=[F.count("tweet_id").alias("tweet_count")],
+        order=[F.col("tweet_timestamp"), numeric_id("tweet_id"), F.col("tweet_id")],
+        where=F.col("tweet_timestamp").isNotNull(),
+        totals=[F.count("tweet_id").alias("tweet_count")],
     )
 
 

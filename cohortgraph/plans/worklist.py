@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortgraph.functions.columns import numeric_id
 from cohortgraph.operators.shards import assign_shards
 from cohortgraph.operators.survivors import keep_greatest
+from cohortgraph.session import materialize
 
 
 def in_countries(countries: Sequence[str]) -> Column:
@@ -70,9 +71,13 @@ def select_work(
     batch: DataFrame, countries: Sequence[str], pull_type: str, n_shards: int, seed: int = 0, **options
 ) -> DataFrame:
     """The work list of a pull: filtered, one row per user, shuffled and sharded per
-    country. ``options`` are those of ``work_filters``."""
+    country. ``options`` are those of ``work_filters``.
+
+    The chosen users are written out once, because counting and numbering the shuffled
+    list read them separately.
+    """
     users = select_users(batch, work_filters(countries, pull_type, **options))
-    return assign_shards(users, n_shards, seed=seed)
+    return assign_shards(materialize(users), n_shards, seed=seed)
 
 
 def newer_than_mark(posts: DataFrame, marks: DataFrame) -> DataFrame:

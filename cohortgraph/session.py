@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "cohortgraph", **conf: str) -> SparkSession:
@@ -50,3 +50,9 @@ def shared_dir(spark: SparkSession) -> str:
             configured = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(configured)
     return configured or current
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Rows written to the shared folder, for a result that several branches read."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
