@@ -24,9 +24,10 @@ def exact_positions(df: DataFrame, key: str, by: Sequence[str], seed: int) -> Da
     bucket counts (at most 4,096 small rows per group) give each bucket its offset.
     """
     # A struct is never null and its null fields are equal, so the null group is joined as
-    # any other and the rows keep the partitioning of the window.
+    # any other and the rows keep the partitioning of the window. The constant stands for
+    # an empty ``by``.
     hashed = df.withColumns(
-        {"_hash": shuffle_hash(key, seed), "_group": F.struct(*[F.col(name) for name in by])}
+        {"_hash": shuffle_hash(key, seed), "_group": F.struct(F.lit(0), *by)}
     ).withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
     counts = hashed.groupBy("_group", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     group = Window.partitionBy("_group")
@@ -48,7 +49,7 @@ def exact_positions(df: DataFrame, key: str, by: Sequence[str], seed: int) -> Da
 def assign_shards(
     df: DataFrame, n_shards: int, by: Sequence[str] = ("country_short",), key: str = "user_id", seed: int = 0
 ) -> DataFrame:
-    """Seeded shuffle of each group, cut into ``n_shards`` runs whose sizes differ by at
+    """Seeded shuffle of each group (``by=()``: of all rows), cut into ``n_shards`` runs whose sizes differ by at
     most one, the longer ones first. Adds ``shard`` and ``shard_position`` (from 0)."""
     size, position = F.col("group_size"), F.col("position")
     short = F.floor(size / F.lit(n_shards))
