@@ -1,5 +1,6 @@
 """The sampling loop end to end through the command line, on files."""
 
+import bz2
 import json
 
 import pytest
@@ -23,9 +24,7 @@ def root(spark, tmp_path, rows):
     write_bz2_array(zone / "XA" / "01102018" / "full" / name, first)
     second = [post("3", "b", "Here", 3, ["c"]), post("4", "d", "There", 4, in_reply_to_user_id_str="b"), post("5", "c", "Here", 5)]
     write_bz2_array(zone / "XB" / "04102018" / "update" / name.replace("XA_01", "XB_04"), second)
-    broken = zone / "XB" / "04102018" / "update" / "broken.json.bz2"
-    write_bz2_array(broken, [])
-    broken.write_bytes(broken.read_bytes().replace(b"[]", b"["))
+    (zone / "XB" / "04102018" / "update" / "broken.json.bz2").write_bytes(bz2.compress(b'[{"id_str": '))
     write_bz2_array(tmp_path / "lookup_users" / "API" / "102018" / "u.json.bz2", [raw_user("b", "Here"), raw_user("e", "Here")])
     places = rows("user_location string, country_short string", ("Here", "XA"), ("There", "XB"))
     places.write.parquet(f"{tmp_path}/preprocessed/locations/locations_geocoded.parquet")
