@@ -184,7 +184,7 @@ def geocode_inner_shuffled(spark: SparkSession, sf: str) -> DataFrame:
 @query("users_batch")
 def users_batch(spark: SparkSession, sf: str) -> DataFrame:
     customer = given.table(spark, sf, "customer").where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
-    known = customer.select(given.text("c_custkey").alias("user_id"))
+    known = customer.selectExpr("CAST(c_custkey AS string) AS user_id")
     return batches.users_batch(given.seeds(spark, sf), _snowball(spark, sf), known)
 
 
@@ -262,6 +262,21 @@ def select_work_update(spark: SparkSession, sf: str) -> DataFrame:
     return plain_time(worklist.select_work(_batch(spark, sf), WORK_COUNTRIES, "update", N_SHARDS, **WORK_WINDOW))
 
 
+@query("select_users")
+def select_users(spark: SparkSession, sf: str) -> DataFrame:
+    """Filter and de-duplicate the largest table, order lines as a batch with several rows per user."""
+    batch = given.table(spark, sf, "lineitem").selectExpr(
+        "CAST(l_orderkey AS string) AS user_id",
+        "l_returnflag AS country_short",
+        "concat(l_orderkey, l_partkey, l_linenumber) AS tweet_id",
+        "CAST(l_shipdate AS timestamp) AS tweet_timestamp",
+        "CAST(l_tax = 0 AS int) AS is_seed",
+    )
+    window = {"min_timestamp": "1996-01-01", "max_timestamp": "1999-07-01"}
+    filters = worklist.work_filters(["A", "R"], "update", drop_seeds=True, **window)
+    return plain_time(worklist.select_users(batch, filters))
+
+
 @query("shard_sizes")
 def shard_sizes(spark: SparkSession, sf: str) -> DataFrame:
     shards = assign_shards(given.country_users(spark, sf), N_SHARDS)
@@ -315,23 +330,23 @@ def filter_funnel(spark: SparkSession, sf: str) -> DataFrame:
 @query("pull_manifest")
 def pull_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Names of one pull file per customer segment, country and day, read back."""
-    events = given.table(spark, sf, "events").withColumnRenamed("user_id", "author")
-    authors = given.customers(spark, sf).select("c_custkey", "c_mktsegment", "r_name")
-    day = F.date_format(F.col("ts").cast("timestamp"), "ddMMyyyy").alias("day")
     files = (
-        events.join(authors, F.col("author") == F.col("c_custkey"))
-        .groupBy(F.upper(F.substring("r_name", 1, 2)).alias("cc"), day, "c_mktsegment")
+        given.authored_events(spark, sf)
+        .groupBy(
+            F.upper(F.substring("r_name", 1, 2)).alias("cc"),
+            F.date_format(F.col("ts").cast("timestamp"), "ddMMyyyy").alias("day"),
+            "c_mktsegment",
+        )
         .agg(
-            F.count_distinct("author").alias("users"),
+            F.count_distinct("user_id").alias("users"),
             F.count(F.lit(1)).alias("posts"),
             F.count_if(F.col("event_type") == "view").alias("views"),
         )
     )
-    pull_type = F.when(F.col("c_mktsegment") == "BUILDING", "full").otherwise("update")
-    name = F.format_string(
-        "user_timeline_%d_users_%d_requests_%d_tweets_%s_%s_%s_min_timestamp=01012024_12345678_0_%s.json.bz2",
-        "users", "views", "posts", "cc", "day", pull_type, F.lower("c_mktsegment"),
-    )
+    name = F.expr("""
+        format_string('user_timeline_%d_users_%d_requests_%d_tweets_%s_%s_%s_min_timestamp=01012024_12345678_0_%s.json.bz2',
+                      users, views, posts, cc, day, if(c_mktsegment = 'BUILDING', 'full', 'update'),
+                      lower(c_mktsegment))""")
     return metrics.pull_manifest(files.select(name.alias("file_name")))
 
 

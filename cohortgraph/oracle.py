@@ -264,6 +264,18 @@ ORACLE_SQL = {
                                    AND tweet_timestamp > TIMESTAMP '2024-01-29 06:00:00')'''))}""",
         *BATCH,
     ),
+    "select_users": """
+        SELECT * EXCLUDE (pick) FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY tweet_timestamp DESC,
+                       CAST(tweet_id AS BIGINT) DESC, country_short DESC) AS pick
+            FROM (SELECT CAST(l_orderkey AS VARCHAR) AS user_id, l_returnflag AS country_short,
+                         CAST(l_orderkey AS VARCHAR) || CAST(l_partkey AS VARCHAR) || CAST(l_linenumber AS VARCHAR)
+                             AS tweet_id,
+                         l_shipdate AS tweet_timestamp, CAST(l_tax = 0 AS INTEGER) AS is_seed
+                  FROM lineitem)
+            WHERE country_short IN ('A', 'R') AND is_seed = 0
+              AND tweet_timestamp < TIMESTAMP '1999-07-01' AND tweet_timestamp > TIMESTAMP '1996-01-01')
+        WHERE pick = 1""",
     "shard_sizes": sql(
         f"""SELECT country_short, shard, count(*) AS n_users
             FROM ({SHARDED.format(source="country_users")}) GROUP BY country_short, shard""",

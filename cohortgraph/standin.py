@@ -8,34 +8,64 @@ unresolved ones exist.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from cohortgraph.functions.columns import TIME_TEXT_FORMAT_WITH_DAY
 from cohortgraph.schemas import user_column
 from cohortgraph.session import use_utc
 
-UNRESOLVED_REGION = "MIDDLE EAST"
-SEED_BALANCE = 9500
-FIRST_ACCOUNT = 1_400_000_000
-FIRST_STATUS = 1_600_000_000
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey long, l_partkey long, l_linenumber int, l_tax double, l_returnflag string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "lang string",
+    "pages": "page_id long, url string, html string",
+}
+
+TARGET = "get_json_object(props, '$.k')"
+POST_TIME = "unix_seconds(CAST(ts AS timestamp))"
+ACCOUNT_TIME = "1400000000 + c_custkey * 3600"
+TIME_TEXT = "date_format(timestamp_seconds({}), 'EEE MMM dd HH:mm:ss Z yyyy')"
+
+POST_COLUMNS = [
+    "CAST(event_id AS string) AS tweet_id",
+    f"{POST_TIME} AS tweet_timestamp",
+    f"CASE WHEN event_type = 'view' THEN array({TARGET}) END AS tweet_mentioned_user_id",
+    f"CASE WHEN event_type = 'click' THEN {TARGET} END AS tweet_retweeted_user_id",
+    f"CASE WHEN event_type = 'purchase' THEN {TARGET} END AS tweet_in_reply_to_user_id",
+]
+
+# Raw user fields of a customer and its nation. All fields depend on the row.
+USER_FIELDS = {
+    "created_at": TIME_TEXT.format(ACCOUNT_TIME),
+    "default_profile_image": "c_acctbal < 0",
+    "description": "c_mktsegment",
+    "favourites_count": "floor(abs(c_acctbal))",
+    "followers_count": "CAST(c_nationkey AS long)",
+    "friends_count": "CAST(n_regionkey AS long)",
+    "geo_enabled": "c_mktsegment = 'BUILDING'",
+    "id_str": "CAST(c_custkey AS string)",
+    "location": "n_name",
+    "name": "c_name",
+    "notifications": "c_mktsegment = 'FURNITURE'",
+    "profile_image_url_https": "'https://example.org/image/' || c_custkey",
+    "protected": "c_mktsegment = 'AUTOMOBILE'",
+    "screen_name": "lower(c_name)",
+    "statuses_count": "c_custkey + 1",
+    "url": "CASE WHEN c_mktsegment <> 'MACHINERY' THEN 'https://example.org/' || c_custkey END",
+    "verified": "c_acctbal > 9500",
+}
+# A post's record counts its author's statuses up to it.
+AUTHOR_FIELDS = USER_FIELDS | {"statuses_count": "event_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     use_utc(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
-def post_time() -> Column:
-    return F.unix_seconds(F.col("ts").cast("timestamp"))
-
-
-def time_text(seconds: Column) -> Column:
-    return F.date_format(F.timestamp_seconds(seconds), TIME_TEXT_FORMAT_WITH_DAY)
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,11 +74,11 @@ def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nations(spark, sf_dir).select(F.col("n_name").alias("user_location"), F.col("r_name").alias("country_short"))
+    return nations(spark, sf_dir).selectExpr("n_name AS user_location", "r_name AS country_short")
 
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return all_locations(spark, sf_dir).where(F.col("country_short") != UNRESOLVED_REGION)
+    return all_locations(spark, sf_dir).where("country_short <> 'MIDDLE EAST'")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,152 +88,103 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def country_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, country_short) of every customer."""
-    return customers(spark, sf_dir).select(text("c_custkey").alias("user_id"), F.col("r_name").alias("country_short"))
+    return customers(spark, sf_dir).selectExpr("CAST(c_custkey AS string) AS user_id", "r_name AS country_short")
 
 
 def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer").where(F.col("c_acctbal") > SEED_BALANCE)
-    return customer.select(text("c_custkey").alias("user_id"))
-
-
-def _target(event_type: str) -> Column:
-    return F.when(F.col("event_type") == event_type, F.get_json_object("props", "$.k"))
-
-
-def _post_columns() -> list[Column]:
-    return [
-        text("event_id").alias("tweet_id"),
-        post_time().alias("tweet_timestamp"),
-        F.when(F.col("event_type") == "view", F.array(F.get_json_object("props", "$.k"))).alias(
-            "tweet_mentioned_user_id"
-        ),
-        _target("click").alias("tweet_retweeted_user_id"),
-        _target("purchase").alias("tweet_in_reply_to_user_id"),
-    ]
+    customer = table(spark, sf_dir, "customer").where("c_acctbal > 9500")
+    return customer.selectExpr("CAST(c_custkey AS string) AS user_id")
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts without their author's profile."""
-    return table(spark, sf_dir, "events").select(text("user_id").alias("user_id"), *_post_columns())
+    return table(spark, sf_dir, "events").selectExpr("CAST(user_id AS string) AS user_id", *POST_COLUMNS)
 
 
-def _with_author(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
+def authored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the customer and nation columns of their author. Customers are joined
     before the small tables, so no wide customer table has to be built first."""
-    customer, nation = table(spark, sf_dir, "customer"), nations(spark, sf_dir)
-    return events.join(customer, F.col("user_id") == F.col("c_custkey"), "left").join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
+    events, customer = table(spark, sf_dir, "events"), table(spark, sf_dir, "customer")
+    authored = events.join(customer, events["user_id"] == customer["c_custkey"], "left")
+    nation = nations(spark, sf_dir)
+    return authored.join(nation, authored["c_nationkey"] == nation["n_nationkey"], "left")
 
 
 def profiled_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts with their author's profile."""
-    authored = _with_author(spark, sf_dir, table(spark, sf_dir, "events"))
-    # Statuses grow with every post, so a post's record counts those up to it.
-    profile = _user_columns({"statuses_count": F.col("event_id")})
-    return authored.select(*_post_columns(), *profile)
-
-
-def _raw_user() -> dict[str, Column]:
-    """Raw user fields of a customer; every field depends on the row."""
-    return {
-        "created_at": time_text(F.lit(FIRST_ACCOUNT) + F.col("c_custkey") * 3600),
-        "default_profile_image": F.col("c_acctbal") < 0,
-        "description": F.col("c_mktsegment"),
-        "favourites_count": F.floor(F.abs("c_acctbal")),
-        "followers_count": F.col("c_nationkey").cast("long"),
-        "friends_count": F.col("n_regionkey").cast("long"),
-        "geo_enabled": F.col("c_mktsegment") == "BUILDING",
-        "id_str": text("c_custkey"),
-        "location": F.col("n_name"),
-        "name": F.col("c_name"),
-        "notifications": F.col("c_mktsegment") == "FURNITURE",
-        "profile_image_url_https": F.concat(F.lit("https://example.org/image/"), text("c_custkey")),
-        "protected": F.col("c_mktsegment") == "AUTOMOBILE",
-        "screen_name": F.lower("c_name"),
-        "statuses_count": F.col("c_custkey") + 1,
-        "url": F.when(F.col("c_mktsegment") != "MACHINERY", F.concat(F.lit("https://example.org/"), text("c_custkey"))),
-        "verified": F.col("c_acctbal") > SEED_BALANCE,
-    }
-
-
-def _user_columns(changes: dict[str, Column]) -> list[Column]:
-    """The same as table columns: creation time in seconds, names with a prefix."""
-    raw = _raw_user() | {"created_at": F.lit(FIRST_ACCOUNT) + F.col("c_custkey") * 3600} | changes
-    return [value.alias(user_column(field)) for field, value in raw.items()]
-
-
-def _raw_user_fields(changes: dict[str, Column] | None = None) -> list[Column]:
-    return [value.alias(field) for field, value in (_raw_user() | (changes or {})).items()]
+    fields = AUTHOR_FIELDS | {"created_at": ACCOUNT_TIME}
+    profile = [f"{value} AS {user_column(field)}" for field, value in fields.items()]
+    return authored_events(spark, sf_dir).selectExpr(*POST_COLUMNS, *profile)
 
 
 def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested posts as pulled: views carry a link, signups a place, purchases coordinates."""
-    authored = _with_author(spark, sf_dir, table(spark, sf_dir, "events"))
-    kind = F.col("event_type")
-    target = F.struct(F.get_json_object("props", "$.k").alias("id_str"))
-    link = F.struct(F.concat(F.lit("https://example.org/post/"), text("event_id")).alias("expanded_url"))
-    place = F.struct(F.col("r_name").alias("country_code"), F.col("n_name").alias("full_name"))
-    point = F.struct(F.array("value", -F.col("value")).alias("coordinates"))
-    return authored.select(
-        text("event_id").alias("id_str"),
-        time_text(post_time()).alias("created_at"),
-        F.substring("event_type", 1, 2).alias("lang"),
-        F.concat_ws(" ", "event_type", "props").alias("full_text"),
-        _target("purchase").alias("in_reply_to_user_id_str"),
-        F.when(kind == "click", F.struct(target.alias("user"))).alias("retweeted_status"),
-        F.struct(
-            F.when(kind == "view", F.array(target)).alias("user_mentions"),
-            F.when(kind == "view", F.array(link)).alias("urls"),
-        ).alias("entities"),
-        F.when(kind == "signup", place).alias("place"),
-        F.when(kind == "purchase", point).alias("coordinates"),
-        F.struct(*_raw_user_fields({"statuses_count": F.col("event_id")})).alias("user"),
+    target = f"named_struct('id_str', {TARGET})"
+    link = "named_struct('expanded_url', 'https://example.org/post/' || event_id)"
+    user = ", ".join(f"'{field}', {value}" for field, value in AUTHOR_FIELDS.items())
+    return authored_events(spark, sf_dir).selectExpr(
+        "CAST(event_id AS string) AS id_str",
+        f"{TIME_TEXT.format(POST_TIME)} AS created_at",
+        "substring(event_type, 1, 2) AS lang",
+        "event_type || ' ' || props AS full_text",
+        f"CASE WHEN event_type = 'purchase' THEN {TARGET} END AS in_reply_to_user_id_str",
+        f"CASE WHEN event_type = 'click' THEN named_struct('user', {target}) END AS retweeted_status",
+        f"""named_struct('user_mentions', CASE WHEN event_type = 'view' THEN array({target}) END,
+                         'urls', CASE WHEN event_type = 'view' THEN array({link}) END) AS entities""",
+        """CASE WHEN event_type = 'signup'
+                THEN named_struct('country_code', r_name, 'full_name', n_name) END AS place""",
+        """CASE WHEN event_type = 'purchase'
+                THEN named_struct('coordinates', array(value, -value)) END AS coordinates""",
+        f"named_struct({user}) AS user",
     )
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested user lookups: each customer, and a second lookup of the users whose id is
     also a supplier's, then living in the supplier's nation. Overdrawn users have no status."""
-    customer = customers(spark, sf_dir).withColumn("source", F.lit(1))
-    supplier, nation = table(spark, sf_dir, "supplier"), nations(spark, sf_dir)
-    moved = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).select(
-        F.col("s_suppkey").alias("c_custkey"),
-        F.col("s_name").alias("c_name"),
-        F.col("s_nationkey").alias("c_nationkey"),
-        F.col("s_acctbal").alias("c_acctbal"),
-        F.lit("SUPPLIER").alias("c_mktsegment"),
-        "n_name",
-        "n_regionkey",
-        F.lit(2).alias("source"),
+    moved = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS c_custkey",
+        "s_name AS c_name",
+        "s_nationkey AS c_nationkey",
+        "s_acctbal AS c_acctbal",
+        "'SUPPLIER' AS c_mktsegment",
+        "2 AS lookup",
+    )
+    nation = nations(spark, sf_dir)
+    lookups = table(spark, sf_dir, "customer").selectExpr("*", "1 AS lookup").unionByName(moved)
+    users = lookups.join(nation, lookups["c_nationkey"] == nation["n_nationkey"])
+    status_time = TIME_TEXT.format("1600000000 + floor(c_acctbal)")
+    return users.selectExpr(
+        f"""CASE WHEN c_acctbal >= 0
+                 THEN named_struct('id_str', c_custkey || '' || lookup, 'created_at', {status_time}) END AS status""",
+        *[f"{value} AS {field}" for field, value in USER_FIELDS.items()],
     )
-    users = customer.select(*moved.columns).unionByName(moved)
-    status_id = F.concat(text("c_custkey"), text("source"))
-    status_time = time_text(F.lit(FIRST_STATUS) + F.floor("c_acctbal"))
-    status = F.when(F.col("c_acctbal") >= 0, F.struct(status_id.alias("id_str"), status_time.alias("created_at")))
-    return users.select(status.alias("status"), *_raw_user_fields())
 
 
 def page_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as posts: the language in the address is the location, the links of the
     whole page are the URLs."""
-    return table(spark, sf_dir, "pages").select(
-        text("page_id").alias("tweet_id"),
-        F.nullif(F.regexp_extract("url", "//[^/]+/([a-z]+)/", 1), F.lit("")).alias("user_location"),
-        F.expr("""regexp_extract_all(html, 'href="([^"]+)"', 1)""").alias("tweet_urls"),
+    return table(spark, sf_dir, "pages").selectExpr(
+        "CAST(page_id AS string) AS tweet_id",
+        "nullif(regexp_extract(url, '//[^/]+/([a-z]+)/', 1), '') AS user_location",
+        """regexp_extract_all(html, 'href="([^"]+)"', 1) AS tweet_urls""",
     )
 
 
 def page_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of the documents as locations, their capitals as countries."""
-    languages = table(spark, sf_dir, "documents").select(F.col("lang").alias("user_location")).distinct()
-    return languages.withColumn("country_short", F.upper("user_location"))
+    languages = table(spark, sf_dir, "documents").distinct()
+    return languages.selectExpr("lang AS user_location", "upper(lang) AS country_short")
 
 
 def friend_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One map user → users viewed per author. ``k`` has a hundred values, which bounds a list."""
-    views = table(spark, sf_dir, "events").where(F.col("event_type") == "view")
-    lists = views.groupBy(text("user_id").alias("user_id")).agg(
-        F.sort_array(F.collect_set(F.get_json_object("props", "$.k"))).alias("friend_ids")
+    lists = (
+        table(spark, sf_dir, "events")
+        .where("event_type = 'view'")
+        .selectExpr("CAST(user_id AS string) AS user_id", f"{TARGET} AS friend")
+        .groupBy("user_id")
+        .agg({"friend": "collect_set"})
+        .toDF("user_id", "friend_ids")
     )
-    return lists.select(F.create_map("user_id", "friend_ids").alias("friends"))
+    return lists.selectExpr("map(user_id, friend_ids) AS friends")
