@@ -277,6 +277,12 @@ def select_users(spark: SparkSession, sf: str) -> DataFrame:
     return plain_time(worklist.select_users(batch, filters))
 
 
+@query("work_head")
+def work_head(spark: SparkSession, sf: str) -> DataFrame:
+    """A report of the first users of the batch."""
+    return plain_time(worklist.head(_batch(spark, sf), 20))
+
+
 @query("shard_sizes")
 def shard_sizes(spark: SparkSession, sf: str) -> DataFrame:
     shards = assign_shards(given.country_users(spark, sf), N_SHARDS)
@@ -321,6 +327,13 @@ def pull_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.pull_coverage(_batch(spark, sf), _fresh_posts(spark, sf))
 
 
+@query("lookup_coverage")
+def lookup_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    targets = _snowball(spark, sf).select("user_id").unionByName(given.seeds(spark, sf))
+    got = given.table(spark, sf, "supplier").selectExpr("CAST(s_suppkey AS string) AS user_id")
+    return metrics.lookup_coverage(targets, got)
+
+
 @query("filter_funnel")
 def filter_funnel(spark: SparkSession, sf: str) -> DataFrame:
     filters = worklist.work_filters(WORK_COUNTRIES, "update", drop_seeds=True, **WORK_WINDOW)
@@ -330,23 +343,18 @@ def filter_funnel(spark: SparkSession, sf: str) -> DataFrame:
 @query("pull_manifest")
 def pull_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Names of one pull file per customer segment, country and day, read back."""
+    day = F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day")
     files = (
         given.authored_events(spark, sf)
-        .groupBy(
-            F.upper(F.substring("r_name", 1, 2)).alias("cc"),
-            F.date_format(F.col("ts").cast("timestamp"), "ddMMyyyy").alias("day"),
-            "c_mktsegment",
-        )
+        .groupBy(F.upper(F.substring("r_name", 1, 2)).alias("country"), day, F.lower("c_mktsegment").alias("segment"))
         .agg(
             F.count_distinct("user_id").alias("users"),
             F.count(F.lit(1)).alias("posts"),
             F.count_if(F.col("event_type") == "view").alias("views"),
         )
+        .withColumn("pull_type", F.when(F.col("segment") == "building", "full").otherwise("update"))
     )
-    name = F.expr("""
-        format_string('user_timeline_%d_users_%d_requests_%d_tweets_%s_%s_%s_min_timestamp=01012024_12345678_0_%s.json.bz2',
-                      users, views, posts, cc, day, if(c_mktsegment = 'BUILDING', 'full', 'update'),
-                      lower(c_mktsegment))""")
+    name = metrics.post_file_name("users", "views", "posts", "country", "day", "pull_type", "segment")
     return metrics.pull_manifest(files.select(name.alias("file_name")))
 
 
@@ -361,7 +369,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 def landing_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Raw posts as bz2 JSON files, rolled, under country/date/type; read with the fixed schema."""
     path = _scratch(spark, "landing")
-    sinks.write_json(given.raw_posts(spark, sf), f"{path}/XX/30012024/full", max_records=2000)
+    sinks.write_json(given.raw_posts(spark, sf), f"{path}/XX/30012024/full", max_records=2000, n_files=8)
     good, _ = landing.read_posts(spark, f"{path}/*/*/full/*.bz2", multi_line=False)
     posts = _comparable_posts(flatten_posts(good.drop("source_file")))
     return posts
@@ -371,7 +379,7 @@ def landing_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 def landing_files(spark: SparkSession, sf: str) -> DataFrame:
     """Records per directory of the landing zone, from the lineage column."""
     path = _scratch(spark, "landing")
-    sinks.write_json(given.raw_users(spark, sf), f"{path}/XX/30012024/full", max_records=100)
+    sinks.write_json(given.raw_users(spark, sf), f"{path}/XX/30012024/full", max_records=100, n_files=8)
     good, _ = landing.read_users(spark, f"{path}/*/*/*/*.bz2", multi_line=False)
     parts = good.select("id_str", *landing.path_parts())
     return parts.groupBy("country_short", "pull_date", "pull_type").agg(F.count("id_str").alias("n_records"))

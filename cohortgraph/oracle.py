@@ -276,6 +276,7 @@ ORACLE_SQL = {
             WHERE country_short IN ('A', 'R') AND is_seed = 0
               AND tweet_timestamp < TIMESTAMP '1999-07-01' AND tweet_timestamp > TIMESTAMP '1996-01-01')
         WHERE pick = 1""",
+    "work_head": sql("SELECT * FROM batch ORDER BY user_id LIMIT 20", *BATCH),
     "shard_sizes": sql(
         f"""SELECT country_short, shard, count(*) AS n_users
             FROM ({SHARDED.format(source="country_users")}) GROUP BY country_short, shard""",
@@ -320,6 +321,13 @@ ORACLE_SQL = {
            GROUP BY country_short, pull_type""",
         *BATCH, "fresh",
     ),
+    "lookup_coverage": sql(
+        """SELECT count(*) AS n_users_asked, count(s_suppkey) AS n_users_got,
+                  count(*) - count(s_suppkey) AS n_users_missed
+           FROM (SELECT user_id FROM snowball UNION SELECT user_id FROM seeds) a
+                LEFT JOIN supplier ON CAST(s_suppkey AS VARCHAR) = a.user_id""",
+        *SNOWBALL, "seeds",
+    ),
     "filter_funnel": sql(
         f"""SELECT count(*) AS n_all,
                    count(*) FILTER (a) AS n_in_countries,

@@ -78,6 +78,26 @@ def pull_coverage(batch: DataFrame, posts: DataFrame) -> DataFrame:
     )
 
 
+def lookup_coverage(asked: DataFrame, got: DataFrame) -> DataFrame:
+    """One row: distinct users asked for, got and missed, of lookups or friend lists.
+
+    Both tables are reduced to one row per user in the same aggregation.
+    """
+    tagged = asked.select("user_id", F.lit(True).alias("asked"), F.lit(False).alias("got")).unionByName(
+        got.select("user_id", F.lit(False).alias("asked"), F.lit(True).alias("got"))
+    )
+    users = tagged.where(F.col("user_id").isNotNull()).groupBy("user_id")
+    return (
+        users.agg(F.bool_or("asked").alias("asked"), F.bool_or("got").alias("got"))
+        .where("asked")
+        .agg(
+            F.count(F.lit(1)).alias("n_users_asked"),
+            F.count_if("got").alias("n_users_got"),
+            F.count_if(~F.col("got")).alias("n_users_missed"),
+        )
+    )
+
+
 def filter_funnel(batch: DataFrame, filters: dict[str, Column], key: str = "user_id") -> DataFrame:
     """One row: ``n_all``, ``n_<filter>`` rows left after each filter in turn, and
     ``n_unique`` users left at the end. One pass over the batch."""
@@ -88,6 +108,17 @@ def filter_funnel(batch: DataFrame, filters: dict[str, Column], key: str = "user
     return batch.agg(*counts, F.count_distinct(F.when(passed, F.col(key))).alias("n_unique"))
 
 
+def post_file_name(
+    n_users: str, n_requests: str, n_tweets: str, country: str, date: str, pull_type: str, tag: str
+) -> Column:
+    """Name of a post pull file, out of columns with its counters; ``date`` is a timestamp
+    column and ``tag`` makes the name unique."""
+    return F.format_string(
+        "user_timeline_%d_users_%d_requests_%d_tweets_%s_%s_%s_%s.json.bz2",
+        n_users, n_requests, n_tweets, country, F.date_format(date, "ddMMyyyy"), pull_type, tag,
+    )
+
+
 def parse_pull_names(names: DataFrame, column: str = "file_name") -> DataFrame:
     """Split pull file names into counters, country, date and pull type; parts a name
     lacks, and all parts of other names, are null."""

@@ -80,6 +80,12 @@ def select_work(
     return assign_shards(materialize(users), n_shards, seed=seed)
 
 
+def head(users: DataFrame, n: int = 5, key: str = "user_id") -> DataFrame:
+    """The first ``n`` rows by id, for a look at a work list. Every task keeps only its own
+    first ``n``."""
+    return users.orderBy(key).limit(n)
+
+
 def newer_than_mark(posts: DataFrame, marks: DataFrame) -> DataFrame:
     """Posts newer than their author's stored mark (``marks``: user_id, tweet_id); authors
     without a mark keep all posts.

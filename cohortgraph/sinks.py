@@ -35,8 +35,17 @@ def write_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     )
 
 
-def write_json(df: DataFrame, path: str, max_records: int | None = None, compression: str = "bzip2") -> None:
-    """JSON Lines, a new file after ``max_records`` records."""
+def write_json(
+    df: DataFrame,
+    path: str,
+    max_records: int | None = None,
+    compression: str = "bzip2",
+    n_files: int | None = None,
+) -> None:
+    """JSON Lines, a new file after ``max_records`` records. bzip2 is slow, so few large
+    input partitions are worth spreading over ``n_files`` tasks first."""
+    if n_files is not None:
+        df = df.repartition(n_files)
     writer = df.write.mode("overwrite").option("compression", compression)
     if max_records is not None:
         writer = writer.option("maxRecordsPerFile", max_records)

@@ -157,6 +157,16 @@ def test_pull_coverage(batch, rows, bag):
     ]
 
 
+def test_lookup_coverage(rows):
+    asked = rows("user_id string", ("a",), ("a",), ("b",), ("c",), (None,))
+    got = rows("user_id string", ("b",), ("b",), ("z",), (None,))
+    assert tuple(metrics.lookup_coverage(asked, got).first()) == (3, 1, 2)
+
+
+def test_head(batch):
+    assert [row["user_id"] for row in worklist.head(batch, 2).collect()] == ["1", "2"]
+
+
 NAMES = {
     "user_timeline_278_users_881_requests_135742_tweets_XA_06092022_update_24531669_24_ce8faf52-8b1a.json.bz2": (
         278, 881, 135742, "XA", "06092022", "update",
