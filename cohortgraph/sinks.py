@@ -6,20 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+# About 100 MB of posts.
 ROWS_PER_FILE = 1_000_000
 
 
-def files_for(n_rows: int, rows_per_file: int = ROWS_PER_FILE) -> int:
-    """File count for about 100 MB per file, at a hundred bytes a row."""
-    return max(1, -(-n_rows // rows_per_file))
-
-
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", n_files: int | None = None) -> None:
-    """Parquet table. File sizes follow the last shuffle, which adaptive execution sizes;
-    ``n_files`` fixes the count at the price of one more, evenly spread, shuffle."""
+def write_table(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    n_files: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> None:
+    """Parquet table. Adaptive execution sizes the partitions of the last shuffle, and a
+    task starts a new file after ``rows_per_file`` rows, so the file count follows the row
+    count. ``n_files`` fixes it instead, at the price of one more, evenly spread, shuffle."""
     if n_files is not None:
         df = df.repartition(n_files)
-    df.write.mode(mode).parquet(path)
+    df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> None:
