@@ -50,6 +50,10 @@ class Layout:
     def bad_posts(self) -> str:
         return self.path("user_timeline", "badRecords")
 
+    @property
+    def audit(self) -> str:
+        return self.path("user_timeline", "audit")
+
     @property
     def profiles(self) -> str:
         return self.path("user_timeline", "profiles")
@@ -135,6 +139,11 @@ class Jobs:
         if audit.get["n_bad"]:
             sinks.write_table(landing.split_corrupt(raw)[1], self.at.bad_posts)
 
+    def audit(self, multi_line: bool = True, **_) -> None:
+        """Records per landing file; files skipped as unreadable have none."""
+        raw = landing.read_landing(self.spark, self.at.raw_posts(), RAW_POST, multi_line)
+        sinks.write_table(landing.audit_files(self.spark, self.at.raw_posts(), raw), self.at.audit)
+
     def timeline_profiles(self, **_) -> None:
         posts = self._table(self.at.posts, "tweet_id", "tweet_timestamp", *USER_COLUMNS)
         sinks.write_table(profiles.timeline_profiles(posts, self._locations()), self.at.profiles)
@@ -237,6 +246,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--drop-seeds", action="store_true")
     parser.add_argument("--distinct-authors", action="store_true")
     parser.add_argument("--all-urls", action="store_true")
+    parser.add_argument("--skip-corrupt-files", action="store_true")
     parser.add_argument("--json-lines", dest="multi_line", action="store_false")
     parser.add_argument("--shards", type=int, default=30)
     parser.add_argument("--chunk", type=int, default=100)
@@ -245,6 +255,8 @@ def main(arguments: list[str] | None = None) -> None:
     options = vars(parser.parse_args(arguments))
     job, root = options.pop("job"), options.pop("root")
     spark = build_session(f"cohortgraph {job}")
+    if options.pop("skip_corrupt_files"):
+        landing.skip_corrupt_files(spark)
     result = getattr(Jobs(spark, root), job)(**options)
     if result is not None:
         result.show(1000, truncate=False)

@@ -25,6 +25,7 @@ def root(spark, tmp_path, rows):
     second = [post("3", "b", "Here", 3, ["c"]), post("4", "d", "There", 4, in_reply_to_user_id_str="b"), post("5", "c", "Here", 5)]
     write_bz2_array(zone / "XB" / "04102018" / "update" / name.replace("XA_01", "XB_04"), second)
     (zone / "XB" / "04102018" / "update" / "broken.json.bz2").write_bytes(bz2.compress(b'[{"id_str": '))
+    (zone / "XB" / "04102018" / "update" / "junk.json.bz2").write_bytes(b"not bz2 at all")
     write_bz2_array(tmp_path / "lookup_users" / "API" / "102018" / "u.json.bz2", [raw_user("b", "Here"), raw_user("e", "Here")])
     places = rows("user_location string, country_short string", ("Here", "XA"), ("There", "XB"))
     places.write.parquet(f"{tmp_path}/preprocessed/locations/locations_geocoded.parquet")
@@ -32,12 +33,13 @@ def root(spark, tmp_path, rows):
     friends = tmp_path / "friends_ids" / "XA" / "API" / "102018"
     friends.mkdir(parents=True)
     (friends / "f.json").write_text(json.dumps({"a": ["b", "z"], "q": []}))
-    return str(tmp_path)
+    yield str(tmp_path)
+    spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
 
 
 def test_sampling_loop(spark, root, bag):
     def run(job, *options):
-        jobs.main([job, "--root", root, *options])
+        jobs.main([job, "--root", root, "--skip-corrupt-files", *options])
 
     def table(path, *columns):
         return bag(spark.read.parquet(f"{root}/{path}"), *columns)
@@ -45,6 +47,8 @@ def test_sampling_loop(spark, root, bag):
     run("extract", "--files", "2")
     assert len(spark.read.parquet(f"{root}/user_timeline/badRecords").collect()) == 1
     assert table("user_timeline/extract", "tweet_id") == [(str(i),) for i in range(1, 6)]
+    run("audit")
+    assert sorted(n for _, _, n in table("user_timeline/audit")) == [0, 1, 3, 3]
     run("timeline_profiles")
     assert table("user_timeline/profiles", "user_id", "tweet_id", "tweet_count", "country_short") == [
         ("a", "2", 2, "XA"),
