@@ -1,6 +1,7 @@
 """Table jobs: read tables under a root folder, run one plan, write one table.
 
-    spark-submit --py-files cohortgraph.zip -m cohortgraph.jobs <job> --root <folder> [options]
+    python -m cohortgraph.jobs <job> --root <folder> [options]
+    spark-submit --py-files cohortgraph.zip cohortgraph/jobs.py <job> --root <folder> [options]
 
 The folder layout is the hand-over between jobs; see ``Layout``.
 """
@@ -176,7 +177,9 @@ class Jobs:
         )
         sinks.write_table(batch, self.at.batch)
 
-    def remaining_batch(self, countries: list[str], date: str = "*", pull_type: str = "*", multi_line: bool = True, **_):
+    def remaining_batch(
+        self, countries: list[str], date: str = "*", pull_type: str = "*", multi_line: bool = True, **_
+    ) -> None:
         """Batch users without a post in the named pulls (``date`` may be a glob)."""
         paths = [self.at.raw_posts(country, date, pull_type) for country in countries]
         pulled, _bad = landing.read_posts(self.spark, paths, multi_line=multi_line)
@@ -227,7 +230,8 @@ class Jobs:
     def pull_manifest(self, **_) -> DataFrame:
         """Totals of the stored pull files, from their names alone."""
         paths = [self.at.raw_posts(), self.at.raw_users()]
-        files = self.spark.read.format("binaryFile").load(paths).select(landing.file_name("path").alias("file_name"))
+        files = self.spark.read.format("binaryFile").load(paths)
+        files = files.select(landing.file_name("path").alias("file_name"))
         return metrics.pull_manifest(files)
 
 

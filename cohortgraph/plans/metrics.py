@@ -40,7 +40,8 @@ def monthly_counts(df: DataFrame, timestamp: str, start: str | None = None, key:
         F.max("month").alias("last"),
         F.map_from_entries(F.collect_list(F.struct("month", "n_users"))).alias("by_month"),
     )
-    months = span.select("by_month", F.explode(F.sequence("first", "last", F.expr("interval 1 month"))).alias("month"))
+    calendar = F.explode(F.sequence("first", "last", F.expr("interval 1 month"))).alias("month")
+    months = span.select("by_month", calendar)
     result = months.select(
         F.last_day("month").alias("month_end"),
         F.coalesce(F.try_element_at("by_month", F.col("month")), F.lit(0)).alias("n_users"),
@@ -125,8 +126,9 @@ def parse_pull_names(names: DataFrame, column: str = "file_name") -> DataFrame:
     name = F.col(column)
 
     def part(pattern: str) -> Column:
-        groups = [F.nullif(F.regexp_extract(name, pattern, g + 1), F.lit("")) for g in range(re.compile(pattern).groups)]
-        return F.coalesce(*groups)
+        n_groups = re.compile(pattern).groups
+        found = [F.nullif(F.regexp_extract(name, pattern, group + 1), F.lit("")) for group in range(n_groups)]
+        return F.coalesce(*found)
 
     parts = {field: part(pattern) for field, pattern in MANIFEST_PATTERNS.items()}
     for field in ("n_users", "n_requests", "n_tweets"):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,13 +27,21 @@ def of_pull_type(pull_type: str) -> Column:
     raise ValueError(f"pull type is full or update, not {pull_type!r}")
 
 
+def _bound(text: str) -> Column:
+    day = re.fullmatch(r"(\d{1,2})/(\d{1,2})/(\d{4})", text)
+    if day:
+        text = f"{day[3]}-{day[1]}-{day[2]}"
+    return F.lit(text).cast("timestamp")
+
+
 def in_window(min_timestamp: str | None = None, max_timestamp: str | None = None) -> Column:
-    """Last post strictly after ``min_timestamp`` and strictly before ``max_timestamp``."""
+    """Last post strictly after ``min_timestamp`` and strictly before ``max_timestamp``:
+    ISO times or month/day/year."""
     condition = F.lit(True)
     if min_timestamp:
-        condition &= F.col("tweet_timestamp") > F.lit(min_timestamp).cast("timestamp")
+        condition &= F.col("tweet_timestamp") > _bound(min_timestamp)
     if max_timestamp:
-        condition &= F.col("tweet_timestamp") < F.lit(max_timestamp).cast("timestamp")
+        condition &= F.col("tweet_timestamp") < _bound(max_timestamp)
     return condition
 
 

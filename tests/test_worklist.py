@@ -46,6 +46,8 @@ def test_time_window_is_open(batch):
     window = {"min_timestamp": "2022-04-01", "max_timestamp": "2022-12-31"}
     assert chosen(batch, ["XA"], "update", **window) == [("3", "XA"), ("4", "XA")]
     assert chosen(batch, ["XA"], "full", **window) == [("1", "XA")]
+    days = {"min_timestamp": "04/01/2022", "max_timestamp": "6/1/2022"}
+    assert chosen(batch, ["XA"], "update", **days) == [("3", "XA")]
 
 
 def test_funnel(batch):
@@ -124,7 +126,8 @@ def test_select_work(batch):
 
 
 def test_monthly_counts_fill_gaps(rows, bag):
-    text = rows("user_id string, t string", ("1", "2019-05-31"), ("2", "2019-07-01"), (None, "2019-07-02"), ("3", None), ("4", "2019-10-09"))
+    days = [("1", "2019-05-31"), ("2", "2019-07-01"), (None, "2019-07-02"), ("3", None), ("4", "2019-10-09")]
+    text = rows("user_id string, t string", *days)
     table = text.withColumn("t", F.col("t").cast("timestamp"))
     found = [(str(month), n) for month, n in bag(metrics.monthly_counts(table, "t"))]
     assert found == [
