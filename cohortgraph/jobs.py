@@ -9,6 +9,7 @@ The folder layout is the hand-over between jobs; see ``Layout``.
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -20,7 +21,7 @@ from cohortgraph.operators.shards import assign_shards, chunk_ids
 from cohortgraph.plans import batches, levels, links, metrics, profiles, worklist
 from cohortgraph.plans.extract import extract_posts
 from cohortgraph.plans.snowball import snowball
-from cohortgraph.schemas import CORRUPT_COLUMN, RAW_POST, USER_COLUMNS
+from cohortgraph.schemas import RAW_POST, RAW_USER, USER_COLUMNS
 from cohortgraph.session import build_session
 from cohortgraph.sources import landing, tables
 
@@ -83,6 +84,10 @@ class Layout:
     def lookups(self) -> str:
         return self.path("lookup_users", "profiles")
 
+    @property
+    def bad_users(self) -> str:
+        return self.path("lookup_users", "badRecords")
+
     @property
     def lookup_batch(self) -> str:
         return self.path("lookup_users", "batch")
@@ -130,15 +135,21 @@ class Jobs:
                 raise
             return self.spark.createDataFrame([], "user_id string, friend_ids array<string>")
 
+    def _write_from_landing(
+        self, raw: DataFrame, plan: Callable[[DataFrame], DataFrame], path: str, bad_path: str, files: int | None = None
+    ) -> None:
+        """Bad records are counted while the good ones are written, and only read again,
+        for the quarantine, if there are any."""
+        seen = Observation("landing")
+        counted = raw.observe(seen, F.count_if(~landing.is_good()).alias("n_bad"))
+        sinks.write_table(plan(landing.split_corrupt(counted)[0]), path, n_files=files)
+        if seen.get["n_bad"]:
+            sinks.write_table(landing.split_corrupt(raw)[1], bad_path)
+
     def extract(self, files: int | None = None, multi_line: bool = True, **_) -> None:
-        """Raw posts to the post table. Bad records are counted on the way and only read
-        again, for the quarantine, if there are any."""
+        """Raw posts to the post table."""
         raw = landing.read_landing(self.spark, self.at.raw_posts(), RAW_POST, multi_line)
-        audit = Observation("landing")
-        counted = raw.observe(audit, F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("n_bad"))
-        sinks.write_table(extract_posts(landing.split_corrupt(counted)[0]), self.at.posts, n_files=files)
-        if audit.get["n_bad"]:
-            sinks.write_table(landing.split_corrupt(raw)[1], self.at.bad_posts)
+        self._write_from_landing(raw, extract_posts, self.at.posts, self.at.bad_posts, files)
 
     def audit(self, multi_line: bool = True, **_) -> None:
         """Records per landing file; files skipped as unreadable have none."""
@@ -150,8 +161,12 @@ class Jobs:
         sinks.write_table(profiles.timeline_profiles(posts, self._locations()), self.at.profiles)
 
     def users_profiles(self, multi_line: bool = True, **_) -> None:
-        users, _bad = landing.read_users(self.spark, self.at.raw_users(), multi_line=multi_line)
-        sinks.write_table(profiles.users_profiles(users, self._locations()), self.at.lookups)
+        """Raw user lookups to the lookup table."""
+        raw = landing.read_landing(self.spark, self.at.raw_users(), RAW_USER, multi_line)
+        locations = self._locations()
+        self._write_from_landing(
+            raw, lambda users: profiles.users_profiles(users, locations), self.at.lookups, self.at.bad_users
+        )
 
     def snowball(self, distinct_authors: bool = False, **_) -> None:
         posts = self._table(self.at.posts)

@@ -36,15 +36,16 @@ def read_landing(spark: SparkSession, paths: Paths, schema: T.StructType, multi_
     )
 
 
-def split_corrupt(landing: DataFrame, key: str = "id_str") -> tuple[DataFrame, DataFrame]:
-    """(good, bad): parsed records with an id, and the rest as (source_file, text).
+def is_good(key: str = "id_str") -> Column:
+    """Parsed, and with an id: no later step can use a record without one. (Spark also
+    refuses to read the corrupt-text column alone.)"""
+    return F.col(CORRUPT_COLUMN).isNull() & F.col(key).isNotNull()
 
-    The id belongs to the test because no later step can use a record without one,
-    and Spark refuses to read the corrupt-text column alone.
-    """
-    is_good = F.col(CORRUPT_COLUMN).isNull() & F.col(key).isNotNull()
-    good = landing.where(is_good).drop(CORRUPT_COLUMN)
-    bad = landing.where(~is_good).select("source_file", CORRUPT_COLUMN)
+
+def split_corrupt(landing: DataFrame, key: str = "id_str") -> tuple[DataFrame, DataFrame]:
+    """(good, bad): good records, and the rest as (source_file, text)."""
+    good = landing.where(is_good(key)).drop(CORRUPT_COLUMN)
+    bad = landing.where(~is_good(key)).select("source_file", CORRUPT_COLUMN)
     return good, bad
 
 

@@ -20,9 +20,10 @@ def read_friend_lists(spark: SparkSession, paths: Paths) -> DataFrame:
     """(user_id, friend_ids) of files that each hold one JSON object, user → friend ids.
 
     The keys are users, so a file is parsed whole, as a map; files are a thousand users
-    each. A user in two files gives two rows.
+    each. A user in two files gives two rows. A file that does not parse stops the job:
+    taken for an empty one, its users would be listed again.
     """
-    friend_map = F.from_json("value", "map<string,array<string>>")
+    friend_map = F.from_json("value", "map<string,array<string>>", {"mode": "FAILFAST"})
     return explode_friend_map(spark.read.text(_paths(paths), wholetext=True).select(friend_map.alias("friends")))
 
 

@@ -27,6 +27,7 @@ def root(spark, tmp_path, rows):
     (zone / "XB" / "04102018" / "update" / "broken.json.bz2").write_bytes(bz2.compress(b'[{"id_str": '))
     (zone / "XB" / "04102018" / "update" / "junk.json.bz2").write_bytes(b"not bz2 at all")
     write_bz2_array(tmp_path / "lookup_users" / "API" / "102018" / "u.json.bz2", [raw_user("b", "Here"), raw_user("e", "Here")])
+    (tmp_path / "lookup_users" / "API" / "102018" / "v.json").write_text("[{")
     places = rows("user_location string, country_short string", ("Here", "XA"), ("There", "XB"))
     places.write.parquet(f"{tmp_path}/preprocessed/locations/locations_geocoded.parquet")
     rows("user_id string", ("a",), ("x",)).write.parquet(f"{tmp_path}/lookup_users/seeds")
@@ -60,6 +61,7 @@ def test_sampling_loop(spark, root, bag):
     assert table("user_timeline/snowball") == [("b", "XA", 2), ("b", "XB", 1), ("c", "XA", 1)]
     run("users_profiles")
     assert table("lookup_users/profiles", "user_id", "country_short") == [("b", "XA"), ("e", "XA")]
+    assert len(spark.read.parquet(f"{root}/lookup_users/badRecords").collect()) == 1
     run("users_batch")
     assert table("lookup_users/batch") == [("a",), ("c",), ("x",)]
     run("lookup_work", "--shards", "2", "--chunk", "1")

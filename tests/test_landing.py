@@ -128,6 +128,9 @@ def test_partitioned_write_replaces_only_its_partitions(spark, tmp_path, rows, b
 def test_friend_lists(spark, tmp_path, bag):
     (tmp_path / "a.json").write_text(json.dumps({"1": ["2", "3"], "4": []}))
     (tmp_path / "b.json").write_text(json.dumps({"1": ["2"]}))
+    (tmp_path / "broken").write_text('{"1": ["2"')
+    with pytest.raises(Exception, match="MALFORMED"):
+        tables.read_friend_lists(spark, f"{tmp_path}/broken").collect()
     lists = tables.read_friend_lists(spark, f"{tmp_path}/*.json")
     assert bag(lists.select("user_id", F.size("friend_ids"))) == [("1", 1), ("1", 2), ("4", 0)]
     assert bag(links.friend_edges(lists)) == [("1", "2"), ("1", "2"), ("1", "3")]
