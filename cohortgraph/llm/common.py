@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from cohortgraph.session import shared_dir
 
 #: White space between words, and a word, as Java and RE2 patterns.
-GAP = r"[\x20\x09-\x0D]+"
+GAP_CLASS = r"[\x20\x09-\x0D]"
+GAP = GAP_CLASS + "+"
 WORD = r"[^\x20\x09-\x0D]+"
-#: The same characters for ``bytes.split`` and ``str.split``-like loops in tasks.
-GAP_CHARS = " \t\n\x0b\x0c\r"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,9 +40,3 @@ def fold(modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus
 
-
-def lower_ascii(text: str) -> str:
-    return text.translate(_LOWER)
-
-
-_LOWER = {c: c + 32 for c in range(65, 91)}

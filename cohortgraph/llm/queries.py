@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from cohortgraph.llm.lines import op7_lines
+from cohortgraph.llm.minhash import OP4_SQL, op4_minhash
+from cohortgraph.llm.mixing import OP8_SQL, op8_mixing
+from cohortgraph.llm.packing import op1_packing
 from cohortgraph.llm.quality_rules import OP6_SQL, op6_quality_rules
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op4_minhash": op4_minhash,
     "op6_quality_rules": op6_quality_rules,
+    "op7_lines": op7_lines,
+    "op8_mixing": op8_mixing,
 }
 
 ORACLE_SQL = {
+    "op4_minhash": OP4_SQL,
     "op6_quality_rules": OP6_SQL,
+    "op8_mixing": OP8_SQL,
 }
