@@ -9,11 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortgraph.llm import quality_rules
+from cohortgraph.llm import lines, minhash, mixing, packing, quality_rules
 from cohortgraph.llm.common import documents, keep
 
 STAGES = [
     ("quality_rules", quality_rules.stage),
+    ("near_duplicates", minhash.stage),
+    ("substring_dedup", lines.stage),
+    ("mixing", mixing.stage),
+    ("packing", packing.stage),
 ]
 
 #: The last stage tokenizes, which SQL cannot express; tests compare with brute force.
