@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortgraph.session import shared_dir
+from cohortgraph.session import materialize as keep  # noqa: F401  (tables in the shared folder)
 
 #: White space between words, and a word, as Java and RE2 patterns.
 GAP_CLASS = r"[\x20\x09-\x0D]"
@@ -19,14 +17,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again: lineage ends here."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, not once for each use in a lambda."""
     return F.transform(F.array(value), body)[0]

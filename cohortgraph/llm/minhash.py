@@ -1,13 +1,13 @@
 """Near-duplicates by b-bit MinHash, confirmed on whole shingle sets.
 
-One pass hashes the word shingles of each text into a set, takes the minima of 128 hash
-functions, groups them into bands (one 64-bit key each) and keeps the low two bits of each
-minimum as two bit planes of 128 bits. Two minima that differ still agree in two bits with
-probability 1/4, so of a share m of agreeing places the similarity (m - 1/4) / (3/4) is
+One pass hashes the word shingles of each text into a set, takes the minima of 512 hash
+functions, groups the first 128 into bands (one 64-bit key each) and keeps the low two bits of
+each minimum as two bit planes of 512 bits. Two minima that differ still agree in two bits
+with probability 1/4, so of a share m of agreeing places the similarity (m - 1/4) / (3/4) is
 estimated, by counting bits.
 
 1. Documents with the same set are one class, named by their smallest id.
-2. In each band bucket every class is compared with the smallest one: at most one pair for a
+2. In each band bucket every class is paired with the smallest one: at most one pair for a
    class and band. Pairs whose estimate is hopeless go; the rest are confirmed on whole sets.
 3. What is linked is joined into components. Links that could still be missing run between
    different components of one bucket; only those pairs are formed next (a member outside the
@@ -37,16 +37,16 @@ from cohortgraph.llm.common import documents, keep
 from cohortgraph.llm.components import components
 from cohortgraph.llm.hashing import hashed_texts, mix, slices, texts_of
 
-PLACES = 128
+PLACES, BAND_PLACES = 512, 128
 MISS = 1e-6
 #: Standard deviations that an estimate may lie below the threshold.
-DOUBT = 5.5
+DOUBT = 5
 SLICE_BYTES = 1 << 20
 
 
 def band_width(percent: int) -> int:
     """Most minima in a band at which a pair at the threshold is all but surely found."""
-    fits = [r for r in range(1, 9) if (1 - (percent / 100) ** r) ** (PLACES // r) < MISS]
+    fits = [r for r in range(1, 9) if (1 - (percent / 100) ** r) ** (BAND_PLACES // r) < MISS]
     return max(fits, default=1)
 
 
@@ -78,24 +78,25 @@ def _functions(seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(sets: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys (sets x bands) and bit planes (sets x 4 words of 64 bits) of non-empty ``sets``."""
+    """Band keys (sets x bands) and bit planes (sets x words of 64 bits) of non-empty ``sets``."""
     values = np.concatenate(sets)
     firsts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
     minima = np.empty((PLACES, len(sets)), np.uint64)
     for i, (factor, term) in enumerate(zip(*_functions(), strict=True)):
         minima[i] = np.minimum.reduceat(values * factor + term, firsts)
     minima = mix(minima)
-    bands = PLACES // width
+    bands = BAND_PLACES // width
     keys = np.arange(bands, dtype=np.uint64)[:, None] + np.zeros_like(minima[:bands])
     for j in range(width):
         keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + minima[j : bands * width : width])
     low = np.stack([(minima >> np.uint64(b)) & np.uint64(1) for b in (0, 1)])  # bit, place, set
     weights = np.uint64(1) << np.arange(64, dtype=np.uint64)
     planes = (low.reshape(2, PLACES // 64, 64, -1) * weights[None, None, :, None]).sum(axis=2, dtype=np.uint64)
-    return keys.T.view(np.int64), planes.reshape(4, -1).T.view(np.int64)
+    return keys.T.view(np.int64), planes.reshape(len(PLANES), -1).T.view(np.int64)
 
 
-PLANES = [f"_plane{i}" for i in range(4)]
+HALF = PLACES // 64
+PLANES = [f"_plane{i}" for i in range(2 * HALF)]
 
 
 def signed(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -118,7 +119,7 @@ def signed(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
             for start, end in slices(texts, SLICE_BYTES):
                 sets = shingle_sets(texts[start:end], shingle)
                 full = [i for i, s in enumerate(sets) if len(s)]
-                bands, planes = np.zeros((len(sets), PLACES // width), np.int64), np.zeros((len(sets), 4), np.int64)
+                bands, planes = np.zeros((len(sets), BAND_PLACES // width), np.int64), np.zeros((len(sets), len(PLANES)), np.int64)
                 if full:
                     bands[full], planes[full] = signatures([sets[i] for i in full], width)
                 ends = np.arange(len(sets) + 1, dtype=np.int32) * bands.shape[1]
@@ -126,7 +127,7 @@ def signed(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(bands.ravel())),
-                    *(pa.array(np.ascontiguousarray(planes[:, i])) for i in range(4)),
+                    *(pa.array(np.ascontiguousarray(planes[:, i])) for i in range(len(PLANES))),
                 ]
                 part = rest.slice(start, end - start)
                 yield pa.RecordBatch.from_arrays([*part.columns, *added], names=schema.names)
@@ -157,9 +158,9 @@ def similar_enough(percent: int) -> Column:
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     differ = sum(
         F.bit_count(
-            x(PLANES[i]).bitwiseXOR(y(PLANES[i])).bitwiseOR(x(PLANES[i + 2]).bitwiseXOR(y(PLANES[i + 2])))
+            x(PLANES[i]).bitwiseXOR(y(PLANES[i])).bitwiseOR(x(PLANES[i + HALF]).bitwiseXOR(y(PLANES[i + HALF])))
         )
-        for i in (0, 1)
+        for i in range(HALF)
     )
     agree = percent / 100 * 0.75 + 0.25
     doubt = DOUBT * (agree * (1 - agree) / PLACES) ** 0.5
@@ -197,25 +198,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         "classes",
     )
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    members = classes.select("id", "_size", *PLANES, F.explode("_bands").alias("key"))
-    row = F.struct("id", "_size", *PLANES)
-    buckets = keep(
-        members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("s")).where("n > 1").select("key", "s.*"),
-        "buckets",
-    )
-    x, y = members.alias("x"), buckets.alias("y")
-    to_first = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id")) & similar_enough(percent))
-    tried = keep(to_first.select(F.col("y.id").alias("a"), F.col("x.id").alias("b")).distinct(), "pairs")
+    signs = classes.select("id", "_size", *PLANES)
+    members = classes.select("id", F.explode("_bands").alias("key"))
+    buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1")
+    held = keep(members.join(buckets.drop("n"), "key"), "members")
+
+    to_first = held.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    x, y = signs.alias("x"), signs.alias("y")
+    likely = to_first.join(x, F.col("a") == F.col("x.id")).join(y, (F.col("b") == F.col("y.id")) & similar_enough(percent))
+    tried = keep(likely.select("a", "b"), "pairs")
     links = keep(confirmed(tried, texts, shingle, percent), "links")
     joined = components(links)
 
-    shared = members.join(buckets.select("key", F.col("id").alias("first")), "key").join(joined, "id", "left")
-    shared = keep(shared.withColumn("component", F.coalesce("component", "id")), "members")
+    shared = held.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    shared = keep(shared, "members")
     mixed = shared.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.max(F.when(F.col("id") == F.col("first"), F.col("component"))).alias("main"),
     ).where("low != high").select("key", "main")
-    shared = keep(shared.join(mixed, "key"), "mixed")
+    shared = keep(shared.join(mixed, "key").join(signs, "id"), "mixed")
     x, y = shared.where("component != main").alias("x"), shared.alias("y")
     across = x.join(
         y,

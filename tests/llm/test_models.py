@@ -1,0 +1,138 @@
+"""Trained operators: exact counts, held-out accuracy, and brute force where there is one."""
+
+import math
+import os
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from cohortgraph.llm import crf, pitman_yor, rule_ensemble
+from cohortgraph.llm.common import documents
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return documents(spark, SF_DIR).select("doc_id", "text", "lang").collect()
+
+
+def tokens(text):
+    return [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")), "</end>"]
+
+
+def fold(doc_id, n):
+    return zlib.crc32(str(doc_id).encode()) % n
+
+
+@pytest.fixture(scope="module")
+def scores(spark):
+    return pitman_yor.op2_pitman_yor(spark, SF_DIR).collect()
+
+
+def test_base_scores_are_exact(rows, scores):
+    texts = {r.doc_id: tokens(r.text) for r in rows}
+    counts = Counter(t for i, words in texts.items() if fold(i, 7) != 2 for t in words)
+    total = sum(counts.values())
+    assert len(scores) == len(texts)
+    for r in scores:
+        words = texts[r.doc_id]
+        base = sum(math.log10((counts[t] + 1) / (total + len(counts) + 1)) for t in words)
+        assert (r.held_out, r.n_tokens, r.train_tokens) == (fold(r.doc_id, 7) == 2, len(words), total)
+        assert r.n_known == sum(counts[t] > 0 for t in words) and r.base_score == pytest.approx(base, rel=1e-9)
+
+
+def test_model_beats_the_base_on_held_out_texts(scores):
+    held = [r for r in scores if r.held_out]
+    assert sum(r.score for r in held) > 0.97 * sum(r.base_score for r in held) and all(r.score < 0 for r in scores)
+
+
+def test_hot_contexts_and_bucket_counts_hardly_change_scores(spark, scores, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "BUCKET_TOKENS", 9_000)
+    monkeypatch.setattr(pitman_yor, "HOT_SHARE", 1 / 20)
+    again = {r.doc_id: r for r in pitman_yor.op2_pitman_yor(spark, SF_DIR).collect()}
+    for r in scores:
+        assert again[r.doc_id].base_score == pytest.approx(r.base_score, rel=1e-9)
+    total = sum(r.score for r in scores)
+    assert sum(r.score for r in again.values()) == pytest.approx(total, rel=0.02)
+
+
+def test_seating_keeps_at_least_one_table_and_no_more_than_customers():
+    rng = np.random.default_rng(0)
+    c = np.array([1, 1, 2, 3, 30, 40, 5000])
+    sweeps = pitman_yor._reseat(c, np.zeros(7, np.int64), 1, np.full(7, 0.1), 0.7, rng)
+    found = np.array([next(sweeps).copy() for _ in range(200)])
+    assert (found >= 1).all() and (found <= c).all() and (found[:, :2] == 1).all()
+    assert found[:, 4].mean() > found[:, 3].mean() > 1
+
+
+def test_seating_of_two_customers_follows_the_restaurant():
+    """With two customers of one dish the exact share of two tables is known."""
+    d, base = 0.5, 0.2
+    sweeps = pitman_yor._reseat(np.array([2]), np.array([0]), 1, np.array([base]), d, np.random.default_rng(1))
+    got = np.mean([next(sweeps)[0] == 2 for _ in range(20_000)])
+    new = (pitman_yor.STRENGTH + d) * base
+    assert got == pytest.approx(new / (new + 1 - d), abs=0.02)
+
+
+def test_quality_of_held_out_documents(spark):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    found = rule_ensemble.op9_rule_ensemble(spark, SF_DIR).collect()
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) and r.held_out == (fold(r.doc_id, 3) == 1) for r in found)
+    held = [(r.predicted, labels[r.doc_id]) for r in found if r.held_out and r.doc_id in labels]
+    assert np.mean([p == y for p, y in held]) > 0.9
+
+
+def test_compiled_rules_equal_the_model(spark):
+    draw = np.random.default_rng(2)
+    x = draw.random((400, len(rule_ensemble.STATISTICS)))
+    y = ((x[:, 0] > 0.5) & (x[:, 3] < 0.4)).astype(float)
+    model = rule_ensemble.fit(x, y)
+    margin = model.intercept + sum(w * rule_ensemble.holds(r, x) for w, r in model.rules)
+    table = spark.createDataFrame([tuple(map(float, r)) for r in x], list(rule_ensemble.STATISTICS))
+    got = [r[0] for r in table.select(rule_ensemble.compiled(model)).collect()]
+    assert got == pytest.approx((1 / (1 + np.exp(-margin))).tolist())
+    assert np.mean((np.array(got) > 0.5) == y) > 0.95
+    assert rule_ensemble.fit(x, np.ones(400)).rules == []
+
+
+def test_languages_of_held_out_documents(spark, rows):
+    found = crf.op10_crf(spark, SF_DIR).collect()
+    langs = {r.doc_id: r.lang for r in rows}
+    assert all(0 <= r.score <= 1 and r.held_out == (fold(r.doc_id, 4) == 2) for r in found)
+    held = [r.lang_pred == langs[r.doc_id] for r in found if r.held_out]
+    assert np.mean(held) > 0.93
+
+
+def test_forward_backward_equals_all_paths():
+    import itertools
+
+    draw = np.random.default_rng(3)
+    emit, moves, n = np.exp(draw.normal(size=(5, 2, 3))), np.exp(draw.normal(size=(3, 3))), [5, 3]
+    post, _, _ = crf.forward_backward(emit, np.array(n), moves)
+    for row, length in enumerate(n):
+        total = np.zeros((length, 3))
+        for path in itertools.product(range(3), repeat=length):
+            weight = np.prod([emit[t, row, k] for t, k in enumerate(path)]) * np.prod([moves[a, b] for a, b in zip(path, path[1:])])
+            total[np.arange(length), path] += weight
+        assert post[:length, row] == pytest.approx(total / total.sum(axis=1, keepdims=True))
+
+
+def test_code_switches_are_seen():
+    letters = {"x": "abc", "y": "mno"}
+    draw = np.random.default_rng(4)
+    text = lambda k, n: " ".join("".join(draw.choice(list(letters[k]), 4)) for _ in range(n))
+    model = crf.train([(k, text(k, 40)) for k in letters for _ in range(30)])
+    words = (text("x", 10) + " " + text("y", 10)).split()
+    emit, lengths = crf.padded(crf.Scores(model).of([words]), 2)
+    post, _, _ = crf.forward_backward(emit, lengths, np.exp(model.moves))
+    assert post[:, 0].argmax(axis=1).tolist() == [0] * 10 + [1] * 10
+
+
+def test_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([(1, "a b", None), (2, None, None)], "doc_id long, text string, lang string")
+    found = crf.identified(docs, crf.train(crf.sampled(docs))).collect()
+    assert [(r.lang_pred, r.score) for r in found] == [("und", 0.0)] * 2
