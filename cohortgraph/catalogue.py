@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,12 +11,13 @@ from cohortgraph import sinks
 from cohortgraph import standin as given
 from cohortgraph.functions.columns import epoch_seconds, epoch_to_timestamp, flatten_posts, flatten_users
 from cohortgraph.operators.geocode import attach_country
-from cohortgraph.operators.shards import assign_shards, chunk_ids
+from cohortgraph.operators.shards import assign_shards, chunk_ids, hash_shards
 from cohortgraph.operators.survivors import drop_copies
 from cohortgraph.plans import batches, levels, links, metrics, profiles, worklist
 from cohortgraph.plans.extract import extract_posts
 from cohortgraph.plans.snowball import interaction_edges, snowball
-from cohortgraph.session import shared_dir
+from cohortgraph.schemas import RAW_POST, RAW_USER
+from cohortgraph.session import scratch_path
 from cohortgraph.sources import landing, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,9 @@ WORK_WINDOW = {"min_timestamp": "2024-01-29 06:00:00", "max_timestamp": "2024-01
 FRESH_FROM = 1706572800  # 2024-01-30: posts from here on count as freshly pulled
 MARKS_BEFORE = 1705708800  # 2024-01-20: posts before count as stored
 N_SHARDS = 7
+LAYOUT = ["country", "date", "type"]
+RECORDS_PER_FILE = 100_000
+ROWS_PER_FILE = 1000
 PAGE_SIZE = 20
 
 
@@ -99,12 +102,45 @@ def _comparable_posts(posts: DataFrame) -> DataFrame:
         {
             "tweet_mentioned_user_id": joined("tweet_mentioned_user_id"),
             "tweet_urls": joined("tweet_urls"),
-            "tweet_place": F.concat_ws("/", "tweet_place.country_code", "tweet_place.full_name"),
-            "tweet_coordinates": F.get("tweet_coordinates", F.lit(1)),
+            "tweet_longitude": F.get("tweet_coordinates", F.lit(0)),
+            "tweet_latitude": F.get("tweet_coordinates", F.lit(1)),
+        }
+    ).drop("tweet_coordinates")
+
+
+def _laid_out(raw: DataFrame) -> DataFrame:
+    """Raw posts with the pull they belong to: by the author's numbers, the day and the language."""
+    country = F.when(F.col("user.friends_count") % 2 == 0, "XA").otherwise("XB")
+    return raw.withColumns(
+        {
+            "country": country,
+            "date": F.concat(F.substring("created_at", 9, 2), F.lit("2024")),
+            "type": F.when(F.col("lang") == "view", "full").otherwise("update"),
         }
     )
 
 
+def _array_kind(path: str) -> Column:
+    return F.regexp_extract(path, "kind=([a-z]+)/", 1).alias("kind")
+
+
+def _write_arrays(spark: SparkSession, sf: str, path: str) -> None:
+    """Customers as text files, each one JSON array of the customers of a nation: sound ones,
+    ones with text in a number field, ones without an id, and arrays that are cut short."""
+    users = given.raw_users(spark, sf).where("description <> 'SUPPLIER'")
+    kind = F.element_at(F.array(*map(F.lit, ("sound", "mistyped", "nameless", "broken"))), (F.col("followers_count") % 4 + 1).cast("int"))
+    record = F.to_json(F.struct(*users.columns))
+    record = (
+        F.when(F.col("kind") == "mistyped", F.regexp_replace(record, '"friends_count":([0-9]+)', '"friends_count":"about $1"'))
+        .when(F.col("kind") == "nameless", F.to_json(F.struct("name", "followers_count")))
+        .otherwise(record)
+    )
+    files = users.withColumn("kind", kind).groupBy("kind", "followers_count").agg(F.sort_array(F.collect_list(record)).alias("r"))
+    closing = F.when(F.col("kind") == "broken", "").otherwise("]")
+    text = F.concat(F.lit("["), F.array_join("r", ","), closing).alias("value")
+    files.select("kind", text).write.partitionBy("kind").option("maxRecordsPerFile", 1).text(path)
+
+
 def _landed_twice(spark: SparkSession, sf: str) -> DataFrame:
     """Every post pulled again by a second pull that saw one more status of its author."""
     first = given.raw_posts(spark, sf)
@@ -166,7 +202,7 @@ def users_profiles(spark: SparkSession, sf: str) -> DataFrame:
 @query("geocode_left")
 def geocode_left(spark: SparkSession, sf: str) -> DataFrame:
     users = flatten_users(given.raw_users(spark, sf)).select("user_id", "user_location")
-    located = attach_country(users, given.locations(spark, sf), salt_on="user_id")
+    located = attach_country(users, given.locations(spark, sf))
     return located.groupBy("country_short").agg(F.count("user_id").alias("n_users"))
 
 
@@ -174,7 +210,7 @@ def geocode_left(spark: SparkSession, sf: str) -> DataFrame:
 def geocode_inner_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     """The join used when the location table is too large to broadcast."""
     users = flatten_users(given.raw_users(spark, sf)).select("user_id", "user_location")
-    located = attach_country(users, given.locations(spark, sf), salt_on="user_id", how="inner", broadcast_limit=0)
+    located = attach_country(users, given.locations(spark, sf), how="inner", broadcast_limit=0)
     return located.groupBy("country_short").agg(F.count("user_id").alias("n_users"))
 
 
@@ -216,13 +252,13 @@ def network_batch(spark: SparkSession, sf: str) -> DataFrame:
 @query("level_members")
 def level_members(spark: SparkSession, sf: str) -> DataFrame:
     users, seeds = given.country_users(spark, sf), given.seeds(spark, sf)
-    return levels.level_members(given.posts(spark, sf), users, seeds, LEVEL_COUNTRY)
+    return levels.level_members(given.posts(spark, sf), users, seeds, WORK_COUNTRIES)
 
 
 @query("level_stats")
 def level_stats(spark: SparkSession, sf: str) -> DataFrame:
     users, seeds = given.country_users(spark, sf), given.seeds(spark, sf)
-    return levels.level_stats(given.posts(spark, sf), users, seeds, LEVEL_COUNTRY)
+    return levels.level_stats(given.posts(spark, sf), users, seeds, [*WORK_COUNTRIES, "NOWHERE"])
 
 
 # Links and friends.
@@ -301,6 +337,11 @@ def chunk_sizes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("hash_shard_users")
+def hash_shard_users(spark: SparkSession, sf: str) -> DataFrame:
+    return hash_shards(given.country_users(spark, sf), N_SHARDS)
+
+
 @query("newer_than_mark")
 def newer_than_mark(spark: SparkSession, sf: str) -> DataFrame:
     posts = given.posts(spark, sf).select("tweet_id", "user_id", "tweet_timestamp")
@@ -344,9 +385,11 @@ def filter_funnel(spark: SparkSession, sf: str) -> DataFrame:
 def pull_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Names of one pull file per customer segment, country and day, read back."""
     day = F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day")
+    codes = given.place_codes(spark, sf)
     files = (
         given.authored_events(spark, sf)
-        .groupBy(F.upper(F.substring("r_name", 1, 2)).alias("country"), day, F.lower("c_mktsegment").alias("segment"))
+        .join(codes, "r_name", "left")
+        .groupBy(F.col("code").alias("country"), day, F.lower("c_mktsegment").alias("segment"))
         .agg(
             F.count_distinct("user_id").alias("users"),
             F.count(F.lit(1)).alias("posts"),
@@ -361,16 +404,12 @@ def pull_manifest(spark: SparkSession, sf: str) -> DataFrame:
 # Files: written to the shared folder and read back.
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4()}"
-
-
 @query("landing_round_trip")
 def landing_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Raw posts as bz2 JSON files, rolled, under country/date/type; read with the fixed schema."""
-    path = _scratch(spark, "landing")
-    sinks.write_json(given.raw_posts(spark, sf), f"{path}/XX/30012024/full", max_records=2000, n_files=8)
-    good, _ = landing.read_posts(spark, f"{path}/*/*/full/*.bz2", multi_line=False)
+    path = scratch_path(spark, "landing")
+    sinks.write_json(_laid_out(given.raw_posts(spark, sf)), path, max_records=RECORDS_PER_FILE, columns=LAYOUT)
+    good, _ = landing.read_posts(spark, f"{path}/*/*/*/*.bz2", multi_line=False)
     posts = _comparable_posts(flatten_posts(good.drop("source_file")))
     return posts
 
@@ -378,16 +417,82 @@ def landing_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 @query("landing_files")
 def landing_files(spark: SparkSession, sf: str) -> DataFrame:
     """Records per directory of the landing zone, from the lineage column."""
-    path = _scratch(spark, "landing")
-    sinks.write_json(given.raw_users(spark, sf), f"{path}/XX/30012024/full", max_records=100, n_files=8)
-    good, _ = landing.read_users(spark, f"{path}/*/*/*/*.bz2", multi_line=False)
-    parts = good.select("id_str", *landing.path_parts())
-    return parts.groupBy("country_short", "pull_date", "pull_type").agg(F.count("id_str").alias("n_records"))
+    path = scratch_path(spark, "landing")
+    sinks.write_json(_laid_out(given.raw_posts(spark, sf)), path, max_records=RECORDS_PER_FILE, columns=LAYOUT)
+    records = landing.marked(landing.read_landing(spark, f"{path}/*/*/*/*.bz2", RAW_POST, multi_line=False))
+    # Parts of the path, checked against what the record itself says of its pull.
+    by_record = _laid_out(landing.good_records(records)).select(*LAYOUT, F.struct(*landing.path_parts()).alias("p"))
+    agree = F.col("p.country_short").eqNullSafe(F.col("country")) & F.col("p.pull_date").eqNullSafe(F.col("date"))
+    return by_record.groupBy("p.country_short", "p.pull_date", "p.pull_type").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count_if(agree & F.col("p.pull_type").eqNullSafe(F.col("type"))).alias("n_in_place"),
+    )
+
+
+@query("landing_arrays")
+def landing_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Users as files of one JSON array each, one of which does not parse; read as whole documents."""
+    path = scratch_path(spark, "arrays")
+    _write_arrays(spark, sf, path)
+    good, _ = landing.read_users(spark, path)
+    return flatten_users(good.drop("source_file"))
+
+
+@query("landing_quarantine")
+def landing_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """What has no id, with its text, by the kind of the file it came from."""
+    path = scratch_path(spark, "arrays")
+    _write_arrays(spark, sf, path)
+    records = landing.staged(landing.read_landing(spark, path, RAW_USER), scratch_path(spark, "staging"))
+    return landing.bad_records(records).select(_array_kind("source_file"), "bad_text")
+
+
+@query("landing_audit")
+def landing_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Files and records by kind of file, from the staged records and the listing."""
+    path = scratch_path(spark, "arrays")
+    _write_arrays(spark, sf, path)
+    records = landing.staged(landing.read_landing(spark, path, RAW_USER), scratch_path(spark, "staging"))
+    files = landing.audit_files(spark, path, records)
+    return files.groupBy(_array_kind("source_file")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n_records").alias("n_records"), F.sum("n_bad").alias("n_bad")
+    )
+
+
+@query("landing_schema")
+def landing_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields and types inferred from written users."""
+    path = scratch_path(spark, "sample")
+    users = given.raw_users(spark, sf).select("id_str", "followers_count", "verified", "status")
+    sinks.write_json(users, path, max_records=RECORDS_PER_FILE)
+    inferred = landing.infer_schema(spark, path, multi_line=False)
+    fields = [(f.name, f.dataType.simpleString()) for f in inferred.fields]
+    return spark.createDataFrame(fields, "name string, type string")
+
+
+@query("table_round_trip")
+def table_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """A table rolled by row count: no file holds more, all rows are there."""
+    path = scratch_path(spark, "table")
+    sinks.write_table(given.table(spark, sf, "lineitem").coalesce(1), path, rows_per_file=ROWS_PER_FILE)
+    files = tables.read_table(spark, path).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(
+        F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.max("n").alias("n_most")
+    )
+
+
+@query("friend_files")
+def friend_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Friend maps written as text, one JSON object in each file, and read as lists."""
+    path = scratch_path(spark, "friends")
+    maps = given.friend_maps(spark, sf).select(F.to_json("friends").alias("value"))
+    maps.write.option("maxRecordsPerFile", 1).text(path)
+    return links.friend_edges(tables.read_friend_lists(spark, path), distinct=True)
 
 
 @query("partitioned_round_trip")
 def partitioned_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    path = _scratch(spark, "by-country")
+    path = scratch_path(spark, "by-country")
     sinks.write_partitioned(given.country_users(spark, sf), path, ["country_short"])
     users = tables.read_table(spark, path, ["user_id", "country_short"])
     return users.groupBy("country_short").agg(F.count("user_id").alias("n_users"))
@@ -395,6 +500,6 @@ def partitioned_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("ids_round_trip")
 def ids_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    path = _scratch(spark, "ids")
+    path = scratch_path(spark, "ids")
     sinks.write_ids_csv(given.seeds(spark, sf), path)
     return tables.read_ids_csv(spark, path)

@@ -11,7 +11,6 @@ from cohortgraph.schemas import POST_COLUMNS, RAW_USER_FIELDS, user_column
 # are not parseable with the current formatter, so the text is read from the month on.
 TIME_TEXT_START = 5
 TIME_TEXT_FORMAT = "MMM dd HH:mm:ss Z yyyy"
-TIME_TEXT_FORMAT_WITH_DAY = "EEE MMM dd HH:mm:ss Z yyyy"
 
 
 def epoch_seconds(text: Column | str) -> Column:

@@ -11,21 +11,28 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortgraph import sinks
 from cohortgraph.operators.shards import assign_shards, chunk_ids
+from cohortgraph.operators.shards import hash_shards as shard_by_hash
 from cohortgraph.plans import batches, levels, links, metrics, profiles, worklist
 from cohortgraph.plans.extract import extract_posts
 from cohortgraph.plans.snowball import snowball
 from cohortgraph.schemas import RAW_POST, RAW_USER, USER_COLUMNS
-from cohortgraph.session import build_session
+from cohortgraph.session import build_session, materialize
 from cohortgraph.sources import landing, tables
 
 
+#: What a pull tells of a post when only its author is wanted.
+PULLED = T.StructType([f for f in RAW_POST.fields if f.name == "id_str"]).add("user", T.StructType().add("id_str", "string"))
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where each table lies. The relative paths are fixed values."""
@@ -44,6 +51,12 @@ class Layout:
     def raw_friends(self, country: str) -> str:
         return self.path("friends_ids", country, "API", "*", "*.json")
 
+    def raw_followers(self, country: str) -> str:
+        return self.path("followers_ids", country, "API", "*", "*.json")
+
+    def staging(self, name: str) -> str:
+        return self.path("staging", name)
+
     @property
     def posts(self) -> str:
         return self.path("user_timeline", "extract")
@@ -73,8 +86,38 @@ class Layout:
         return self.path("user_timeline", "batch_tmp")
 
     @property
-    def work(self) -> str:
-        return self.path("user_timeline", "work")
+    def bad_pulled(self) -> str:
+        return self.path("user_timeline", "badPulledRecords")
+
+    @property
+    def newer(self) -> str:
+        return self.path("user_timeline", "newer")
+
+    @property
+    def manifest(self) -> str:
+        return self.path("metrics", "manifest")
+
+    @property
+    def coverage(self) -> str:
+        return self.path("metrics", "pull_coverage")
+
+    @property
+    def lookup_coverage(self) -> str:
+        return self.path("metrics", "lookup_coverage")
+
+    @property
+    def estimate(self) -> str:
+        return self.path("metrics", "requests")
+
+    @property
+    def monthly(self) -> str:
+        return self.path("metrics", "monthly")
+
+    def funnel(self, pull_type: str) -> str:
+        return self.path("metrics", "funnel", pull_type)
+
+    def work(self, pull_type: str) -> str:
+        return self.path("user_timeline", "work", pull_type)
 
     @property
     def seeds(self) -> str:
@@ -110,6 +153,9 @@ class Layout:
     def friends_batch(self, country: str) -> str:
         return self.path("friends_ids", country, "batch.csv")
 
+    def friends_work(self, country: str) -> str:
+        return self.path("friends_ids", country, "work")
+
     def friends(self, country: str) -> str:
         return self.path("friends_ids", country, "edges")
 
@@ -127,34 +173,45 @@ class Jobs:
     def _locations(self) -> DataFrame:
         return self._table(self.at.locations, "user_location", "country_short")
 
-    def _stored_friends(self, country: str) -> DataFrame:
+    def _or_empty(self, read: Callable[[], DataFrame], schema: str) -> DataFrame:
+        """``read()``, or no rows if nothing lies there."""
         try:
-            return tables.read_friend_lists(self.spark, self.at.raw_friends(country))
+            return read()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], "user_id string, friend_ids array<string>")
-
-    def _write_from_landing(
-        self, raw: DataFrame, plan: Callable[[DataFrame], DataFrame], path: str, bad_path: str, files: int | None = None
+            return self.spark.createDataFrame([], schema)
+
+    def _stored_friend_users(self, country: str) -> DataFrame:
+        path = self.at.raw_friends(country)
+        return self._or_empty(lambda: tables.friend_map_users(tables.read_friend_maps(self.spark, path), "friends"), "user_id string")
+
+    def _files(self, path: str) -> DataFrame:
+        name = landing.file_name("path").alias("file_name")
+        return self._or_empty(lambda: self.spark.read.format("binaryFile").load(path).select(name), "file_name string")
+
+    def _staged(self, paths: str | list[str], schema: T.StructType, name: str, bad_path: str, multi_line: bool) -> DataFrame:
+        """The landing zone parsed once into a staging table; what is bad goes to the
+        quarantine, which is always written anew, so a repaired file leaves it."""
+        raw = landing.read_landing(self.spark, paths, schema, multi_line)
+        records = landing.staged(raw, self.at.staging(name))
+        sinks.write_table(landing.bad_records(records), bad_path)
+        return records
+
+    def extract(
+        self, countries: list[str], date: str = "*", pull_type: str = "*", files: int | None = None, multi_line: bool = True, **_
     ) -> None:
-        """Bad records are counted while the good ones are written, and only read again,
-        for the quarantine, if there are any."""
-        seen = Observation("landing")
-        counted = raw.observe(seen, F.count_if(~landing.is_good()).alias("n_bad"))
-        sinks.write_table(plan(landing.split_corrupt(counted)[0]), path, n_files=files)
-        if seen.get["n_bad"]:
-            sinks.write_table(landing.split_corrupt(raw)[1], bad_path)
-
-    def extract(self, files: int | None = None, multi_line: bool = True, **_) -> None:
-        """Raw posts to the post table."""
-        raw = landing.read_landing(self.spark, self.at.raw_posts(), RAW_POST, multi_line)
-        self._write_from_landing(raw, extract_posts, self.at.posts, self.at.bad_posts, files)
-
-    def audit(self, multi_line: bool = True, **_) -> None:
-        """Records per landing file; files skipped as unreadable have none."""
-        raw = landing.read_landing(self.spark, self.at.raw_posts(), RAW_POST, multi_line)
-        sinks.write_table(landing.audit_files(self.spark, self.at.raw_posts(), raw), self.at.audit)
+        """Raw posts to the post table; all pulls, or those of some countries, dates (a glob) or a type."""
+        paths = [self.at.raw_posts(country, date, pull_type) for country in countries or ["*"]]
+        records = self._staged(paths, RAW_POST, "posts", self.at.bad_posts, multi_line)
+        sinks.write_table(extract_posts(landing.good_records(records).drop("source_file")), self.at.posts, n_files=files)
+
+    def audit(self, countries: list[str], date: str = "*", pull_type: str = "*", **_) -> None:
+        """Records per landing file, as the last ``extract`` staged them; files it skipped as
+        unreadable have none. Only names and sizes are read from the landing zone."""
+        paths = [self.at.raw_posts(country, date, pull_type) for country in countries or ["*"]]
+        records = self._table(self.at.staging("posts"), "source_file", "is_good")
+        sinks.write_table(landing.audit_files(self.spark, paths, records), self.at.audit)
 
     def timeline_profiles(self, **_) -> None:
         posts = self._table(self.at.posts, "tweet_id", "tweet_timestamp", *USER_COLUMNS)
@@ -162,11 +219,9 @@ class Jobs:
 
     def users_profiles(self, multi_line: bool = True, **_) -> None:
         """Raw user lookups to the lookup table."""
-        raw = landing.read_landing(self.spark, self.at.raw_users(), RAW_USER, multi_line)
-        locations = self._locations()
-        self._write_from_landing(
-            raw, lambda users: profiles.users_profiles(users, locations), self.at.lookups, self.at.bad_users
-        )
+        records = self._staged(self.at.raw_users(), RAW_USER, "users", self.at.bad_users, multi_line)
+        users = landing.good_records(records).drop("source_file")
+        sinks.write_table(profiles.users_profiles(users, self._locations()), self.at.lookups)
 
     def snowball(self, distinct_authors: bool = False, **_) -> None:
         posts = self._table(self.at.posts)
@@ -197,60 +252,111 @@ class Jobs:
     ) -> None:
         """Batch users without a post in the named pulls (``date`` may be a glob)."""
         paths = [self.at.raw_posts(country, date, pull_type) for country in countries]
-        pulled, _bad = landing.read_posts(self.spark, paths, multi_line=multi_line)
-        pulled = pulled.select(F.col("user.id_str").alias("user_id"))
+        records = self._staged(paths, PULLED, "pulled", self.at.bad_pulled, multi_line)
+        pulled = landing.good_records(records).select(F.col("user.id_str").alias("user_id"))
         sinks.write_table(batches.remaining_batch(self._table(self.at.batch), pulled), self.at.remaining)
 
     def network_batch(self, countries: list[str], **_) -> None:
         """A country without any stored friend list gets all its users."""
         for country in countries:
-            stored = self._stored_friends(country)
+            stored = self._stored_friend_users(country)
             users = self._table(self.at.profiles, "user_id", "country_short")
             sinks.write_ids_csv(batches.network_batch(users, stored, country), self.at.friends_batch(country))
 
+    def network_work(self, countries: list[str], shards: int, hash_shards: bool = False, **_) -> None:
+        """The friend batches as shards."""
+        for country in countries:
+            users = tables.read_ids_csv(self.spark, self.at.friends_batch(country))
+            sinks.write_partitioned(self._sharded(users, shards, hash_shards), self.at.friends_work(country), ["shard"], whole=True)
+
     def friend_edges(self, countries: list[str], **_) -> None:
         for country in countries:
             stored = tables.read_friend_lists(self.spark, self.at.raw_friends(country))
             sinks.write_table(links.friend_edges(stored, distinct=True), self.at.friends(country))
 
     def level_stats(self, countries: list[str], depth: int = 4, **_) -> None:
-        for country in countries:
-            stats = levels.level_stats(
+        """One table for each country; all are searched together."""
+        stats = materialize(
+            levels.level_stats(
                 self._table(self.at.posts, "user_id", "tweet_mentioned_user_id"),
                 self._table(self.at.profiles, "user_id", "country_short"),
                 self._table(self.at.seeds, "user_id"),
-                country,
+                countries,
                 depth,
-            )
-            sinks.write_table(stats, self.at.stats(country))
+            ),
+            "stats",
+        )
+        for country in countries:
+            sinks.write_table(stats.where(F.col("country_short") == country).drop("country_short"), self.at.stats(country))
 
     def post_urls(self, countries: list[str], all_urls: bool = False, **_) -> None:
+        """Replaces the partitions of ``countries``; one without links is left empty."""
         posts = self._table(self.at.posts, "tweet_id", "user_location", "tweet_urls")
-        urls = links.post_urls(posts, self._locations(), countries, all_urls)
+        urls = materialize(links.post_urls(posts, self._locations(), countries, all_urls), "urls")
         sinks.write_partitioned(urls, self.at.urls, ["country_short"])
+        found = {r.country_short for r in urls.select("country_short").distinct().collect()}
+        for country in countries:
+            if country not in found:
+                sinks.empty_partition(urls, self.at.urls, "country_short", country)
 
-    def select_work(self, countries: list[str], pull_type: str, shards: int, **options) -> None:
-        """The timeline work list, one directory per country and shard."""
-        names = ("min_timestamp", "max_timestamp", "drop_seeds")
-        filters = {name: options[name] for name in names if options.get(name)}
-        work = worklist.select_work(self._table(self.at.batch), countries, pull_type, shards, **filters)
-        sinks.write_partitioned(work, self.at.work, ["country_short", "shard"])
+    @staticmethod
+    def _sharded(users: DataFrame, shards: int, by_hash: bool, by: tuple[str, ...] = ()) -> DataFrame:
+        return shard_by_hash(users, shards) if by_hash else assign_shards(users, shards, by=by)
 
-    def lookup_work(self, shards: int, chunk: int = 100, **_) -> None:
-        """The lookup batch as shards of requests."""
+    def select_work(
+        self, countries: list[str], pull_type: str, shards: int, hash_shards: bool = False, remaining: bool = False, **options
+    ) -> None:
+        """The timeline work list of one pull type, written anew: one directory per country
+        and shard. From the batch, or from what a pull has left of it."""
+        names = ("min_timestamp", "max_timestamp", "drop_seeds")
+        filters = worklist.work_filters(countries, pull_type, **{name: options[name] for name in names if options.get(name)})
+        batch = self._table(self.at.remaining if remaining else self.at.batch)
+        sinks.write_table(metrics.filter_funnel(batch, filters), self.at.funnel(pull_type))
+        users = materialize(worklist.select_users(batch, filters), "users")
+        work = self._sharded(users, shards, hash_shards, ("country_short",))
+        sinks.write_partitioned(work, self.at.work(pull_type), ["country_short", "shard"], whole=True)
+
+    def lookup_work(self, shards: int, chunk: int = 100, hash_shards: bool = False, **_) -> None:
+        """The lookup batch as shards of requests, written anew."""
         users = self._table(self.at.lookup_batch, "user_id")
-        requests = chunk_ids(assign_shards(users, shards, by=()), chunk, by=["shard"])
-        sinks.write_partitioned(requests, self.at.lookup_work, ["shard"])
-
-    def pull_manifest(self, **_) -> DataFrame:
+        requests = chunk_ids(self._sharded(users, shards, hash_shards), chunk, by=["shard"])
+        sinks.write_partitioned(requests, self.at.lookup_work, ["shard"], whole=True)
+
+    def pull_coverage(self, **_) -> None:
+        """Users of the batch asked for and got, by the posts of the last ``extract``."""
+        posts = self._table(self.at.posts, "tweet_id", "user_id")
+        sinks.write_table(metrics.pull_coverage(self._table(self.at.batch), posts), self.at.coverage)
+
+    def lookup_coverage(self, **_) -> None:
+        asked, got = self._table(self.at.lookup_batch, "user_id"), self._table(self.at.lookups, "user_id")
+        sinks.write_table(metrics.lookup_coverage(asked, got), self.at.lookup_coverage)
+
+    def request_estimate(self, page: int = 200, **_) -> None:
+        users, posts = self._table(self.at.batch, "user_id").distinct(), self._table(self.at.posts, "tweet_id", "user_id")
+        sinks.write_table(metrics.request_estimate(users, posts, page), self.at.estimate)
+
+    def monthly_counts(self, **_) -> None:
+        """Posts of the post table by month."""
+        posts = self._table(self.at.posts, "user_id", "tweet_timestamp")
+        dated = posts.withColumn("tweet_timestamp", F.timestamp_seconds("tweet_timestamp"))
+        sinks.write_table(metrics.monthly_counts(dated, "tweet_timestamp"), self.at.monthly)
+
+    def newer_posts(self, **_) -> None:
+        """Posts of the post table that are newer than their author's mark in the batch."""
+        marks = self._table(self.at.batch, "user_id", "tweet_id").where("tweet_id IS NOT NULL")
+        sinks.write_table(worklist.newer_than_mark(self._table(self.at.posts), marks), self.at.newer)
+
+    def pull_manifest(self, **_) -> None:
         """Totals of the stored pull files, from their names alone."""
-        paths = [self.at.raw_posts(), self.at.raw_users()]
-        files = self.spark.read.format("binaryFile").load(paths)
-        files = files.select(landing.file_name("path").alias("file_name"))
-        return metrics.pull_manifest(files)
+        found = [self._files(path) for path in (self.at.raw_posts(), self.at.raw_users(), self.at.raw_friends("*"), self.at.raw_followers("*"))]
+        files = reduce(DataFrame.unionByName, found)
+        sinks.write_table(metrics.pull_manifest(files), self.at.manifest)
 
 
 JOBS = [name for name in vars(Jobs) if not name.startswith("_")]
+NEED_COUNTRIES = {
+    "remaining_batch", "network_batch", "network_work", "friend_edges", "level_stats", "post_urls", "select_work"
+}
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -271,14 +377,20 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--chunk", type=int, default=100)
     parser.add_argument("--depth", type=int, default=4)
     parser.add_argument("--files", type=int)
+    parser.add_argument("--page", type=int, default=200)
+    parser.add_argument("--hash-shards", action="store_true", help="shards by hash, equal on average, without a shuffle")
+    parser.add_argument("--remaining", action="store_true", help="select from the remaining batch")
+    parser.add_argument("--shuffle-width", help="shuffle partitions that adaptive execution starts from")
     options = vars(parser.parse_args(arguments))
     job, root = options.pop("job"), options.pop("root")
+    if job in NEED_COUNTRIES and not options["countries"]:
+        parser.error(f"{job} needs --countries")
     spark = build_session(f"cohortgraph {job}")
+    if width := options.pop("shuffle_width"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", width)
     if options.pop("skip_corrupt_files"):
         landing.skip_corrupt_files(spark)
-    result = getattr(Jobs(spark, root), job)(**options)
-    if result is not None:
-        result.show(1000, truncate=False)
+    getattr(Jobs(spark, root), job)(**options)
 
 
 if __name__ == "__main__":

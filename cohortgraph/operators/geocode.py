@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from cohortgraph.operators.sizing import BROADCAST_LIMIT_BYTES, text_bytes
 
-SALTS = 32
-
 
 def unique_locations(locations: DataFrame) -> DataFrame:
     """One country per location; doubled locations would multiply the joined rows.
@@ -25,7 +23,6 @@ def unique_locations(locations: DataFrame) -> DataFrame:
 def attach_country(
     df: DataFrame,
     locations: DataFrame,
-    salt_on: str,
     how: str = "left",
     countries: Sequence[str] | None = None,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
@@ -35,11 +32,9 @@ def attach_country(
     ``how="left"`` keeps unknown and null locations with a null country,
     ``"inner"`` drops them; ``countries`` limits the locations before they are joined.
     The location table is measured first: up to ``broadcast_limit`` bytes it is
-    broadcast. Beyond, both sides are shuffled on
-    (location, salt): a location that many rows share, and the null location, is
-    spread over ``SALTS`` tasks by the hash of ``salt_on``, and each location is
-    sent to all of them. The salt is a hash, not a random number, so a retried
-    task repeats it.
+    broadcast. Beyond, both sides are shuffled on the location. Rows without one can match
+    nothing: they go round the join (left) or are dropped before it (inner). A location that
+    many rows share is split by adaptive execution, which repeats only that location's row.
     """
     locations = locations.select("user_location", "country_short")
     resolved = unique_locations(locations)
@@ -47,7 +42,8 @@ def attach_country(
         resolved = resolved.where(F.col("country_short").isin(list(countries)))
     if text_bytes(locations) <= broadcast_limit:
         return df.join(F.broadcast(resolved), "user_location", how)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_on), F.lit(SALTS)))
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
-    resolved = resolved.withColumn("_salt", F.explode(salts))
-    return salted.join(resolved, ["user_location", "_salt"], how).drop("_salt")
+    located = df.where(F.col("user_location").isNotNull()).join(resolved, "user_location", how)
+    if how == "inner":
+        return located
+    nowhere = df.where(F.col("user_location").isNull())
+    return located.unionByName(nowhere.withColumn("country_short", F.lit(None).cast("string")))

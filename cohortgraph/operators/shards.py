@@ -71,7 +71,8 @@ def assign_shards(
 def hash_shards(df: DataFrame, n_shards: int, key: str = "user_id", seed: int = 0) -> DataFrame:
     """Shards by hash of the id: no shuffle and stable when the list grows, with sizes
     equal only on average."""
-    return df.withColumn("shard", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(n_shards)).cast("int"))
+    number = F.conv(F.substring(shuffle_hash(key, seed), 1, 15), 16, 10).cast("long")
+    return df.withColumn("shard", (number % n_shards).cast("int"))
 
 
 def chunk_ids(

@@ -17,6 +17,6 @@ def text_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def id_rows_fit(n_rows: int, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
-    """Whether counted one-id rows (ids are at most 20 digits) are small enough."""
-    return n_rows * (ROW_OVERHEAD_BYTES + 20) <= limit
+def fits(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
+    """Whether a table of text columns is measured small enough."""
+    return text_bytes(df) <= limit

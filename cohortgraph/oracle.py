@@ -36,25 +36,34 @@ CTES = {
         SELECT event_id, CAST(event_id AS VARCHAR) AS tweet_id,
                CAST(floor(epoch(ts)) AS BIGINT) AS tweet_timestamp,
                CAST(user_id AS VARCHAR) AS user_id,
-               CASE WHEN event_type = 'view' THEN json_extract_string(props, '$.k') END AS mentioned,
-               CASE WHEN event_type = 'click' THEN json_extract_string(props, '$.k') END AS tweet_retweeted_user_id,
+               CASE WHEN event_type <> 'view' THEN NULL
+                    WHEN event_id % 3 = 0 THEN [json_extract_string(props, '$.k'), CAST(user_id AS VARCHAR),
+                                                json_extract_string(props, '$.k')]
+                    ELSE [json_extract_string(props, '$.k')] END AS mentioned,
+               CASE WHEN event_type = 'click' OR event_type = 'view' AND event_id % 2 = 0
+                    THEN json_extract_string(props, '$.k') END AS tweet_retweeted_user_id,
                CASE WHEN event_type = 'purchase' THEN json_extract_string(props, '$.k') END
                    AS tweet_in_reply_to_user_id
         FROM events""",
     "flat_posts": """
-        SELECT p.event_id, tweet_id, tweet_timestamp, event_type[1:2] AS tweet_lang,
+        SELECT p.event_id, tweet_id, tweet_timestamp, event_type AS tweet_lang,
                event_type || ' ' || props AS tweet_text, tweet_retweeted_user_id, tweet_in_reply_to_user_id,
-               mentioned AS tweet_mentioned_user_id,
-               CASE WHEN event_type = 'view' THEN 'https://example.org/post/' || tweet_id END AS tweet_urls,
-               CASE WHEN event_type = 'signup' THEN r_name || '/' || n_name ELSE '' END AS tweet_place,
-               CASE WHEN event_type = 'purchase' THEN -value END AS tweet_coordinates,
+               array_to_string(mentioned, '|') AS tweet_mentioned_user_id,
+               CASE WHEN event_type = 'view' THEN 'https://example.org/post/' || tweet_id
+                    || '|https://example.org/user/' || p.user_id END AS tweet_urls,
+               CASE WHEN event_type = 'signup' THEN '{"id":"' || c.c_nationkey || '","country_code":"' || r_name
+                    || '","full_name":"' || n_name
+                    || '","bounding_box":{"type":"Polygon","coordinates":[[[1,2],[3,4]]]}}' END AS tweet_place,
+               CASE WHEN event_type = 'purchase' THEN value END AS tweet_longitude,
+               CASE WHEN event_type = 'purchase' THEN -value END AS tweet_latitude,
                u.* EXCLUDE (c_custkey, user_statuses_count), p.event_id AS user_statuses_count
         FROM posts p JOIN events e ON p.event_id = e.event_id
              JOIN user_columns u ON u.c_custkey = e.user_id JOIN users c ON c.c_custkey = e.user_id""",
     "edges": """
         SELECT user_id, t.neighbor_id
-        FROM posts, LATERAL (VALUES (mentioned), (tweet_retweeted_user_id), (tweet_in_reply_to_user_id))
-                        AS t(neighbor_id)
+        FROM (SELECT user_id, unnest(list_concat(coalesce(mentioned, []),
+                                                 [tweet_retweeted_user_id, tweet_in_reply_to_user_id])) AS neighbor_id
+              FROM posts) AS t
         WHERE t.neighbor_id IS NOT NULL""",
     "snowball": """
         SELECT neighbor_id AS user_id, l.country_short, count(*) AS n_users,
@@ -125,7 +134,17 @@ CTES = {
               WHERE user_id NOT IN (SELECT user_id FROM timelines)) b
              LEFT JOIN seeds s ON s.user_id = b.user_id""",
     "fresh": "SELECT * FROM posts WHERE tweet_timestamp >= 1706572800",
-    "friend_lists": "SELECT DISTINCT user_id, mentioned AS friend_id FROM posts WHERE mentioned IS NOT NULL",
+    "friend_lists": "SELECT DISTINCT user_id, mentioned[1] AS friend_id FROM posts WHERE mentioned IS NOT NULL",
+    "arrays": """
+        SELECT u.*, ['sound', 'mistyped', 'nameless', 'broken'][user_followers_count % 4 + 1] AS kind
+        FROM (SELECT CASE WHEN c_acctbal >= 0 THEN user_id || '1' END AS tweet_id,
+                     CASE WHEN c_acctbal >= 0 THEN 1600000000 + CAST(floor(c_acctbal) AS BIGINT) END AS tweet_timestamp,
+                     c.* EXCLUDE (c_custkey) FROM user_columns c JOIN users USING (user_id)) u""",
+    "laid_out": """
+        SELECT CASE WHEN user_friends_count % 2 = 0 THEN 'XA' ELSE 'XB' END AS country_short,
+               strftime(make_timestamp(tweet_timestamp * 1000000), '%d') || '2024' AS pull_date,
+               CASE WHEN tweet_lang = 'view' THEN 'full' ELSE 'update' END AS pull_type
+        FROM flat_posts""",
     "links": """
         SELECT CAST(page_id AS VARCHAR) AS tweet_id, upper(regexp_extract(url, '//[^/]+/([a-z]+)/', 1))
                    AS country_short,
@@ -136,16 +155,21 @@ CTES = {
 }
 
 WALK = """
-    inside AS (SELECT user_id FROM country_users WHERE country_short = 'AFRICA'),
+    inside AS (SELECT user_id, country_short FROM country_users
+               WHERE country_short IN ('AFRICA', 'AMERICA', 'EUROPE')),
+    mentions AS (SELECT user_id, unnest(mentioned) AS neighbor_id FROM posts),
     inside_edges AS (
-        SELECT DISTINCT user_id, mentioned AS neighbor_id FROM posts
-        WHERE user_id IN (SELECT user_id FROM inside) AND mentioned IN (SELECT user_id FROM inside)),
-    walk(user_id, depth) AS (
-        SELECT user_id, 0 FROM seeds WHERE user_id IN (SELECT user_id FROM inside)
+        SELECT DISTINCT a.country_short, m.user_id, m.neighbor_id
+        FROM mentions m JOIN inside a ON a.user_id = m.user_id
+             JOIN inside b ON b.user_id = m.neighbor_id AND b.country_short = a.country_short),
+    walk(country_short, user_id, depth) AS (
+        SELECT country_short, user_id, 0 FROM inside WHERE user_id IN (SELECT user_id FROM seeds)
         UNION
-        SELECT e.neighbor_id, w.depth + 1 FROM walk w JOIN inside_edges e ON e.user_id = w.user_id
+        SELECT e.country_short, e.neighbor_id, w.depth + 1
+        FROM walk w JOIN inside_edges e ON e.user_id = w.user_id AND e.country_short = w.country_short
         WHERE w.depth < 4),
-    members AS (SELECT user_id, CAST(min(depth) AS INTEGER) AS level FROM walk GROUP BY user_id)"""
+    members AS (SELECT country_short, user_id, CAST(min(depth) AS INTEGER) AS level
+                FROM walk GROUP BY country_short, user_id)"""
 
 
 def sql(body: str, *names: str) -> str:
@@ -234,14 +258,16 @@ ORACLE_SQL = {
            EXCEPT SELECT user_id FROM friend_lists""",
         *LOOKUPS, "posts", "friend_lists",
     ),
-    "level_members": walk("SELECT user_id, level FROM members"),
+    "level_members": walk("SELECT country_short, user_id, level FROM members"),
     "level_stats": walk(
-        """SELECT count(*) FILTER (level = 0) AS n_seeds,
+        """SELECT country_short, count(*) FILTER (level = 0) AS n_seeds,
                   count(*) FILTER (level = 1) AS n_snowball_1,
                   count(*) FILTER (level = 2) AS n_snowball_2,
                   count(*) FILTER (level = 3) AS n_snowball_3,
                   count(*) FILTER (level = 4) AS n_snowball_4
-           FROM members"""
+           FROM (VALUES ('AFRICA'), ('AMERICA'), ('EUROPE'), ('NOWHERE')) AS asked(country_short)
+                LEFT JOIN members USING (country_short)
+           GROUP BY country_short"""
     ),
     "post_urls": sql(
         """SELECT tweet_id, urls[1] AS url, country_short FROM links
@@ -315,7 +341,8 @@ ORACLE_SQL = {
         """SELECT country_short, pull_type, count(*) AS n_users_asked,
                   count(n) AS n_users_got, count(*) - count(n) AS n_users_missed,
                   CAST(coalesce(sum(n), 0) AS BIGINT) AS n_tweets
-           FROM (SELECT country_short, CASE WHEN b.tweet_timestamp IS NULL THEN 'full' ELSE 'update' END AS pull_type,
+           FROM (SELECT country_short, CASE WHEN b.tweet_timestamp IS NOT NULL AND b.tweet_id IS NOT NULL THEN 'update' ELSE 'full' END
+                            AS pull_type,
                         (SELECT nullif(count(*), 0) FROM fresh f WHERE f.user_id = b.user_id) AS n
                  FROM batch b)
            GROUP BY country_short, pull_type""",
@@ -346,7 +373,7 @@ ORACLE_SQL = {
         """SELECT country_short, pull_date, pull_type, count(*) AS n_files,
                   CAST(sum(users) AS BIGINT) AS n_users, CAST(sum(views) AS BIGINT) AS n_requests,
                   CAST(sum(posts) AS BIGINT) AS n_tweets
-           FROM (SELECT upper(r_name[1:2]) AS country_short, strftime(ts, '%d%m%Y') AS pull_date,
+           FROM (SELECT chr(65 + n_regionkey // 26) || chr(65 + n_regionkey % 26) AS country_short, strftime(ts, '%d%m%Y') AS pull_date,
                         CASE WHEN c_mktsegment = 'BUILDING' THEN 'full' ELSE 'update' END AS pull_type,
                         c_mktsegment, count(DISTINCT u.user_id) AS users, count(*) AS posts,
                         count(*) FILTER (event_type = 'view') AS views
@@ -356,9 +383,59 @@ ORACLE_SQL = {
         "users",
     ),
     "landing_round_trip": sql("SELECT * EXCLUDE (event_id) FROM flat_posts", *FLAT),
-    "landing_files": """
-        SELECT 'XX' AS country_short, '30012024' AS pull_date, 'full' AS pull_type,
-               (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier) AS n_records""",
+    "landing_files": sql(
+        """SELECT country_short, pull_date, pull_type, count(*) AS n_records, count(*) AS n_in_place
+           FROM laid_out GROUP BY ALL""",
+        *FLAT, "laid_out",
+    ),
+    "landing_arrays": sql(
+        """SELECT * EXCLUDE (kind) REPLACE (CASE WHEN kind = 'sound' THEN user_friends_count END AS user_friends_count)
+           FROM arrays WHERE kind IN ('sound', 'mistyped')""",
+        "users", "user_columns", "arrays",
+    ),
+    "landing_quarantine": sql(
+        """SELECT kind, '{"followers_count":' || user_followers_count || ',"name":"' || user_name || '"}' AS bad_text
+           FROM arrays WHERE kind = 'nameless'
+           UNION ALL
+           SELECT 'broken', '[' || string_agg(record, ',' ORDER BY record) || chr(10) FROM (
+               SELECT user_followers_count AS nation, '{'
+                   || CASE WHEN tweet_id IS NULL THEN '' ELSE '"status":{"id_str":"' || tweet_id || '","created_at":"'
+                        || strftime(make_timestamp(tweet_timestamp * 1000000), '%a %b %d %H:%M:%S +0000 %Y') || '"},' END
+                   || '"created_at":"' || strftime(make_timestamp(user_timestamp * 1000000), '%a %b %d %H:%M:%S +0000 %Y')
+                   || '","default_profile_image":' || user_default_profile_image
+                   || ',"description":"' || user_description || '","favourites_count":' || user_favourites_count
+                   || ',"followers_count":' || user_followers_count || ',"friends_count":' || user_friends_count
+                   || ',"geo_enabled":' || user_geo_enabled || ',"id_str":"' || user_id || '","location":"'
+                   || user_location || '","name":"' || user_name || '","notifications":' || user_notifications
+                   || ',"profile_image_url_https":"' || user_profile_image_url_https || '","protected":' || user_protected
+                   || ',"screen_name":"' || user_screen_name || '","statuses_count":' || user_statuses_count
+                   || CASE WHEN user_url IS NULL THEN '' ELSE ',"url":"' || user_url || '"' END
+                   || ',"verified":' || user_verified || '}' AS record
+               FROM arrays WHERE kind = 'broken')
+           GROUP BY nation""",
+        "users", "user_columns", "arrays",
+    ),
+    "landing_audit": sql(
+        """SELECT kind, count(DISTINCT user_followers_count) AS n_files,
+                  CAST(count(*) FILTER (kind IN ('sound', 'mistyped')) AS BIGINT) AS n_records,
+                  CASE kind WHEN 'nameless' THEN count(*) WHEN 'broken' THEN count(DISTINCT user_followers_count)
+                            ELSE 0 END AS n_bad
+           FROM arrays GROUP BY kind""",
+        "users", "user_columns", "arrays",
+    ),
+    "landing_schema": """
+        SELECT * FROM (VALUES ('followers_count', 'bigint'), ('id_str', 'string'),
+            ('status', 'struct<created_at:string,id_str:string>'), ('verified', 'boolean')) AS t(name, type)
+        WHERE EXISTS (FROM customer)""",
+    "table_round_trip": """
+        SELECT CAST(ceil(count(*) / 1000) AS BIGINT) AS n_files, count(*) AS n_rows,
+               least(count(*), 1000) AS n_most FROM lineitem""",
+    "friend_files": sql("SELECT user_id, friend_id FROM friend_lists", "posts", "friend_lists"),
+    "hash_shard_users": sql(
+        """SELECT *, CAST(CAST('0x' || substr(md5(user_id || '0'), 1, 15) AS BIGINT) % 7 AS INTEGER) AS shard
+           FROM country_users""",
+        "users", "country_users",
+    ),
     "partitioned_round_trip": sql(
         "SELECT country_short, count(*) AS n_users FROM country_users GROUP BY country_short", "users", "country_users"
     ),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortgraph.functions.columns import epoch_to_timestamp, numeric_id
 from cohortgraph.operators.idsets import union_minus
+from cohortgraph.session import materialize
 
 
 def users_batch(seeds: DataFrame, snowball: DataFrame, known: DataFrame) -> DataFrame:
@@ -60,8 +61,10 @@ def timeline_batch_v1(profiles: DataFrame, lookups: DataFrame, snowball: DataFra
     """Users to pull, every country they are geocoded in or snowballed from.
 
     Snowballed pairs carry ``n_users``; a pair that is also geocoded does not. Pairs
-    are reduced in one aggregation, then the last post is attached by user.
+    are reduced in one aggregation, then the last post is attached by user. Profiles are
+    used on both ways, so they are written out once.
     """
+    profiles = materialize(profiles.select("user_id", "country_short", "tweet_id", "tweet_timestamp"), "profiles")
     geocodes = (
         profiles.select("user_id", "country_short")
         .unionByName(lookups.select("user_id", "country_short"))

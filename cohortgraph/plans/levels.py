@@ -1,79 +1,88 @@
-"""Breadth-first levels around the seeds, inside one country."""
+"""Breadth-first levels around the seeds, inside each country."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortgraph.operators.sizing import id_rows_fit
+from cohortgraph.operators.sizing import fits
 from cohortgraph.session import materialize
 
 
 def country_edges(posts: DataFrame, users: DataFrame) -> DataFrame:
-    """Distinct mention edges with both ends in ``users``.
+    """Distinct mention edges (country, user, neighbor) with both ends in one country of
+    ``users`` (user_id, country_short; one row each).
 
-    Users are counted first. If their ids fit a broadcast, both ends are tested
-    map-side and only edges of the country are shuffled. Otherwise edges are made
-    distinct first: repeated mentions are combined map-side and the pair is the
-    shuffle key, so neither a prolific author nor a celebrity forms a hot partition;
-    the membership tests are then semi joins of plain shuffles, the form in which
-    adaptive execution splits a skewed side.
+    Users are measured first. If they fit a broadcast, both ends are tested map-side and
+    only edges inside a country are shuffled. Otherwise edges are made distinct first:
+    repeated mentions are combined map-side and the pair is the shuffle key, so neither a
+    prolific author nor a celebrity forms a hot partition; the membership tests are then
+    joins of plain shuffles, the form in which adaptive execution splits a skewed side.
     """
-    ends = users.select("user_id")
+    few_users = fits(users)
+    sources, targets = users, users.withColumnRenamed("user_id", "neighbor_id")
+    if few_users:
+        sources, targets = F.broadcast(sources), F.broadcast(targets)
     mentions = posts.select("user_id", "tweet_mentioned_user_id")
-    few_users = id_rows_fit(ends.count())
     if few_users:
-        ends = F.broadcast(ends)
-        mentions = mentions.join(ends, "user_id", "left_semi")
+        edges = mentions.join(sources, "user_id").select(
+            "country_short", "user_id", F.explode("tweet_mentioned_user_id").alias("neighbor_id")
+        )
+        inside = edges.join(targets, ["neighbor_id", "country_short"], "left_semi")
+        return inside.select("country_short", "user_id", "neighbor_id").distinct()
     edges = mentions.select("user_id", F.explode("tweet_mentioned_user_id").alias("neighbor_id"))
-    targets = ends.withColumnRenamed("user_id", "neighbor_id")
-    if few_users:
-        return edges.join(F.broadcast(targets), "neighbor_id", "left_semi").select("user_id", "neighbor_id").distinct()
     edges = edges.where(F.col("user_id").isNotNull() & F.col("neighbor_id").isNotNull()).distinct()
     return (
-        edges.join(ends, "user_id", "left_semi")
-        .join(targets, "neighbor_id", "left_semi")
-        .select("user_id", "neighbor_id")
+        edges.join(sources, "user_id")
+        .join(targets, ["neighbor_id", "country_short"], "left_semi")
+        .select("country_short", "user_id", "neighbor_id")
     )
 
 
 def level_members(
-    posts: DataFrame, profiles: DataFrame, seeds: DataFrame, country: str, depth: int = 4
+    posts: DataFrame, profiles: DataFrame, seeds: DataFrame, countries: Sequence[str], depth: int = 4
 ) -> DataFrame:
-    """(user, level): seeds of the country at 0, users first reached in k steps at k.
+    """(country, user, level): seeds at 0, users first reached in k steps inside the country at k.
 
-    Runs at most ``depth`` rounds and stops when a round finds nobody new. Edges and
-    each level are checkpointed in the shared folder, so every round starts from
-    files: plans do not grow, nothing is recomputed, and a lost executor costs a
-    re-read. A frontier is broadcast only if its counted rows fit.
+    All countries are searched together, with one scan of the posts. Runs at most ``depth``
+    rounds and stops when a round finds nobody new. Edges and each level are written to the
+    shared folder, so every round starts from files: plans do not grow and nothing is
+    recomputed. A frontier is broadcast only if it is measured small enough.
     """
-    users = profiles.where(F.col("country_short") == country).select("user_id")
-    edges = materialize(country_edges(posts, users))
-    reached = seeds.select("user_id").distinct().join(users, "user_id", "left_semi")
-    frontier = materialize(reached.withColumn("level", F.lit(0)))
-    members = frontier
+    key = ["country_short", "user_id"]
+    users = materialize(
+        profiles.where(F.col("country_short").isin(list(countries))).select("user_id", "country_short").distinct(), "users"
+    )
+    edges = materialize(country_edges(posts, users), "edges")
+    reached = users.join(seeds.select("user_id"), "user_id", "left_semi").select(*key)
+    frontier = members = materialize(reached.withColumn("level", F.lit(0)), "level")
     for level in range(1, depth + 1):
-        n_frontier = frontier.count()
-        if n_frontier == 0:
+        if frontier.isEmpty():
             break
-        sources = frontier.select("user_id")
-        if id_rows_fit(n_frontier):
+        sources = frontier.select(*key)
+        if fits(sources):
             sources = F.broadcast(sources)
-        targets = edges.join(sources, "user_id", "left_semi").select(F.col("neighbor_id").alias("user_id")).distinct()
-        fresh = targets.join(members, "user_id", "left_anti")
-        frontier = materialize(fresh.withColumn("level", F.lit(level)))
+        targets = edges.join(sources, key, "left_semi")
+        targets = targets.select("country_short", F.col("neighbor_id").alias("user_id")).distinct()
+        fresh = targets.join(members, key, "left_anti")
+        frontier = materialize(fresh.withColumn("level", F.lit(level)), "level")
         members = members.unionByName(frontier)
     return members
 
 
-def level_counts(members: DataFrame, depth: int = 4) -> DataFrame:
-    """One row: ``n_seeds`` and ``n_snowball_1`` … ``n_snowball_<depth>``."""
+def level_counts(members: DataFrame, countries: Sequence[str], depth: int = 4) -> DataFrame:
+    """A row for each country: ``n_seeds`` and ``n_snowball_1`` … ``n_snowball_<depth>``, 0 where nobody is."""
     names = ["n_seeds", *[f"n_snowball_{level}" for level in range(1, depth + 1)]]
-    return members.agg(*[F.count_if(F.col("level") == level).alias(name) for level, name in enumerate(names)])
+    asked = members.sparkSession.createDataFrame([(c,) for c in dict.fromkeys(countries)], "country_short string")
+    counts = [F.count_if(F.col("level") == level).alias(name) for level, name in enumerate(names)]
+    found = members.groupBy("country_short").agg(*counts)
+    return asked.join(found, "country_short", "left").fillna(0, names)
 
 
 def level_stats(
-    posts: DataFrame, profiles: DataFrame, seeds: DataFrame, country: str, depth: int = 4
+    posts: DataFrame, profiles: DataFrame, seeds: DataFrame, countries: Sequence[str], depth: int = 4
 ) -> DataFrame:
-    """Size of every level, counted in one job."""
-    return level_counts(level_members(posts, profiles, seeds, country, depth), depth)
+    """Size of every level of every country, counted in one job."""
+    return level_counts(level_members(posts, profiles, seeds, countries, depth), countries, depth)

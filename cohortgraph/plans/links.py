@@ -25,7 +25,7 @@ def post_urls(
     keeps one row per post.
     """
     narrow = posts.select("tweet_id", "user_location", "tweet_urls").where(F.size("tweet_urls") > 0)
-    located = attach_country(narrow, locations, salt_on="tweet_id", how="inner", countries=countries)
+    located = attach_country(narrow, locations, how="inner", countries=countries)
     if all_urls:
         return located.select("tweet_id", F.explode("tweet_urls").alias("url"), "country_short")
     first = located.select("tweet_id", F.get("tweet_urls", F.lit(0)).alias("url"), "country_short")

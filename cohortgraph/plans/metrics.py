@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortgraph.functions.columns import ceil_div
+from cohortgraph.plans.worklist import pull_type_of
 
 # Parts of a pull file name. Post files are named
+# (friend and follower files have the same form under their own names)
 #   user_timeline_<u>[_users][_<r>_requests][_<t>_tweets][_<CC>]_<date>_[…_]<full|update>_…
 # user files lookup_users_<n>_<date>_…, friend files friends_ids_<CC>_<n>_users_<yyyy>_<mm>_<dd>_…
 MANIFEST_PATTERNS = {
-    "n_users": r"^user_timeline_(\d+)_|^lookup_users_(\d+)_|^friends_ids_[A-Z]{2}_(\d+)_users_",
+    "n_users": r"^user_timeline_(\d+)_|^lookup_users_(\d+)_|^(?:friends|followers)_ids_[A-Z]{2}_(\d+)_users_",
     "n_requests": r"_(\d+)_requests_",
     "n_tweets": r"_(\d+)_tweets_",
     "country_short": r"_([A-Z]{2})_",
@@ -68,8 +70,7 @@ def pull_coverage(batch: DataFrame, posts: DataFrame) -> DataFrame:
 
     Posts are counted per author before the join, so one row per user meets the batch.
     """
-    pull_type = F.when(F.col("tweet_timestamp").isNull(), "full").otherwise("update").alias("pull_type")
-    pulled = batch.select("user_id", "country_short", pull_type).join(posts_per_user(posts), "user_id", "left")
+    pulled = batch.select("user_id", "country_short", pull_type_of().alias("pull_type")).join(posts_per_user(posts), "user_id", "left")
     got = F.col("n_tweets").isNotNull()
     return pulled.groupBy("country_short", "pull_type").agg(
         F.count(F.lit(1)).alias("n_users_asked"),
@@ -114,6 +115,7 @@ def post_file_name(
 ) -> Column:
     """Name of a post pull file, out of columns with its counters; ``date`` is a timestamp
     column and ``tag`` makes the name unique."""
+    # Fixed value: the form of the name.
     return F.format_string(
         "user_timeline_%d_users_%d_requests_%d_tweets_%s_%s_%s_%s.json.bz2",
         n_users, n_requests, n_tweets, country, F.date_format(date, "ddMMyyyy"), pull_type, tag,
@@ -133,7 +135,7 @@ def parse_pull_names(names: DataFrame, column: str = "file_name") -> DataFrame:
     parts = {field: part(pattern) for field, pattern in MANIFEST_PATTERNS.items()}
     for field in ("n_users", "n_requests", "n_tweets"):
         parts[field] = parts[field].cast("long")
-    is_pull = name.rlike(r"^(user_timeline|lookup_users|friends_ids)_")
+    is_pull = name.rlike(r"^(user_timeline|lookup_users|friends_ids|followers_ids)_")
     return names.select(column, *[F.when(is_pull, value).alias(field) for field, value in parts.items()])
 
 

@@ -29,7 +29,7 @@ def latest_posts(posts: DataFrame) -> DataFrame:
 def timeline_profiles(posts: DataFrame, locations: DataFrame) -> DataFrame:
     """Profile as of the newest post. Geocoding comes last: one row per user is left by then."""
     narrow = posts.select("tweet_id", "tweet_timestamp", *USER_COLUMNS)
-    return attach_country(latest_posts(narrow), locations, salt_on="user_id").select(*PROFILE_COLUMNS)
+    return attach_country(latest_posts(narrow), locations).select(*PROFILE_COLUMNS)
 
 
 def users_profiles(raw_users: DataFrame, locations: DataFrame) -> DataFrame:
@@ -40,4 +40,4 @@ def users_profiles(raw_users: DataFrame, locations: DataFrame) -> DataFrame:
         [F.col("tweet_timestamp"), numeric_id("tweet_id"), F.col("user_statuses_count")],
     )
     columns = [name for name in PROFILE_COLUMNS if name != "tweet_count"]
-    return attach_country(users, locations, salt_on="user_id").select(*columns)
+    return attach_country(users, locations).select(*columns)

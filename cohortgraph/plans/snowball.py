@@ -39,7 +39,7 @@ def snowball(posts: DataFrame, locations: DataFrame, distinct_authors: bool = Fa
         "tweet_retweeted_user_id",
         "tweet_in_reply_to_user_id",
     )
-    edges = interaction_edges(attach_country(narrow, locations, salt_on="tweet_id"), "user_id", "country_short")
+    edges = interaction_edges(attach_country(narrow, locations), "user_id", "country_short")
     count = F.count_distinct("user_id") if distinct_authors else F.count("user_id")
     return (
         edges.groupBy("neighbor_id", "country_short")

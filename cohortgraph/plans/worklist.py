@@ -18,13 +18,16 @@ def in_countries(countries: Sequence[str]) -> Column:
     return F.col("country_short").isin(list(countries))
 
 
+def pull_type_of() -> Column:
+    """``update`` for users with a last post (time and id both known), ``full`` for all others."""
+    known = F.col("tweet_timestamp").isNotNull() & F.col("tweet_id").isNotNull()
+    return F.when(known, "update").otherwise("full")
+
+
 def of_pull_type(pull_type: str) -> Column:
-    """``full``: never pulled, no last post. ``update``: pulled before."""
-    if pull_type == "full":
-        return F.col("tweet_timestamp").isNull() & F.col("tweet_id").isNull()
-    if pull_type == "update":
-        return F.col("tweet_timestamp").isNotNull() & F.col("tweet_id").isNotNull()
-    raise ValueError(f"pull type is full or update, not {pull_type!r}")
+    if pull_type not in ("full", "update"):
+        raise ValueError(f"pull type is full or update, not {pull_type!r}")
+    return pull_type_of() == pull_type
 
 
 def _bound(text: str) -> Column:
@@ -86,7 +89,7 @@ def select_work(
     list read them separately.
     """
     users = select_users(batch, work_filters(countries, pull_type, **options))
-    return assign_shards(materialize(users), n_shards, seed=seed)
+    return assign_shards(materialize(users, "users"), n_shards, seed=seed)
 
 
 def head(users: DataFrame, n: int = 5, key: str = "user_id") -> DataFrame:

@@ -62,10 +62,11 @@ RAW_USER = T.StructType(
 
 
 def raw_post_schema(place: T.DataType | None = None) -> T.StructType:
-    """Schema of one raw post; ``place`` is passed through, so its fields are the caller's."""
+    """Schema of one raw post. ``place`` is passed through whole: as the JSON text of the
+    object, so that no field is lost, unless the caller names its fields."""
     id_struct = T.StructType().add("id_str", "string")
     url_struct = T.StructType().add("expanded_url", "string")
-    place = place or T.StructType().add("country_code", "string").add("full_name", "string")
+    place = place or T.StringType()
     return (
         T.StructType()
         .add("id_str", "string")

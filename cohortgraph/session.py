@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,7 +53,17 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or current
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Rows written to the shared folder, for a result that several branches read."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the driver ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Rows written to the shared folder as Parquet, for a result that several branches read:
+    lineage ends here, a lost executor costs a re-read, and readers prune columns."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

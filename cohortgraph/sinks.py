@@ -25,14 +25,14 @@ def write_table(
     df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], whole: bool = False) -> None:
     """One directory per value of ``columns``, in one pass; only the partitions written
-    are replaced. Rebalancing gathers small partitions and splits large ones, so a
-    dominant country becomes several files instead of one long task."""
+    are replaced, or the ``whole`` table. Rebalancing gathers small partitions and splits
+    large ones, so a dominant country becomes several files instead of one long task."""
     (
         df.hint("rebalance", *columns)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*columns)
         .parquet(path)
     )
@@ -43,16 +43,20 @@ def write_json(
     path: str,
     max_records: int | None = None,
     compression: str = "bzip2",
-    n_files: int | None = None,
+    columns: Sequence[str] = (),
 ) -> None:
-    """JSON Lines, a new file after ``max_records`` records. bzip2 is slow, so few large
-    input partitions are worth spreading over ``n_files`` tasks first."""
-    if n_files is not None:
-        df = df.repartition(n_files)
-    writer = df.write.mode("overwrite").option("compression", compression)
+    """JSON Lines, a new file after ``max_records`` records, one directory per value of
+    ``columns``. Rows are rebalanced first: bzip2 is slow, so every task gets about one
+    advisory partition's bytes, and as many tasks write as the data needs."""
+    writer = df.hint("rebalance", *columns).write.mode("overwrite").option("compression", compression)
     if max_records is not None:
         writer = writer.option("maxRecordsPerFile", max_records)
-    writer.json(path)
+    (writer.partitionBy(*columns) if columns else writer).json(path)
+
+
+def empty_partition(df: DataFrame, path: str, column: str, value: str) -> None:
+    """Leave one partition of a table without rows; ``df`` has the table's columns."""
+    df.drop(column).limit(0).write.mode("overwrite").parquet(f"{path}/{column}={value}")
 
 
 def write_ids_csv(df: DataFrame, path: str, key: str = "user_id") -> None:

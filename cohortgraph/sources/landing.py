@@ -18,49 +18,91 @@ def _paths(paths: Paths) -> list[str]:
 
 
 def read_landing(spark: SparkSession, paths: Paths, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    """All records under ``paths`` (globs allowed), with an imposed schema.
-
-    ``multi_line`` files hold one JSON array and are read by one task each; other
-    files hold one record per line. Compression follows the file suffix. What does
-    not parse is kept as text in ``_corrupt_record``; ``source_file`` is the lineage.
+    """All records under ``paths`` (globs allowed), with an imposed schema and ``source_file``.
+
+    ``multi_line`` files hold one JSON array and are read by one task each; other files hold
+    one record per line. Compression follows the file suffix. A field of the wrong type is
+    null and the rest of its record stays. Of lines that do not parse at all the text is kept
+    in ``_corrupt_record``. An array that does not parse is one record of nulls: Spark would
+    copy the text of the whole file to every record of an array with one bad field, so it is
+    not asked for; ``unparsed_files`` reads the text of those files alone.
     """
     fields = [field for field in schema.fields if field.name != CORRUPT_COLUMN]
-    return (
-        spark.read.schema(T.StructType([*fields, T.StructField(CORRUPT_COLUMN, T.StringType())]))
+    if not multi_line:
+        fields.append(T.StructField(CORRUPT_COLUMN, T.StringType()))
+    read = (
+        spark.read.schema(T.StructType(fields))
         .option("multiLine", multi_line)
         .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .json(_paths(paths))
-        .withColumn("source_file", F.col("_metadata.file_path"))
     )
+    corrupt = F.lit(None).cast("string").alias(CORRUPT_COLUMN) if multi_line else F.col(CORRUPT_COLUMN)
+    names = [field.name for field in schema.fields if field.name != CORRUPT_COLUMN]
+    # Columns that a directory's name adds are no part of a record.
+    return read.select(*names, corrupt, F.col("_metadata.file_path").alias("source_file"))
+
+
+def marked(landing: DataFrame, key: str = "id_str") -> DataFrame:
+    """Records with ``is_good`` and, of bad ones, their text in ``bad_text``.
+
+    Good is what has an id; no later step can use a record without one. A bad record that
+    was parsed is kept as JSON again; its text is null only if its whole file did not parse.
+    """
+    fields = [c for c in landing.columns if c not in (CORRUPT_COLUMN, "source_file")]
+    parsed = F.lit(False)
+    for c in fields:
+        parsed = parsed | F.col(c).isNotNull()
+    text = F.coalesce(CORRUPT_COLUMN, F.when(parsed, F.to_json(F.struct(*fields))))
+    good = F.col(key).isNotNull()
+    return landing.select(*fields, "source_file", good.alias("is_good"), F.when(~good, text).alias("bad_text"))
+
+
+def staged(landing: DataFrame, path: str, key: str = "id_str") -> DataFrame:
+    """Marked records written to ``path`` as Parquet: the landing zone is parsed once, and
+    posts, quarantine and audit are taken from this table."""
+    marked(landing, key).write.mode("overwrite").parquet(path)
+    return landing.sparkSession.read.parquet(path)
 
 
-def is_good(key: str = "id_str") -> Column:
-    """Parsed, and with an id: no later step can use a record without one. (Spark also
-    refuses to read the corrupt-text column alone.)"""
-    return F.col(CORRUPT_COLUMN).isNull() & F.col(key).isNotNull()
+def good_records(records: DataFrame) -> DataFrame:
+    return records.where("is_good").drop("is_good", "bad_text")
 
 
-def split_corrupt(landing: DataFrame, key: str = "id_str") -> tuple[DataFrame, DataFrame]:
-    """(good, bad): good records, and the rest as (source_file, text)."""
-    good = landing.where(is_good(key)).drop(CORRUPT_COLUMN)
-    bad = landing.where(~is_good(key)).select("source_file", CORRUPT_COLUMN)
-    return good, bad
+def unparsed_files(records: DataFrame) -> DataFrame:
+    """(source_file, bad_text) of files of which nothing parsed; only those are read again.
+
+    Their names go through the driver: a name for each file, not for each record.
+    """
+    spark = records.sparkSession
+    names = [r.source_file for r in records.where("NOT is_good AND bad_text IS NULL").select("source_file").distinct().collect()]
+    if not names:
+        return spark.createDataFrame([], "source_file string, bad_text string")
+    text = spark.read.text(names, wholetext=True)
+    return text.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("bad_text"))
+
+
+def bad_records(records: DataFrame) -> DataFrame:
+    """(source_file, bad_text) of every record without an id and of every file that did not parse."""
+    bad = records.where("NOT is_good AND bad_text IS NOT NULL").select("source_file", "bad_text")
+    return bad.unionByName(unparsed_files(records))
 
 
 def read_posts(
     spark: SparkSession, paths: Paths, schema: T.StructType = RAW_POST, multi_line: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Raw posts as (good, bad)."""
-    return split_corrupt(read_landing(spark, paths, schema, multi_line))
+    records = marked(read_landing(spark, paths, schema, multi_line))
+    return good_records(records), bad_records(records)
 
 
 def read_users(
     spark: SparkSession, paths: Paths, schema: T.StructType = RAW_USER, multi_line: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Raw user lookups as (good, bad)."""
-    return split_corrupt(read_landing(spark, paths, schema, multi_line))
+    records = marked(read_landing(spark, paths, schema, multi_line))
+    return good_records(records), bad_records(records)
 
 
 def infer_schema(spark: SparkSession, sample: Paths, multi_line: bool = True) -> T.StructType:
@@ -73,22 +115,29 @@ def skip_corrupt_files(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
 
 
-def audit_files(spark: SparkSession, paths: Paths, landing: DataFrame) -> DataFrame:
-    """(source_file, n_bytes, n_records) of every file under ``paths``; a file that was
-    skipped or gave nothing has 0 records. Only the listing is read, not the contents."""
+def audit_files(spark: SparkSession, paths: Paths, records: DataFrame) -> DataFrame:
+    """(source_file, n_bytes, n_records, n_bad) of every file under ``paths``.
+
+    ``records`` are marked. ``n_records`` counts those with an id; a file that was skipped or
+    gave nothing has 0. Only the listing is read, not the contents.
+    """
     listed = (
         spark.read.format("binaryFile")
         .load(_paths(paths))
         .select(F.col("_metadata.file_path").alias("source_file"), F.col("length").alias("n_bytes"))
     )
-    read = landing.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_records"))
-    return listed.join(read, "source_file", "left").fillna(0, ["n_records"])
+    read = records.groupBy("source_file").agg(
+        F.count_if("is_good").alias("n_records"), F.count_if(~F.col("is_good")).alias("n_bad")
+    )
+    return listed.join(read, "source_file", "left").fillna(0, ["n_records", "n_bad"])
 
 
 def path_parts(path: Column | str = "source_file") -> list[Column]:
-    """Country, pull date and pull type out of ``…/<country>/<date>/<type>/<file>``."""
+    """Country, pull date and pull type out of ``…/<country>/<date>/<type>/<file>``; a
+    directory may also be named ``<column>=<value>``."""
     names = ("country_short", "pull_date", "pull_type")
-    pattern = r"([^/]+)/([^/]+)/([^/]+)/[^/]+$"
+    directory = r"(?:[^/=]+=)?([^/]+)/"
+    pattern = directory * 3 + r"[^/]+$"
     return [F.regexp_extract(path, pattern, group).alias(name) for group, name in enumerate(names, 1)]
 
 

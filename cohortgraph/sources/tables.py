@@ -23,8 +23,13 @@ def read_friend_lists(spark: SparkSession, paths: Paths) -> DataFrame:
     each. A user in two files gives two rows. A file that does not parse stops the job:
     taken for an empty one, its users would be listed again.
     """
+    return explode_friend_map(read_friend_maps(spark, paths))
+
+
+def read_friend_maps(spark: SparkSession, paths: Paths) -> DataFrame:
+    """One map column ``friends``, a row for each file."""
     friend_map = F.from_json("value", "map<string,array<string>>", {"mode": "FAILFAST"})
-    return explode_friend_map(spark.read.text(_paths(paths), wholetext=True).select(friend_map.alias("friends")))
+    return spark.read.text(_paths(paths), wholetext=True).select(friend_map.alias("friends"))
 
 
 def explode_friend_map(maps: DataFrame, column: str = "friends") -> DataFrame:

@@ -27,6 +27,11 @@ SCHEMAS = {
 }
 
 TARGET = "get_json_object(props, '$.k')"
+# Every third view mentions its target twice, and its author too; every other one reposts as well.
+MENTIONED = f"""CASE WHEN event_type = 'view' THEN CASE WHEN event_id % 3 = 0
+    THEN array({TARGET}, CAST(user_id AS string), {TARGET}) ELSE array({TARGET}) END END"""
+REPOSTED = f"CASE WHEN event_type = 'click' OR event_type = 'view' AND event_id % 2 = 0 THEN {TARGET} END"
+COUNTRY_CODE = "chr(65 + CAST(r_regionkey AS int) DIV 26) || chr(65 + CAST(r_regionkey AS int) % 26)"
 POST_TIME = "unix_seconds(CAST(ts AS timestamp))"
 ACCOUNT_TIME = "1400000000 + c_custkey * 3600"
 TIME_TEXT = "date_format(timestamp_seconds({}), 'EEE MMM dd HH:mm:ss Z yyyy')"
@@ -34,8 +39,8 @@ TIME_TEXT = "date_format(timestamp_seconds({}), 'EEE MMM dd HH:mm:ss Z yyyy')"
 POST_COLUMNS = [
     "CAST(event_id AS string) AS tweet_id",
     f"{POST_TIME} AS tweet_timestamp",
-    f"CASE WHEN event_type = 'view' THEN array({TARGET}) END AS tweet_mentioned_user_id",
-    f"CASE WHEN event_type = 'click' THEN {TARGET} END AS tweet_retweeted_user_id",
+    f"{MENTIONED} AS tweet_mentioned_user_id",
+    f"{REPOSTED} AS tweet_retweeted_user_id",
     f"CASE WHEN event_type = 'purchase' THEN {TARGET} END AS tweet_in_reply_to_user_id",
 ]
 
@@ -118,21 +123,23 @@ def profiled_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested posts as pulled: views carry a link, signups a place, purchases coordinates."""
-    target = f"named_struct('id_str', {TARGET})"
+    """Nested posts as pulled: views carry two links, signups a place, purchases coordinates."""
     link = "named_struct('expanded_url', 'https://example.org/post/' || event_id)"
+    more = "named_struct('expanded_url', 'https://example.org/user/' || user_id)"
+    place = """'{"id":"' || n_nationkey || '","country_code":"' || r_name || '","full_name":"' || n_name
+               || '","bounding_box":{"type":"Polygon","coordinates":[[[1,2],[3,4]]]}}'"""
     user = ", ".join(f"'{field}', {value}" for field, value in AUTHOR_FIELDS.items())
     return authored_events(spark, sf_dir).selectExpr(
         "CAST(event_id AS string) AS id_str",
         f"{TIME_TEXT.format(POST_TIME)} AS created_at",
-        "substring(event_type, 1, 2) AS lang",
+        "event_type AS lang",
         "event_type || ' ' || props AS full_text",
         f"CASE WHEN event_type = 'purchase' THEN {TARGET} END AS in_reply_to_user_id_str",
-        f"CASE WHEN event_type = 'click' THEN named_struct('user', {target}) END AS retweeted_status",
-        f"""named_struct('user_mentions', CASE WHEN event_type = 'view' THEN array({target}) END,
-                         'urls', CASE WHEN event_type = 'view' THEN array({link}) END) AS entities""",
-        """CASE WHEN event_type = 'signup'
-                THEN named_struct('country_code', r_name, 'full_name', n_name) END AS place""",
+        f"""CASE WHEN {REPOSTED} IS NOT NULL
+                 THEN named_struct('user', named_struct('id_str', {REPOSTED})) END AS retweeted_status""",
+        f"""named_struct('user_mentions', transform({MENTIONED}, x -> named_struct('id_str', x)),
+                         'urls', CASE WHEN event_type = 'view' THEN array({link}, {more}) END) AS entities""",
+        f"CASE WHEN event_type = 'signup' THEN {place} END AS place",
         """CASE WHEN event_type = 'purchase'
                 THEN named_struct('coordinates', array(value, -value)) END AS coordinates""",
         f"named_struct({user}) AS user",
@@ -177,6 +184,11 @@ def page_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.selectExpr("lang AS user_location", "upper(lang) AS country_short")
 
 
+def place_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(r_name, code): two letters for each region, one-to-one."""
+    return table(spark, sf_dir, "region").selectExpr("r_name", f"{COUNTRY_CODE} AS code")
+
+
 def friend_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One map user → users viewed per author. ``k`` has a hundred values, which bounds a list."""
     lists = (

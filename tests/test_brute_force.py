@@ -29,7 +29,7 @@ def test_levels(rows, seed):
         rows("user_id string, tweet_mentioned_user_id array<string>", *posts),
         rows("user_id string, country_short string", *[(u, "XA" if u in inside else "XB") for u in users]),
         rows("user_id string", *[(u,) for u in seeds]),
-        "XA",
+        ["XA"],
     )
     edges = {(a, b) for a, targets in posts for b in targets if a in inside}
     assert {row["user_id"]: row["level"] for row in members.collect()} == breadth_first(edges, seeds, inside, 4)

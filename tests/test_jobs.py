@@ -2,6 +2,7 @@
 
 import bz2
 import json
+from pathlib import Path
 
 import pytest
 
@@ -49,7 +50,7 @@ def test_sampling_loop(spark, root, bag):
     assert len(spark.read.parquet(f"{root}/user_timeline/badRecords").collect()) == 1
     assert table("user_timeline/extract", "tweet_id") == [(str(i),) for i in range(1, 6)]
     run("audit")
-    assert sorted(n for _, _, n in table("user_timeline/audit")) == [0, 1, 3, 3]
+    assert sorted((n, bad) for _, _, n, bad in table("user_timeline/audit")) == [(0, 0), (0, 1), (3, 0), (3, 0)]
     run("timeline_profiles")
     assert table("user_timeline/profiles", "user_id", "tweet_id", "tweet_count", "country_short") == [
         ("a", "2", 2, "XA"),
@@ -74,7 +75,7 @@ def test_sampling_loop(spark, root, bag):
     run("remaining_batch", "--countries", "XB", "--date", "*2018", "--pull-type", "update")
     assert table("user_timeline/batch_tmp", "user_id") == [("a",), ("e",)]
     run("select_work", "--countries", "XA", "XB", "--pull-type", "update", "--max-timestamp", "2018-10-05", "--shards", "2")
-    assert table("user_timeline/work", "user_id") == [("a",), ("b",), ("d",)]
+    assert table("user_timeline/work/update", "user_id") == [("a",), ("b",), ("d",)]
     run("level_stats", "--countries", "XA")
     assert table("preprocessing/stats/XA") == [(1, 1, 1, 0, 0)]
     run("post_urls", "--countries", "XA", "XB")
@@ -85,6 +86,57 @@ def test_sampling_loop(spark, root, bag):
     assert bag(spark.read.csv(f"{root}/friends_ids/XB/batch.csv", header=True)) == [("d",)]
     run("friend_edges", "--countries", "XA")
     assert table("friends_ids/XA/edges") == [("a", "b"), ("a", "z")]
-    manifest = bag(jobs.Jobs(spark, root).pull_manifest(), "country_short", "pull_date", "n_users", "n_tweets")
+    run("pull_manifest")
+    manifest = table("metrics/manifest", "country_short", "pull_date", "n_users", "n_tweets")
     assert manifest == [("XA", "01102018", 2, 3), ("XB", "04102018", 2, 3)]
+    run("network_work", "--countries", "XA", "--shards", "2", "--hash-shards")
+    assert table("friends_ids/XA/work", "user_id") == [("b",), ("c",)]
+    run("pull_coverage")
+    assert ("XA", "update", 3, 3, 0, 4) in table("metrics/pull_coverage")
+    run("lookup_coverage")
+    assert table("metrics/lookup_coverage") == [(3, 0, 3)]
+    run("request_estimate", "--page", "1")
+    assert ("a", 2, 2) in table("metrics/requests")
+    run("monthly_counts")
+    assert [n for _, n in table("metrics/monthly")] == [5]
+    run("newer_posts")
+    assert table("user_timeline/newer", "tweet_id") == []
+
+
+def test_a_repaired_file_leaves_the_quarantine(spark, root, bag):
+    run = lambda *job: jobs.main([*job, "--root", root, "--skip-corrupt-files"])
+    run("extract")
+    assert spark.read.parquet(f"{root}/user_timeline/badRecords").count() == 1
+    write_bz2_array(Path(root) / "user_timeline/API/XB/04102018/update/broken.json.bz2", [raw_post("9", user=raw_user("u", followers_count="x"))])
+    run("extract")
+    assert spark.read.parquet(f"{root}/user_timeline/badRecords").count() == 0
+    assert "9" in {r["tweet_id"] for r in spark.read.parquet(f"{root}/user_timeline/extract").collect()}
+    run("extract", "--countries", "XA")
+    assert bag(spark.read.parquet(f"{root}/user_timeline/extract"), "tweet_id") == [("1",), ("2",), ("3",)]
+
+
+def test_work_lists_are_replaced_whole(spark, root, rows, bag):
+    schema = "user_id string, country_short string, tweet_id string, tweet_timestamp timestamp, is_seed int"
+    users = [(str(i), "US" if i % 2 else "MX", None, None, 0) for i in range(40)]
+    rows(schema, *users).write.parquet(f"{root}/user_timeline/batch")
+    rows(schema, *users[:4]).write.parquet(f"{root}/user_timeline/batch_tmp")
+    run = lambda *o: jobs.main(["select_work", "--root", root, *o])
+    found = lambda kind: bag(spark.read.parquet(f"{root}/user_timeline/work/{kind}"), "user_id")
+    every = lambda keep: sorted((u[0],) for u in users if keep(u))
+    for shards in ("8", "2"):
+        run("--countries", "US", "MX", "--pull-type", "full", "--shards", shards)
+        assert sorted(found("full")) == every(lambda u: True)
+    run("--countries", "US", "--pull-type", "full", "--shards", "2")
+    assert sorted(found("full")) == every(lambda u: u[1] == "US")
+    run("--countries", "US", "--pull-type", "full", "--remaining")
+    assert sorted(found("full")) == [("1",), ("3",)]
+    with pytest.raises(SystemExit):
+        run("--pull-type", "full")
+
+
+def test_manifest_of_many_groups(spark, root):
+    zone = Path(root) / "user_timeline/API/XA/01102018/full"
+    for i in range(1100):
+        (zone / f"user_timeline_1_users_1_requests_1_tweets_XA_{i:08d}_full_{i}.json.bz2").write_bytes(b"x")
     jobs.main(["pull_manifest", "--root", root])
+    assert spark.read.parquet(f"{root}/metrics/manifest").count() == 1102

@@ -48,14 +48,14 @@ def test_ids_are_ordered_as_numbers(rows):
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 0])
-def test_geocoding_broadcast_and_salted_agree(rows, places, bag, limit):
+def test_geocoding_broadcast_and_shuffled_agree(rows, places, bag, limit):
     users = rows("user_id string, user_location string", *[(str(i), "Here") for i in range(50)], ("x", None), ("y", "?"))
-    left = attach_country(users, places, salt_on="user_id", broadcast_limit=limit)
+    left = attach_country(users, places, broadcast_limit=limit)
     counts = {row["country_short"]: row["n"] for row in left.groupBy("country_short").agg(F.count("*").alias("n")).collect()}
     assert counts == {"XA": 50, None: 2}
-    inner = attach_country(users, places, salt_on="user_id", how="inner", broadcast_limit=limit)
+    inner = attach_country(users, places, how="inner", broadcast_limit=limit)
     assert inner.count() == 50
-    assert attach_country(users, places, "user_id", "inner", ["XB"], limit).count() == 0
+    assert attach_country(users, places, "inner", ["XB"], limit).count() == 0
 
 
 def test_snowball_counts_interactions(posts, places, bag):
@@ -196,23 +196,24 @@ MENTIONS = "user_id string, tweet_mentioned_user_id array<string>"
 
 @pytest.mark.parametrize("few_users", [True, False])
 def test_levels_of_a_cycle(rows, bag, monkeypatch, few_users):
-    monkeypatch.setattr(levels, "id_rows_fit", lambda n: few_users)
+    monkeypatch.setattr(levels, "fits", lambda df: few_users)
     chain = [("a", ["b", "b"]), ("b", ["c"]), ("c", ["d", "a"]), ("d", ["e"]), ("e", ["f"]), ("b", ["z"]), ("z", ["f"])]
     table = rows(MENTIONS, *chain, ("c", None), ("c", []), ("d", ["d"]))
     users = rows("user_id string, country_short string", *[(user, "XA") for user in "abcdef"], ("z", "XB"))
     seeds = rows("user_id string", ("a",), ("a",), ("z",), ("nobody",))
-    members = levels.level_members(table, users, seeds, "XA")
-    assert bag(members) == [("a", 0), ("b", 1), ("c", 2), ("d", 3), ("e", 4)]
-    assert [tuple(row) for row in levels.level_stats(table, users, seeds, "XA").collect()] == [(1, 1, 1, 1, 1)]
-    assert bag(levels.level_members(table, users, seeds, "XA", depth=5))[-1] == ("f", 5)
+    members = levels.level_members(table, users, seeds, ["XA", "XB"])
+    assert bag(members, "user_id", "level") == [("a", 0), ("b", 1), ("c", 2), ("d", 3), ("e", 4), ("z", 0)]
+    stats = levels.level_stats(table, users, seeds, ["XA", "XB", "XC"])
+    assert bag(stats) == [("XA", 1, 1, 1, 1, 1), ("XB", 1, 0, 0, 0, 0), ("XC", 0, 0, 0, 0, 0)]
+    assert bag(levels.level_members(table, users, seeds, ["XA"], depth=5), "user_id", "level")[-1] == ("f", 5)
 
 
 def test_levels_of_a_lonely_seed(rows):
     users = rows("user_id string, country_short string", ("a", "XA"), ("b", "XA"))
-    stats = levels.level_stats(rows(MENTIONS, ("b", ["a"])), users, rows("user_id string", ("a",)), "XA")
-    assert [tuple(row) for row in stats.collect()] == [(1, 0, 0, 0, 0)]
-    nobody = levels.level_stats(rows(MENTIONS, ("b", ["a"])), users, rows("user_id string", ("x",)), "XA")
-    assert nobody.first().asDict() == {"n_seeds": 0, **{f"n_snowball_{k}": 0 for k in range(1, 5)}}
+    stats = levels.level_stats(rows(MENTIONS, ("b", ["a"])), users, rows("user_id string", ("a",)), ["XA"])
+    assert [tuple(row)[1:] for row in stats.collect()] == [(1, 0, 0, 0, 0)]
+    nobody = levels.level_stats(rows(MENTIONS, ("b", ["a"])), users, rows("user_id string", ("x",)), ["XA"])
+    assert nobody.first().asDict() == {"country_short": "XA", "n_seeds": 0, **{f"n_snowball_{k}": 0 for k in range(1, 5)}}
 
 
 def test_post_urls(rows, places, bag):

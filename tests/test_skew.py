@@ -64,9 +64,9 @@ def test_a_prolific_author_is_split_against_the_marks(skewed, posts):
 
 
 def test_prolific_authors_and_celebrities_are_split_in_the_edges(skewed, posts, monkeypatch):
-    monkeypatch.setattr(levels, "id_rows_fit", lambda n: False)
+    monkeypatch.setattr(levels, "fits", lambda df: False)
     users = skewed.range(N).selectExpr("CAST(id AS string) AS user_id")
-    users = users.unionByName(skewed.sql("SELECT 'hot' AS user_id UNION ALL SELECT 'star'"))
+    users = users.unionByName(skewed.sql("SELECT 'hot' AS user_id UNION ALL SELECT 'star'")).withColumn("country_short", F.lit("XA"))
     edges = levels.country_edges(posts, users)
     assert final_plan(edges).count("skew=true") >= 2
     assert edges.count() == posts.selectExpr("user_id", "tweet_mentioned_user_id[0]").distinct().count()
@@ -81,7 +81,7 @@ def test_copies_reach_the_shuffle_once_per_task(posts):
 def test_a_shared_location_is_spread(skewed, posts):
     places = skewed.sql("SELECT 'Here' AS user_location, 'XA' AS country_short")
     numbered = posts.withColumn("tweet_id", F.col("number").cast("string"))
-    located = attach_country(numbered, places, salt_on="tweet_id", broadcast_limit=0)
+    located = attach_country(numbered, places, broadcast_limit=0)
     sizes = [row["count"] for row in located.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == N and max(sizes) < N / 3
     assert located.where("country_short IS NULL").count() == N / 3

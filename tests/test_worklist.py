@@ -160,6 +160,14 @@ def test_pull_coverage(batch, rows, bag):
     ]
 
 
+def test_half_known_users_are_full_everywhere(rows, bag):
+    half = rows(BATCH.replace("timestamp timestamp", "timestamp string"), ("8", "XA", "80", None, 0), ("9", "XA", None, "2022-01-01 00:00:00", 0))
+    half = half.withColumn("tweet_timestamp", F.col("tweet_timestamp").cast("timestamp"))
+    assert chosen(half, ["XA"], "full") == [("8", "XA"), ("9", "XA")] and chosen(half, ["XA"], "update") == []
+    posts = rows("tweet_id string, user_id string", ("1", "8"))
+    assert bag(metrics.pull_coverage(half, posts)) == [("XA", "full", 2, 1, 1, 1)]
+
+
 def test_lookup_coverage(rows):
     asked = rows("user_id string", ("a",), ("a",), ("b",), ("c",), (None,))
     got = rows("user_id string", ("b",), ("b",), ("z",), (None,))
@@ -170,22 +178,24 @@ def test_head(batch):
     assert [row["user_id"] for row in worklist.head(batch, 2).collect()] == ["1", "2"]
 
 
+# Invented names of each form.
 NAMES = {
-    "user_timeline_278_users_881_requests_135742_tweets_XA_06092022_update_24531669_24_ce8faf52-8b1a.json.bz2": (
-        278, 881, 135742, "XA", "06092022", "update",
+    "user_timeline_31_users_62_requests_930_tweets_QA_15071999_update_77_1_first.json.bz2": (
+        31, 62, 930, "QA", "15071999", "update",
     ),
-    "user_timeline_5_users_7_requests_9_tweets_XA_23122022_full_min_timestamp=112021_max_timestamp=112022_28574204_28_a.json.bz2": (
-        5, 7, 9, "XA", "23122022", "full",
+    "user_timeline_4_users_8_requests_16_tweets_QA_31121998_full_min_timestamp=011997_max_timestamp=011998_78_2_b.json.bz2": (
+        4, 8, 16, "QA", "31121998", "full",
     ),
-    "user_timeline_5_users_9_tweets_XB_01022022_no_updates_no_neighbors_full_12345678_3_a.json.bz2": (
-        5, None, 9, "XB", "01022022", "full",
+    "user_timeline_4_users_16_tweets_QB_02031997_no_updates_no_neighbors_full_79_3_c.json.bz2": (
+        4, None, 16, "QB", "02031997", "full",
     ),
-    "user_timeline_5_users_7_requests_9_tweets_01022023_update_12345678_3_a.json.bz2": (
-        5, 7, 9, None, "01022023", "update",
+    "user_timeline_4_users_8_requests_16_tweets_02031996_update_80_4_d.json.bz2": (
+        4, 8, 16, None, "02031996", "update",
     ),
-    "user_timeline_500_XA_032022_full_15965084_41_dd36715b-ec01.json.bz2": (500, None, None, "XA", "032022", "full"),
-    "lookup_users_100066_20220404_17107939_56_25338542-5975.json": (100066, None, None, None, "20220404", None),
-    "friends_ids_XA_1000_users_2022_04_11_0_0_a.json": (1000, None, None, "XA", "2022_04_11", None),
+    "user_timeline_60_QA_071999_full_81_5_e.json.bz2": (60, None, None, "QA", "071999", "full"),
+    "lookup_users_2500_19990715_82_6_f.json": (2500, None, None, None, "19990715", None),
+    "friends_ids_QA_20_users_1999_07_15_0_0_g.json": (20, None, None, "QA", "1999_07_15", None),
+    "followers_ids_QB_30_users_1999_07_16_0_0_h.json": (30, None, None, "QB", "1999_07_16", None),
     "part-00000.parquet": (None,) * 6,
 }
 
@@ -198,4 +208,4 @@ def test_pull_names(rows):
 def test_pull_manifest(rows, bag):
     table = rows("file_name string", *[(name,) for name in NAMES], *[(name,) for name in list(NAMES)[:1]])
     found = bag(metrics.pull_manifest(table))
-    assert len(found) == 7 and ("XA", "06092022", "update", 2, 556, 1762, 271484) in found
+    assert len(found) == 8 and ("QA", "15071999", "update", 2, 62, 124, 1860) in found
