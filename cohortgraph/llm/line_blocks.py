@@ -4,8 +4,8 @@ Markup is stripped to lines, one for each block element. A line weighs the chara
 text outside links. The weights are summed over sliding windows of ``WINDOW`` lines: where a
 sum rises over the surge level the text starts, where it falls to nothing it ends, and what
 lies between is kept. Elements that are never main text (scripts, menus, forms, and boxes
-named as adverts, notices or comments) become empty lines, and lists, tables and other
-containers are set off by a gap, so that windows don't reach across. If the page marks its
+named as adverts, notices or comments) become empty lines, and the parts of a page are set off
+by a gap, so that windows don't reach across. If the page marks its
 article, lines inside weigh at least the surge level and lines outside nothing; else the
 level follows from the page's own largest sum, so that short articles are found too.
 
@@ -32,12 +32,12 @@ SHARE = 0.25
 
 #: HTML's elements whose content is not text, its block elements and containers.
 _RAW = "script style noscript template svg math iframe object canvas audio video textarea select option title"
-_NEVER = set("nav aside footer form menu dialog button fieldset figcaption head".split())
+_NEVER = set("nav aside footer form menu dialog button fieldset head".split())
 _BLOCKS = set(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-_GAPS = set("article aside blockquote dl footer form header main menu nav ol section table ul".split())
+_GAPS = set("article aside footer form header main menu nav".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Words in a class, id or role that name a box beside the article.
 _BESIDE = set(

@@ -10,6 +10,8 @@ CASES = {
     "short article": (f"<body>{MENU}<article><p>Hi.</article><footer>&copy; x", "Hi."),
     "no article": (f"<body><header>Site</header>{MENU}<div id=content><h1>Head</h1><p>{LONG}</p><p>Yes.</p><p>{LONG}</p></div>"
                    f"<div class='sidebar'><p>{LONG}</p></div><footer>{LONG}</footer></body>", f"Head\n{LONG}\nYes.\n{LONG}"),
+    "list in a plain page": (f"<div><p>{LONG}</p><ul><li>one</li><li>two</li></ul><table><tr><td>3</td></tr></table><p>{LONG}</p>"
+                             "<ul>" + "<li><a href=x>more</a></li>" * 9 + "</ul></div>", f"{LONG}\none\ntwo\n3\n{LONG}"),
     "inside boxes": (f"<article><p>{LONG}</p><div class=\"ad box\"><div>{LONG}</div></div><aside>{LONG}</aside><p>End</p></article>"
                      f"<section id='comments'><p>{LONG}</p></section>", f"{LONG}\nEnd"),
     "script": ('<article><script>var t="</p>";</script>a<!-- <p>no -->b <noscript>x</noscript></article>', "ab"),
