@@ -26,6 +26,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda x: x != "")
 
 
+def content_key() -> Column:
+    """Tells texts of one id apart; repeated rows share it."""
+    return F.xxhash64("doc_id", "text")
+
+
 def fold(modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus

@@ -12,8 +12,8 @@ Hot passages: digests are reduced to their first occurrence before the shuffle,
 back is a join with one row for each repeated digest, whose unit side may be split.
 
 Defined results: null and empty texts, and lines of fewer than ``MIN_WORDS`` words, have no
-units and stay as they are; null ids rank last; of repeated rows one keeps its text, whichever
-is numbered first; an empty table gives an empty table. Extra columns are passed through.
+units and stay as they are; null ids rank last; repeated rows are one document, so they keep or
+lose the same; an empty table gives an empty table. Extra columns are passed through.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortgraph.llm.common import documents, keep
+from cohortgraph.llm.common import content_key, documents, keep
 
 MIN_WORDS = 8
 _CUT = re.compile(r"[.!?]+[ \t]+|\n+")
@@ -103,7 +103,7 @@ def without_spans(docs: DataFrame) -> DataFrame:
 
 
 def dedup_units(docs: DataFrame) -> DataFrame:
-    """Numbered ``docs`` (doc_id, text, _row, more) with repeated units cut out of ``text``.
+    """``docs`` (doc_id, text, _row, more) with repeated units cut out of ``text``.
 
     Adds ``_spans``, the cut parts as (start, end) of the original text, and ``_kept_in``,
     the ids of the documents that keep their copies, in the same order.
@@ -112,27 +112,29 @@ def dedup_units(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "start")
     firsts = table.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).where("n > 1")
     again = table.join(firsts.select("digest", "first"), "digest").where(
-        (F.col("_row") != F.col("first._row")) | (F.col("start") != F.col("first.start"))
+        ~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+        | (F.col("_row") != F.col("first._row"))
+        | (F.col("start") != F.col("first.start"))
     )
     cuts = (
-        again.groupBy("_row")
-        .agg(F.sort_array(F.collect_list(F.struct("start", F.col("first.doc_id").alias("kept_in")))).alias("c"))
-        .select("_row", F.col("c.start").alias("_cuts"), F.col("c.kept_in").alias("_kept_in"))
+        again.groupBy("doc_id", "_row")
+        .agg(F.array_sort(F.collect_set(F.struct("start", F.col("first.doc_id").alias("kept_in")))).alias("c"))
+        .select(F.col("doc_id").alias("_of"), F.col("_row").alias("_of_row"), F.col("c.start").alias("_cuts"), F.col("c.kept_in").alias("_kept_in"))
     )
-    marked = docs.join(keep(cuts, "cuts"), "_row", "left")
+    same = (F.col("_row") == F.col("_of_row")) & F.col("doc_id").eqNullSafe(F.col("_of"))
+    marked = docs.join(keep(cuts, "cuts"), same, "left").drop("_of", "_of_row")
     return without_spans(marked.withColumn("_kept_in", F.coalesce("_kept_in", F.array().cast("array<bigint>")))).drop("_cuts")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with what an earlier one holds cut out; ``n_chars`` counts what is left."""
-    numbered = keep(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = dedup_units(numbered).withColumn("n_chars", F.length("text").cast("long"))
+    found = dedup_units(docs.withColumn("_row", content_key())).withColumn("n_chars", F.length("text").cast("long"))
     return found.select(*docs.columns)
 
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
-    return dedup_units(keep(docs, "numbered")).select(
+    docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("_row", content_key())
+    return dedup_units(docs).select(
         "doc_id",
         "text",
         F.size("_spans").cast("long").alias("n_removed"),

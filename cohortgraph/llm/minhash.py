@@ -1,8 +1,8 @@
 """Near-duplicates by b-bit MinHash, confirmed on whole shingle sets.
 
-One pass hashes the word shingles of each text into a set, takes the minima of 512 hash
+One pass hashes the word shingles of each text into a set, takes the minima of 1024 hash
 functions, groups the first 128 into bands (one 64-bit key each) and keeps the low two bits of
-each minimum as two bit planes of 512 bits. Two minima that differ still agree in two bits
+each minimum as two bit planes of 1024 bits. Two minima that differ still agree in two bits
 with probability 1/4, so of a share m of agreeing places the similarity (m - 1/4) / (3/4) is
 estimated, by counting bits.
 
@@ -19,7 +19,8 @@ probability below one in a million.
 
 Defined results: a text that is null or without words has no shingles and is linked with
 nothing; fewer words than a shingle make one shingle of all of them; a null id is carried
-along, in its class's component. Extra columns are not read.
+along, in the component of its class; a class without any id has a null component.
+Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from cohortgraph.llm.common import documents, keep
 from cohortgraph.llm.components import components
 from cohortgraph.llm.hashing import hashed_texts, mix, slices, texts_of
 
-PLACES, BAND_PLACES = 512, 128
+PLACES, BAND_PLACES = 1024, 128
 MISS = 1e-6
 #: Standard deviations that an estimate may lie below the threshold.
 DOUBT = 5
@@ -237,16 +238,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component, texts of no words included, all columns unchanged.
+    """One document of each component and all texts without words, all columns unchanged.
 
-    Rows are numbered, as repeated ids can't tell which of them stays.
+    Of repeated rows one stays. Rows without an id can't be told apart; all of them stay.
     """
-    numbered = keep(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = near_duplicates(numbered.select("doc_id", "_row", "text"))
-    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    linked = found.where("_size > 0 AND _component IS NOT NULL").groupBy("_component").agg(F.min(rank).alias("r"))
-    stays = linked.select("r._row").unionByName(found.where("_size = 0 OR _component IS NULL").select("_row"))
-    return numbered.join(stays, "_row", "left_semi").select(*docs.columns)
+    found = near_duplicates(docs.select("doc_id", "text"))
+    stays = found.where("_size = 0 OR doc_id = _component").select("doc_id").distinct()
+    known = docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return known.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

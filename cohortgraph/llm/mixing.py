@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortgraph.llm.common import GAP_CLASS, WORD, documents, keep, let
+from cohortgraph.llm.common import GAP_CLASS, WORD, content_key, documents, keep, let
 
 WEIGHTS = (3, 1, 2)
 #: All targets together in halves of all sizes, and the most of a source in times its size.
@@ -167,8 +167,13 @@ def mixed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     A document that a pass takes whole keeps its text as it is; of others the spans' words
     stay, with the white space before them. ``n_chars`` counts what is left.
     """
-    numbered = keep(sizes(docs.withColumn("_row", F.monotonically_increasing_id())), "numbered")
-    _, parts = taken_parts(spark, numbered.select("_row", "doc_id", "source", "_size"))
+    # Repeated rows are alike, so it does not matter which of them is the first, second, ...
+    copies = Window.partitionBy("doc_id", "_key").orderBy(F.lit(0))
+    keyed = docs.withColumn("_key", content_key())
+    narrow = sizes(keyed).select("doc_id", "source", "_size", "_key")
+    row = F.struct(F.col("doc_id").alias("id"), F.col("_key").alias("key"), F.row_number().over(copies).alias("copy"))
+    _, parts = taken_parts(spark, keep(narrow.select(row.alias("_row"), "doc_id", "source", "_size"), "sized"))
+    numbered = sizes(keyed).withColumn("_row", row)
     spans = parts.groupBy("_row", "turn").agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"), F.sum(F.col("end") - F.col("start")).alias("_taken")
     )

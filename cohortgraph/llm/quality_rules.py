@@ -189,9 +189,13 @@ def judged(docs: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def quality_filter(docs: DataFrame) -> DataFrame:
-    """The documents that pass, all columns unchanged."""
-    table = keep(measured(docs), "measured")
-    return judged(table, thresholds(table)).where("_kept").select(*docs.columns)
+    """The documents that pass, all columns unchanged.
+
+    The measures are kept for the sketches and taken again with the texts: that costs less
+    disk than a copy of all texts beside their measures.
+    """
+    limits = thresholds(keep(measured(docs).select("_measures", "lang", "source"), "measured"))
+    return judged(measured(docs), limits).where("_kept").select(*docs.columns)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
