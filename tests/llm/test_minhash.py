@@ -72,4 +72,4 @@ def test_stage_keeps_one_of_each_group(spark, odd_documents):
     assert stage(spark, docs.limit(0), "").collect() == []
     odd = stage(spark, odd_documents, "")
     assert odd.columns == odd_documents.columns
-    assert sorted((r.text or "")[:4] for r in odd.collect()) == ["", "", "\n\n", " \n\t", "1 2 ", "Same", "a", "one ", "x x ", "§ 🙂 "]
+    assert sorted((r.text or "")[:4] for r in odd.collect()) == ["", "", "\n\n", " \n\t ", "1 2 ", "Same", "a", "one ", "x x ", "§ 🙂 "]
