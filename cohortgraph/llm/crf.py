@@ -215,11 +215,17 @@ def predict(model: Model, scores: Scores, texts: list[str | None]) -> tuple[list
 def sampled(docs: DataFrame) -> list[tuple[str, str]]:
     """(lang, window) of at most PER_LANG texts of a language, and about ALL_LANGS together."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(FOLDS) != HELD_OUT))
-    n = max(1, known.select("lang").distinct().count())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "start", "doc_id")
-    start = F.abs(F.xxhash64("doc_id")) % F.greatest(F.lit(1), F.length("text") - WINDOW_CHARS) + 1
-    ranked = known.select("lang", "doc_id", start.cast("int").alias("start"), F.col("text").substr(start.cast("int"), F.lit(WINDOW_CHARS)).alias("part"))
-    top = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= min(PER_LANG, max(20, ALL_LANGS // n)))
+    # A row for each language, as many as the model has labels.
+    sizes = known.groupBy("lang").count().collect()
+    wanted = min(PER_LANG, max(20, ALL_LANGS // max(1, len(sizes))))
+    # About three times as many as wanted by the hash's place, so that no task orders a whole language.
+    shares = known.sparkSession.createDataFrame([(r.lang, (3 * wanted + 50) / r["count"]) for r in sizes], "of string, share double")
+    hashed = F.xxhash64("doc_id")
+    start = (F.abs(hashed % 1_000_003) % F.greatest(F.lit(1), F.length("text") - WINDOW_CHARS) + 1).cast("int")
+    few = known.join(F.broadcast(shares), known["lang"] == shares["of"]).where(hashed / F.lit(2.0**64) + 0.5 <= F.col("share"))
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id", "start", "part")
+    parts = few.select("lang", "doc_id", hashed.alias("hash"), start.alias("start"), F.col("text").substr(start, F.lit(WINDOW_CHARS)).alias("part"))
+    top = parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= wanted)
     return sorted((r.lang, r.part) for r in top.select("lang", "part").collect())
 
 
