@@ -171,7 +171,7 @@ def similar_enough(percent: int) -> Column:
 
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) whose whole sets reach the threshold; ``docs`` has (id, text)."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     sets = keep(sets_of(docs.join(ids, "id", "left_semi"), shingle), "sets")
     left = sets.select(F.col("id").alias("a"), F.col("set").alias("_left"))
     right = sets.select(F.col("id").alias("b"), F.col("set").alias("_right"))
