@@ -2,12 +2,16 @@
 
 Markup is stripped to lines, one for each block element. A line weighs the characters of its
 text outside links. The weights are summed over sliding windows of ``WINDOW`` lines: where a
-sum rises over the surge level the text starts, where it falls to nothing it ends, and what
-lies between is kept. Elements that are never main text (scripts, menus, forms, and boxes
-named as adverts, notices or comments) become empty lines, and the parts of a page are set off
-by a gap, so that windows don't reach across. If the page marks its
-article, lines inside weigh at least the surge level and lines outside nothing; else the
-level follows from the page's own largest sum, so that short articles are found too.
+sum rises over the surge level the text starts, where it falls to nothing it ends, and all
+lines between are kept, those of weight 0 too. The level is ``SURGE``, or a share of the
+page's own largest sum if that is lower, so that short texts are found too. If the page marks
+its article, each line inside weighs ``BONUS`` more: a third of the surge level, so that the
+tag helps and the sums decide, inside and outside of it.
+
+Elements that are never main text (scripts, menus, forms, and boxes named as adverts, notices
+or comments) are left out. The outermost articles, and what lies on both sides of a box, are
+set off by a gap, so that windows don't reach across; parts of one container or article, with
+a box between them, are not.
 
 Defined results: null, empty and tag-less pages give their text without markup (empty if
 none); markup that is never closed ends with the page; repeated rows are treated alike; an
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,8 +32,10 @@ from pyspark.sql import types as T
 
 WINDOW = 3
 SURGE = 86
-#: A page without a marked article: the surge level as a share of the largest sum.
+#: The surge level as a share of the page's largest sum, if that is lower.
 SHARE = 0.25
+#: What a line inside <article> or <main> weighs more.
+BONUS = SURGE // WINDOW
 
 #: HTML's elements whose content is not text, its block elements and containers.
 _RAW = "script style noscript template svg math iframe object canvas audio video textarea select option title"
@@ -37,7 +44,11 @@ _BLOCKS = set(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-_GAPS = set("article aside footer form header main menu nav".split())
+#: Containers by which the parts of a page are told apart, and elements whose end tag may be missing: what ends them, and where the search stops.
+_HOMES = set("article aside blockquote body center details dialog div fieldset figure footer form header main menu nav section td th".split())
+_ENDED_BY = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "td": ("td th", "table tr"), "th": ("td th", "table tr"), "tr": ("tr", "table")}
+_ENDED_BY = {k: tuple(frozenset(x.split()) for x in v) for k, v in _ENDED_BY.items()}
+_TABLE = set("table tbody td tfoot th thead tr".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Words in a class, id or role that name a box beside the article.
 _BESIDE = set(
@@ -63,13 +74,22 @@ def _beside(attributes: str) -> bool:
 
 
 class Lines:
-    """The lines of a page: text, its characters in links, and whether an article holds it."""
+    """The lines of a page: text, its characters in links, and the article, container and box that hold it.
+
+    ``open`` are the open elements, each with its name, article and container; end tags that
+    HTML lets a page leave out are added. ``held`` are the open boxes: number, place in ``open``
+    and name.
+    """
 
     def __init__(self, page: str):
-        self.found: list[tuple[str, int, bool]] = []
+        self.found: list[tuple[str, int, int, int, int]] = []
         self.text: list[str] = []
-        self.linked = self.link = self.article = 0
-        self.skip, self.depth = "", 0
+        self.linked = self.link = self.made = 0
+        self.open: list[tuple[str, int, int]] = [("", 0, 0)]
+        self.names: Counter[str] = Counter()
+        self.boxes = 0
+        self.held: list[tuple[int, int, str]] = []
+        self.holders: Counter[str] = Counter()
         at = 0
         for token in _TOKEN.finditer(page):
             self.add(page[at : token.start()])
@@ -79,8 +99,11 @@ class Lines:
         self.add(page[at:])
         self.end_line()
 
+    def box(self) -> int:
+        return self.held[-1][0] if self.held else -1
+
     def add(self, raw: str) -> None:
-        if raw and not self.skip:
+        if raw:
             text = html.unescape(raw)
             self.text.append(text)
             if self.link:
@@ -89,50 +112,87 @@ class Lines:
     def end_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.found.append((text, self.linked, self.article > 0))
+            self.found.append((text, self.linked, *self.open[-1][1:], self.box()))
         self.text, self.linked = [], 0
 
-    def gap(self) -> None:
-        self.found.extend([("", 0, False)] * WINDOW)
+    def pop(self, until: int) -> None:
+        if self.held and self.held[-1][1] >= until:
+            self.end_line()
+        while self.held and self.held[-1][1] >= until:
+            self.holders[self.held.pop()[2]] -= 1
+        for name, _, _ in self.open[until:]:
+            self.names[name] -= 1
+        del self.open[until:]
+
+    def close(self, names: frozenset[str] | set[str], stops: frozenset[str] | set[str]) -> None:
+        """Closes the innermost open element of ``names``, and what is open inside it."""
+        if any(self.names[name] for name in names):
+            for i in range(len(self.open) - 1, 0, -1):
+                if self.open[i][0] in names:
+                    self.pop(i)
+                    return
+                if self.open[i][0] in stops:
+                    return
 
     def tag(self, name: str, closes: bool, attributes: str) -> None:
-        if self.skip:
-            landmark = name in ("article", "main", "body") and not closes and self.skip not in ("article", "main")
-            if landmark and (self.skip != "aside" or name == "body"):
-                self.skip = ""
-            else:
-                if name == self.skip and not attributes.endswith("/"):
-                    self.depth += -1 if closes else 1
-                    if self.depth == 0:
-                        self.skip = ""
-                return
-        if name in _BLOCKS:
+        block = name in _BLOCKS
+        if block:
             self.end_line()
-        if name in _GAPS:
-            self.gap()
-        if name in ("article", "main"):
-            self.article = max(0, self.article + (-1 if closes else 1))
         if name == "a":
             self.link = 0 if closes else 1
-        if not closes and name not in _VOID and not attributes.endswith("/"):
-            never = name in _NEVER or name == "header" and not self.article
-            if never or name not in ("html", "body", "main") and _beside(attributes):
-                self.end_line()
-                self.gap()
-                self.skip, self.depth = name, 1
+        if closes:
+            inline = not block and name not in _NEVER
+            self.close({name}, _BLOCKS if inline else set() if name in _TABLE or name in ("body", "html") else {"table", "td", "th"})
+            return
+        if name in _VOID or attributes.endswith("/"):
+            return
+        if block and name != "html":
+            self.close({"head"}, set())
+            self.close({"p"}, _BLOCKS)
+        if name in _ENDED_BY:
+            self.close(*_ENDED_BY[name])
+        if name in ("article", "main", "body"):
+            self.landmark(name)
+        _, article, home = self.open[-1]
+        never = name in _NEVER or name == "header" and not article
+        if never or name not in ("html", "body", "main") and _beside(attributes):
+            self.end_line()
+            self.held.append((self.boxes, len(self.open), name))
+            self.boxes += 1
+            self.holders[name] += 1
+        elif not block and name not in self.names:
+            # Other inline elements matter inside a box of their name only.
+            return
+        self.made += 1
+        if name in ("article", "main") and not article:
+            article = self.made
+        self.open.append((name, article, self.made if name in _HOMES else home))
+        self.names[name] += 1
+
+    def landmark(self, name: str) -> None:
+        """The page's text starts here: boxes that are still open end, unless they are articles or asides."""
+        if self.held and not self.holders["article"] and not self.holders["main"] and (name == "body" or not self.holders["aside"]):
+            self.held.clear()
+            self.holders.clear()
 
 
 def main_text(page: str) -> str:
-    lines = Lines(page).found
-    marked = any(inside for _, _, inside in lines)
-    weights = []
-    for text, linked, inside in lines:
-        weight = max(0, len(text) - linked)
-        if marked:
-            weight = max(weight, SURGE) if inside else 0
-        weights.append(weight)
+    read = Lines(page)
+    lines: list[str] = []
+    weights: list[int] = []
+    last, boxed = None, False
+    for text, linked, article, home, box in read.found:
+        if box >= 0:
+            boxed = True
+            continue
+        if last and (article != last[0] or boxed and not article and home != last[1]):
+            lines.extend([""] * WINDOW)
+            weights.extend([0] * WINDOW)
+        lines.append(text)
+        weights.append(max(0, len(text) - linked) + (BONUS if article else 0))
+        last, boxed = (article, home), False
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
-    level = SURGE if marked else min(SURGE, SHARE * max(sums, default=0))
+    level = min(SURGE, SHARE * max(sums, default=0))
     kept: list[str] = []
     i = 0
     while i < len(lines):
@@ -140,7 +200,7 @@ def main_text(page: str) -> str:
             end = i
             while end < len(lines) and sums[end] > 0:
                 end += 1
-            kept.extend(lines[j][0] for j in range(i, end) if weights[j] > 0)
+            kept.extend(line for line in lines[i:end] if line)
             i = end
         else:
             i += 1

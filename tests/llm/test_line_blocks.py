@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from cohortgraph.llm.line_blocks import main_text
@@ -31,3 +33,34 @@ def test_main_text(name):
 
 def test_very_long_page():
     assert main_text("<article>" + f"<p>{LONG}</p>" * 20_000) == "\n".join([LONG] * 20_000)
+
+
+def test_sums_decide_without_a_marked_article():
+    """Flat pages against the definition: a line stays if a surge reaches it over sums above nothing."""
+    draw = random.Random(5)
+    found = 0
+    for _ in range(300):
+        lines = [(f"w{i} " + "x" * draw.choice([0, 3, 30, 90]), draw.random() < 0.4) for i in range(draw.randint(1, 25))]
+        page = "<div>" + "".join(f"<p><a href=x>{t}</a></p>" if link else f"<p>{t}</p>" for t, link in lines) + "</div>"
+        weights = [0 if link else len(t.strip()) for t, link in lines]
+        sums = [sum(weights[i : i + 3]) for i in range(len(lines))]
+        level = min(86, max(sums) / 4)
+        starts = [i for i in range(len(lines)) if weights[i] and sums[i] >= level]
+        kept = [t.strip() for i, (t, _) in enumerate(lines) if any(s <= i and all(sums[s : i + 1]) for s in starts)]
+        assert main_text(page) == "\n".join(kept)
+        found += 0 < len(kept) < len(lines)
+    assert found > 50
+
+
+ROLE_OF_THE_TAG = {
+    "teaser card": (f"<body><article><p>Read on</p></article><div><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></div>", f"Head\n{LONG}\n{LONG}"),
+    "link line in the text": (f"<div><p>{LONG}</p><p><a href=x>all link</a></p><p>{LONG}</p></div>", f"{LONG}\nall link\n{LONG}"),
+    "box in the text": (f"<div><p>{LONG}</p><div class=ad>{LONG}</div><p>End</p></div><div class=ad>x</div><div>far</div>", f"{LONG}\nEnd"),
+    "links in the article": (f"<main><h1>T</h1><article><p>{LONG}</p>{'<p><a href=x>y</a></p>' * 4}</article></main>", f"T\n{LONG}" + "\ny" * 4),
+}
+
+
+@pytest.mark.parametrize("name", ROLE_OF_THE_TAG)
+def test_the_article_tag_is_a_bonus(name):
+    page, expected = ROLE_OF_THE_TAG[name]
+    assert main_text(page) == expected
