@@ -57,6 +57,9 @@ _BESIDE = set(
     "alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist disqus replies "
     "responses share sharing social related recommended widget pagination pager search form complementary contentinfo".split()
 )
+#: First parts of names of boxes that end in a word of ``_BESIDE``; only a site's header is a box.
+_SITE = set("bottom desktop global main mobile primary secondary site top".split())
+_PLACES = _SITE | set("article entry google left page post right social story user".split())
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({'|'.join(_RAW.split())})\b[^>]*(?:/>|>(?:.*?</\1\s*>|.*\Z))"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>",
@@ -65,14 +68,27 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 
 
-def _beside(attributes: str) -> bool:
+def _words(attributes: str) -> Iterator[str]:
     for value in _NAMES.findall(attributes):
-        for name in value.strip("\"'").lower().split():
-            if name in _BESIDE or not _BESIDE.isdisjoint(re.split(r"[-_]+", name)[:2]):
-                return True
+        yield from value.strip("\"'").lower().split()
+
+
+def _beside(attributes: str) -> bool:
+    """A name is a box's as a whole, by its first part, or by its second after a word of place (site-footer)."""
+    for name in _words(attributes):
+        parts = re.split(r"[-_]+", name)[:2]
+        if name in _BESIDE or parts[0] in _BESIDE:
+            return True
+        if len(parts) == 2 and parts[0] in _PLACES and parts[1] in _BESIDE and (parts[0] in _SITE or parts[1] != "header"):
+            return True
     return False
 
 
+def _titled(attributes: str) -> bool:
+    """A header that is named as that of a text."""
+    return any(re.match(r"(?:article|content|entry|page|post|story)[-_]+(?:header|head|title|heading)\b", name) for name in _words(attributes))
+
+
 class Lines:
     """The lines of a page: text, its characters in links, and the article, container and box that hold it.
 
@@ -87,7 +103,8 @@ class Lines:
         self.linked = self.link = self.made = 0
         self.open: list[tuple[str, int, int]] = [("", 0, 0)]
         self.names: Counter[str] = Counter()
-        self.boxes = 0
+        #: Box: its parent box, and whether it may turn out to hold the main text.
+        self.boxes: list[tuple[int, bool]] = []
         self.held: list[tuple[int, int, str]] = []
         self.holders: Counter[str] = Counter()
         at = 0
@@ -154,11 +171,11 @@ class Lines:
         if name in ("article", "main", "body"):
             self.landmark(name)
         _, article, home = self.open[-1]
-        never = name in _NEVER or name == "header" and not article
+        never = name in _NEVER or name == "header" and not article and not _titled(attributes)
         if never or name not in ("html", "body", "main") and _beside(attributes):
             self.end_line()
-            self.held.append((self.boxes, len(self.open), name))
-            self.boxes += 1
+            self.held.append((len(self.boxes), len(self.open), name))
+            self.boxes.append((self.held[-2][0] if len(self.held) > 1 else -1, name not in _NEVER and name != "header" or name in ("form", "fieldset")))
             self.holders[name] += 1
         elif not block and name not in self.names:
             # Other inline elements matter inside a box of their name only.
@@ -176,13 +193,36 @@ class Lines:
             self.holders.clear()
 
 
+def _rescued(lines: list[tuple[str, int, int, int, int]], boxes: list[tuple[int, bool]]) -> list[bool]:
+    """For each box whether its lines stay: it holds most of the page's text, and no article beside it has any to speak of."""
+    weights, marked = [0] * len(boxes), [0] * len(boxes)
+    total = articles = 0
+    for text, linked, article, _, box in lines:
+        weight = max(0, len(text) - linked)
+        total += weight
+        articles += weight if article else 0
+        if box >= 0:
+            weights[box] += weight
+            marked[box] += weight if article else 0
+    for box in range(len(boxes) - 1, -1, -1):
+        parent = boxes[box][0]
+        if parent >= 0:
+            weights[parent] += weights[box]
+            marked[parent] += marked[box]
+    stays: list[bool] = []
+    for (parent, may), weight, inside in zip(boxes, weights, marked, strict=True):
+        stays.append(may and 2 * weight > total and articles - inside < SURGE and (parent < 0 or stays[parent]))
+    return stays
+
+
 def main_text(page: str) -> str:
     read = Lines(page)
+    stays = _rescued(read.found, read.boxes)
     lines: list[str] = []
     weights: list[int] = []
     last, boxed = None, False
     for text, linked, article, home, box in read.found:
-        if box >= 0:
+        if box >= 0 and not stays[box]:
             boxed = True
             continue
         if last and (article != last[0] or boxed and not article and home != last[1]):

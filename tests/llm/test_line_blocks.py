@@ -64,3 +64,26 @@ ROLE_OF_THE_TAG = {
 def test_the_article_tag_is_a_bonus(name):
     page, expected = ROLE_OF_THE_TAG[name]
     assert main_text(page) == expected
+
+
+NAMES = {
+    "title": (f'<body><div id=x><header class="entry-header"><h1>Title</h1></header><p>{LONG}</p></div>', f"Title\n{LONG}"),
+    "title in a div": (f'<article><div class="article-header"><h1>Title</h1></div><p>{LONG}</p></article>', f"Title\n{LONG}"),
+    "layout names": (f'<body><div id=content class="with-sidebar"><p>{LONG}</p></div>', LONG),
+    "article without": (f'<article class="no-sidebar"><p>{LONG}</p></article>', LONG),
+    "has a menu": (f'<div class="has-menu"><p>{LONG}</p></div>', LONG),
+    "holds most of the text": (f'<div class="sidebar-layout">{MENU}<p>{LONG}</p><p>{LONG}</p><div class=ad>{LONG}</div></div><p>x</p>', f"{LONG}\n{LONG}"),
+    "comments longer than the article": (f"<article><p>{LONG}</p></article><div id=comments>{f'<p>{LONG}</p>' * 4}</div>", LONG),
+    "place before the name": (f'<div><p>{LONG}</p></div><div class="site-footer"><p>{LONG}</p></div><div class="main-nav">{LONG}</div>', LONG),
+    "form around the page": (f"<body><form><div><p>{LONG}</p></div></form>", LONG),
+    "open p": (f"<div><p class=notice>{LONG}<p>{LONG}<p>{LONG}</div>", f"{LONG}\n{LONG}"),
+    "open p, parent closes": (f"<div><div><p class=notice>{LONG}</div>{LONG}</div>", LONG),
+    "open li": (f"<div><ul><li class=menu-item>{LONG}<li>{LONG}</ul><p>{LONG}</div>", f"{LONG}\n{LONG}"),
+    "nested li": (f"<ul><li class=menu-item>a<ul><li>{LONG}</ul>{LONG}<li>b</ul><p>{LONG}</p><p>{LONG}</p><p>{LONG}", f"b\n{LONG}\n{LONG}\n{LONG}"),
+}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_box_names_and_missing_end_tags(name):
+    page, expected = NAMES[name]
+    assert main_text(page) == expected
