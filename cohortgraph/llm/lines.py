@@ -1,18 +1,26 @@
-"""Substring de-duplication by hashing lines and the long sentences inside them.
+"""Substring de-duplication by hashing lines, the long sentences inside them, and runs of words.
 
 A unit ends at a line break or after a sentence of at least ``MIN_WORDS`` words; shorter
 sentences go with the long one after them, or at the end of the line with the one before.
 So unit borders follow from the words near them, and a passage that is set into another
-line still falls into the same units, but for its edges. Units are lower-cased and white
-space in them made single, then hashed to 128 bits. Of all units of one digest the earliest,
-by (doc_id, row, offset), stays; the others are cut out. What remains keeps its offsets in
-the original.
+line still falls into the same units, but for its edges.
+
+Beside these, the words of the whole text are dealt into runs, whatever lines and sentences they
+stand in. A run begins where the hash of two neighbouring words is the least of all within
+``REACH`` words to both sides. That depends on the words nearby only, so that runs are the same
+inside any copy of a passage, and no run between two borders has fewer than ``MIN_WORDS`` words.
+In scripts without spaces between words a character is half a word.
+
+Units are lower-cased and white space in them made single, then hashed to 128 bits. Of all units
+of one digest the earliest, by (doc_id, row, offset), stays; the others are cut out, once where
+they overlap. Each cut points to an earlier copy, so the earliest copy of every word stays. What
+remains keeps its offsets in the original.
 
 Hot passages: digests are reduced to their first occurrence before the shuffle, and the way
 back is a join with one row for each repeated digest, whose unit side may be split.
 
-Defined results: null and empty texts, and lines of fewer than ``MIN_WORDS`` words, have no
-units and stay as they are; null ids rank last; repeated rows are one document, so they keep or
+Defined results: null and empty texts, and texts of fewer than ``MIN_WORDS`` words, have no
+units and stay as they are, and so does a short line that repeats without its neighbours; null ids rank last; repeated rows are one document, so they keep or
 lose the same; an empty table gives an empty table. Extra columns are passed through.
 """
 
@@ -20,8 +28,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +40,13 @@ from pyspark.sql import types as T
 from cohortgraph.llm.common import content_key, documents, keep
 
 MIN_WORDS = 8
+#: Words to both sides of which a border of a run has the least hash.
+REACH = MIN_WORDS - 1
 _CUT = re.compile(r"[.!?]+[ \t]+|\n+")
+#: Scripts without spaces between words (Thai to Khmer, kana, Chinese characters).
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
+_IS_UNSPACED = re.compile(f"[{_UNSPACED}]")
 
 
 def units(text: str) -> list[tuple[int, int]]:
@@ -52,21 +68,72 @@ def units(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in found]
 
 
+def _least(keys: np.ndarray, reach: int) -> np.ndarray:
+    """Whether a key is less than all others within ``reach``."""
+    least = np.ones(len(keys), bool)
+    for by in range(1, min(reach, len(keys) - 1) + 1):
+        least[by:] &= keys[by:] < keys[:-by]
+        least[:-by] &= keys[:-by] < keys[by:]
+    return least
+
+
+def runs(text: str) -> list[tuple[int, int, str]]:
+    """Start, end and words of each run; white space after it belongs to it unless it ends a line."""
+    places = [m.span() for m in _WORD.finditer(text)]
+    words = [text[a:b].lower() for a, b in places]
+    if len(words) < MIN_WORDS:
+        return []
+    hashes = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+    keys = hashes * np.uint64(0x9E3779B97F4A7C15)
+    keys[:-1] += hashes[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+    keys ^= keys >> np.uint64(31)
+    keys *= np.uint64(0xBF58476D1CE4E5B9)
+    least = _least(keys, REACH)
+    halves = np.full(len(words), 2)
+    if _IS_UNSPACED.search(text):
+        unspaced = np.fromiter((_IS_UNSPACED.match(w) is not None for w in words), bool, len(words))
+        halves[unspaced] = 1
+        least &= ~unspaced | _least(keys, 2 * MIN_WORDS - 1)
+    least[0] = True
+    borders = np.flatnonzero(least)
+    long = np.add.reduceat(halves, borders) >= 2 * MIN_WORDS
+    found = []
+    for a, b, enough in zip(borders.tolist(), [*borders[1:].tolist(), len(words)], long.tolist(), strict=True):
+        if enough:
+            end = places[b - 1][1]
+            after = places[b][0] if b < len(words) else len(text)
+            found.append((places[a][0], end if "\n" in text[end:after] else after, " ".join(words[a:b])))
+    return found
+
+
+def keyed_units(text: str) -> list[tuple[int, int, int, str]]:
+    """Key, start, end and text of each unit; keys rise with the start."""
+    return [(2 * a, a, b, text[a:b]) for a, b in units(text)]
+
+
+def keyed_parts(text: str) -> list[tuple[int, int, int, str]]:
+    """Units and runs."""
+    return sorted([*keyed_units(text), *((2 * a + 1, a, b, words) for a, b, words in runs(text))])
+
+
+Find = Callable[[str], list[tuple[int, int, int, str]]]
+
+
 def digest(unit: str) -> bytes:
     return hashlib.blake2b(" ".join(unit.lower().split()).encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def unit_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, _row, start, digest) of all units of docs (doc_id, _row, text)."""
+def unit_table(docs: DataFrame, find: Find = keyed_units) -> DataFrame:
+    """(doc_id, _row, start, digest) of all units of docs (doc_id, _row, text); ``start`` is the key."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, starts, digests = [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                for start, end in units(text or ""):
+                for key, _, _, unit in find(text or ""):
                     rows.append(row)
-                    starts.append(start)
-                    digests.append(digest(text[start:end]))
+                    starts.append(key)
+                    digests.append(digest(unit))
             at = pa.array(rows, pa.int64())
             columns = [batch.column("doc_id").take(at), batch.column("_row").take(at), pa.array(starts, pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(digests, pa.binary())], names=["doc_id", "_row", "start", "digest"])
@@ -76,39 +143,51 @@ def unit_table(docs: DataFrame) -> DataFrame:
     )
 
 
-def without_spans(docs: DataFrame) -> DataFrame:
-    """Cuts the units that begin at ``_cuts`` (array of offsets) out of ``text``; adds ``_spans``, (start, end) each."""
+def without_spans(docs: DataFrame, find: Find = keyed_units) -> DataFrame:
+    """Cuts the units of the keys ``_cuts`` out of ``text``; adds ``_spans``, (start, end) each.
+
+    What lies in several units is cut once, by the first; a unit that others have cut whole
+    has no span, and its entry in ``_kept_in`` goes.
+    """
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType([*docs.schema.fields, T.StructField("_spans", T.ArrayType(span))])
-    place = docs.columns.index("text")
+    place, kept_place = docs.columns.index("text"), docs.columns.index("_kept_in")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            texts, spans = [], []
-            for text, cuts in zip(batch.column("text").to_pylist(), batch.column("_cuts").to_pylist(), strict=True):
-                gone = []
+            texts, spans, kept = [], [], []
+            columns = batch.columns
+            by_row = (batch.column(c).to_pylist() for c in ("text", "_cuts", "_kept_in"))
+            for text, cuts, kept_in in zip(*by_row, strict=True):
+                gone, stays_in = [], []
                 if cuts:
-                    cuts = set(cuts)
-                    gone = [s for s in units(text) if s[0] in cuts]
+                    at = 0
+                    of = dict(zip(cuts, kept_in, strict=True))
+                    for key, start, end, _ in find(text):
+                        if key in of and end > at:
+                            gone.append((max(start, at), end))
+                            stays_in.append(of[key])
+                            at = end
                     edges = [0, *(x for s in gone for x in s), len(text)]
                     text = "".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2], strict=True))
                 texts.append(text)
                 spans.append([{"start": a, "end": b} for a, b in gone])
-            columns = batch.columns
+                kept.append(stays_in)
             columns[place] = pa.array(texts, columns[place].type)
+            columns[kept_place] = pa.array(kept, columns[kept_place].type)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, kind)], names=schema.names)
 
     return docs.mapInArrow(cut, schema)
 
 
-def dedup_units(docs: DataFrame) -> DataFrame:
+def dedup_units(docs: DataFrame, find: Find = keyed_units) -> DataFrame:
     """``docs`` (doc_id, text, _row, more) with repeated units cut out of ``text``.
 
     Adds ``_spans``, the cut parts as (start, end) of the original text, and ``_kept_in``,
-    the ids of the documents that keep their copies, in the same order.
+    the ids of the documents that hold their earliest copies, in the same order.
     """
-    table = keep(unit_table(docs), "units")
+    table = keep(unit_table(docs, find), "units")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "start")
     firsts = table.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).where("n > 1")
     again = table.join(firsts.select("digest", "first"), "digest").where(
@@ -123,18 +202,18 @@ def dedup_units(docs: DataFrame) -> DataFrame:
     )
     same = (F.col("_row") == F.col("_of_row")) & F.col("doc_id").eqNullSafe(F.col("_of"))
     marked = docs.join(keep(cuts, "cuts"), same, "left").drop("_of", "_of_row")
-    return without_spans(marked.withColumn("_kept_in", F.coalesce("_kept_in", F.array().cast("array<bigint>")))).drop("_cuts")
+    return without_spans(marked.withColumn("_kept_in", F.coalesce("_kept_in", F.array().cast("array<bigint>"))), find).drop("_cuts")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with what an earlier one holds cut out; ``n_chars`` counts what is left."""
-    found = dedup_units(docs.withColumn("_row", content_key())).withColumn("n_chars", F.length("text").cast("long"))
+    found = dedup_units(docs.withColumn("_row", content_key()), keyed_parts).withColumn("n_chars", F.length("text").cast("long"))
     return found.select(*docs.columns)
 
 
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("_row", content_key())
-    return dedup_units(docs).select(
+    return dedup_units(docs, keyed_parts).select(
         "doc_id",
         "text",
         F.size("_spans").cast("long").alias("n_removed"),

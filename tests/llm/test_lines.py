@@ -1,6 +1,9 @@
 """Repeated lines and passages against a plain loop."""
 
 import random
+from collections import Counter
+
+import pytest
 
 from cohortgraph.llm.common import content_key
 from cohortgraph.llm.lines import dedup_units, digest, stage, units
@@ -64,3 +67,44 @@ def test_stage_on_odd_documents(spark, odd_documents):
     assert found.columns == odd_documents.columns and found.count() == odd_documents.count()
     assert found.where("text LIKE 'Same%'").count() == 2  # the earliest row, which is there twice
     assert stage(spark, odd_documents.limit(0), "").collect() == []
+
+
+def windows(words):
+    return [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+
+
+SHAPES = {
+    "short lines": lambda words: "\n" + "\n".join(" ".join(words[i : i + 6]) for i in range(0, len(words), 6)) + "\n",
+    "short sentences": lambda words: " " + " ".join(w + "." if i % 5 == 4 else w for i, w in enumerate(words)) + " ",
+    "one sentence": lambda words: " " + " ".join(words) + " ",
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_passages_against_word_windows(spark, shape):
+    """Set into other text: only words of windows that are found before are cut, and most of these."""
+    draw = random.Random(3)
+    shared = [SHAPES[shape](passage(draw, 60).split()) for _ in range(4)]
+    docs = [(i, f"{passage(draw, draw.randint(5, 30))}{draw.choice(shared)}{passage(draw, draw.randint(5, 30))}", None, None, 0) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    rest = {r.doc_id: r.text.split() for r in stage(spark, df, "").collect()}
+    seen, repeated, cut = set(), 0, 0
+    for i, text, *_ in docs:
+        words = text.split()
+        again = {j + k for j, w in enumerate(windows(words)) if w in seen for k in range(8)}
+        gone = Counter(words) - Counter(rest[i])
+        assert sum((Counter(rest[i]) - Counter(words)).values()) == 0 and not gone - Counter(words[j] for j in again)
+        repeated, cut = repeated + len(again), cut + sum(gone.values())
+        seen.update(windows(words))
+    assert cut > repeated / 2 > 0
+
+
+def test_scripts_without_spaces(spark):
+    draw = random.Random(4)
+    text = lambda n: "".join(chr(draw.randint(0x4E00, 0x9FFF)) for _ in range(n))
+    shared = text(200)
+    docs = [(i, text(50) + shared + text(50), None, None, 0) for i in range(10)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    rows = {r.doc_id: r.text for r in stage(spark, df, "").collect()}
+    assert rows[0] == docs[0][1]
+    assert all(100 <= len(rows[i]) < 200 and rows[i].startswith(docs[i][1][:50]) and rows[i].endswith(docs[i][1][-50:]) for i in range(1, 10))
