@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortgraph import sinks
 from cohortgraph import standin as given
@@ -32,6 +33,7 @@ N_SHARDS = 7
 LAYOUT = ["country", "date", "type"]
 RECORDS_PER_FILE = 100_000
 ROWS_PER_FILE = 1000
+IDS_PER_ARRAY = 10_000
 PAGE_SIZE = 20
 
 
@@ -124,9 +126,10 @@ def _array_kind(path: str) -> Column:
     return F.regexp_extract(path, "kind=([a-z]+)/", 1).alias("kind")
 
 
-def _write_arrays(spark: SparkSession, sf: str, path: str) -> None:
+def _write_arrays(spark: SparkSession, sf: str, path: str, ids_per_array: int | None = None) -> None:
     """Customers as text files, each one JSON array of the customers of a nation: sound ones,
-    ones with text in a number field, ones without an id, and arrays that are cut short."""
+    ones with text in a number field, ones without an id, and arrays that are cut short. With
+    ``ids_per_array``, a nation has an array for each block of so many ids."""
     users = given.raw_users(spark, sf).where("description <> 'SUPPLIER'")
     kind = F.element_at(F.array(*map(F.lit, ("sound", "mistyped", "nameless", "broken"))), (F.col("followers_count") % 4 + 1).cast("int"))
     record = F.to_json(F.struct(*users.columns))
@@ -135,12 +138,25 @@ def _write_arrays(spark: SparkSession, sf: str, path: str) -> None:
         .when(F.col("kind") == "nameless", F.to_json(F.struct("name", "followers_count")))
         .otherwise(record)
     )
-    files = users.withColumn("kind", kind).groupBy("kind", "followers_count").agg(F.sort_array(F.collect_list(record)).alias("r"))
+    block = F.lit(0) if ids_per_array is None else F.floor(F.col("id_str").cast("long") / ids_per_array)
+    files = users.withColumn("kind", kind).groupBy("kind", "followers_count", block.alias("block")).agg(F.sort_array(F.collect_list(record)).alias("r"))
     closing = F.when(F.col("kind") == "broken", "").otherwise("]")
     text = F.concat(F.lit("["), F.array_join("r", ","), closing).alias("value")
     files.select("kind", text).write.partitionBy("kind").option("maxRecordsPerFile", 1).text(path)
 
 
+def _in_whole_files(df: DataFrame, rows_per_file: int) -> DataFrame:
+    """Rows dealt so that each task but one has a multiple of ``rows_per_file``: numbered inside
+    their partitions, offset by the partitions' counts, and kept together by file."""
+    at, shift = F.monotonically_increasing_id(), 2**33
+    numbered = df.withColumn("_at", at).withColumn("_part", F.floor(F.col("_at") / shift))
+    counts = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("_part")) - F.col("n")
+    offsets = F.broadcast(counts.select("_part", before.alias("_before")))
+    file = F.floor((F.col("_before") + F.col("_at") % shift) / rows_per_file)
+    return numbered.join(offsets, "_part").withColumn("_file", file).repartition("_file").select(df.columns)
+
+
 def _landed_twice(spark: SparkSession, sf: str) -> DataFrame:
     """Every post pulled again by a second pull that saw one more status of its author."""
     first = given.raw_posts(spark, sf)
@@ -433,7 +449,7 @@ def landing_files(spark: SparkSession, sf: str) -> DataFrame:
 def landing_arrays(spark: SparkSession, sf: str) -> DataFrame:
     """Users as files of one JSON array each, one of which does not parse; read as whole documents."""
     path = scratch_path(spark, "arrays")
-    _write_arrays(spark, sf, path)
+    _write_arrays(spark, sf, path, IDS_PER_ARRAY)
     good, _ = landing.read_users(spark, path)
     return flatten_users(good.drop("source_file"))
 
@@ -474,7 +490,8 @@ def landing_schema(spark: SparkSession, sf: str) -> DataFrame:
 def table_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """A table rolled by row count: no file holds more, all rows are there."""
     path = scratch_path(spark, "table")
-    sinks.write_table(given.table(spark, sf, "lineitem").coalesce(1), path, rows_per_file=ROWS_PER_FILE)
+    lineitem = _in_whole_files(given.table(spark, sf, "lineitem"), ROWS_PER_FILE)
+    sinks.write_table(lineitem, path, rows_per_file=ROWS_PER_FILE)
     files = tables.read_table(spark, path).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
     return files.agg(
         F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.max("n").alias("n_most")
