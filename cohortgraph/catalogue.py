@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cohortgraph import sinks
 from cohortgraph import standin as given
@@ -19,7 +18,7 @@ from cohortgraph.plans.extract import extract_posts
 from cohortgraph.plans.snowball import interaction_edges, snowball
 from cohortgraph.schemas import RAW_POST, RAW_USER
 from cohortgraph.session import scratch_path
-from cohortgraph.sources import landing, tables
+from cohortgraph.sources import drift, landing, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,7 +31,7 @@ MARKS_BEFORE = 1705708800  # 2024-01-20: posts before count as stored
 N_SHARDS = 7
 LAYOUT = ["country", "date", "type"]
 RECORDS_PER_FILE = 100_000
-ROWS_PER_FILE = 1000
+USERS_PER_FILE = 1000
 IDS_PER_ARRAY = 10_000
 PAGE_SIZE = 20
 
@@ -126,11 +125,10 @@ def _array_kind(path: str) -> Column:
     return F.regexp_extract(path, "kind=([a-z]+)/", 1).alias("kind")
 
 
-def _write_arrays(spark: SparkSession, sf: str, path: str, ids_per_array: int | None = None) -> None:
-    """Customers as text files, each one JSON array of the customers of a nation: sound ones,
-    ones with text in a number field, ones without an id, and arrays that are cut short. With
-    ``ids_per_array``, a nation has an array for each block of so many ids."""
-    users = given.raw_users(spark, sf).where("description <> 'SUPPLIER'")
+def _write_arrays(spark: SparkSession, sf: str, path: str) -> None:
+    """User lookups as text files, each one JSON array of the users of a nation and a block of ids: sound
+    ones, ones with text in a number field, ones without an id, and arrays that are cut short."""
+    users = given.raw_users(spark, sf)
     kind = F.element_at(F.array(*map(F.lit, ("sound", "mistyped", "nameless", "broken"))), (F.col("followers_count") % 4 + 1).cast("int"))
     record = F.to_json(F.struct(*users.columns))
     record = (
@@ -138,25 +136,13 @@ def _write_arrays(spark: SparkSession, sf: str, path: str, ids_per_array: int |
         .when(F.col("kind") == "nameless", F.to_json(F.struct("name", "followers_count")))
         .otherwise(record)
     )
-    block = F.lit(0) if ids_per_array is None else F.floor(F.col("id_str").cast("long") / ids_per_array)
-    files = users.withColumn("kind", kind).groupBy("kind", "followers_count", block.alias("block")).agg(F.sort_array(F.collect_list(record)).alias("r"))
+    block = F.floor(F.col("id_str").cast("long") / IDS_PER_ARRAY).alias("block")
+    files = users.withColumn("kind", kind).groupBy("kind", "followers_count", block).agg(F.sort_array(F.collect_list(record)).alias("r"))
     closing = F.when(F.col("kind") == "broken", "").otherwise("]")
     text = F.concat(F.lit("["), F.array_join("r", ","), closing).alias("value")
     files.select("kind", text).write.partitionBy("kind").option("maxRecordsPerFile", 1).text(path)
 
 
-def _in_whole_files(df: DataFrame, rows_per_file: int) -> DataFrame:
-    """Rows dealt so that each task but one has a multiple of ``rows_per_file``: numbered inside
-    their partitions, offset by the partitions' counts, and kept together by file."""
-    at, shift = F.monotonically_increasing_id(), 2**33
-    numbered = df.withColumn("_at", at).withColumn("_part", F.floor(F.col("_at") / shift))
-    counts = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.orderBy("_part")) - F.col("n")
-    offsets = F.broadcast(counts.select("_part", before.alias("_before")))
-    file = F.floor((F.col("_before") + F.col("_at") % shift) / rows_per_file)
-    return numbered.join(offsets, "_part").withColumn("_file", file).repartition("_file").select(df.columns)
-
-
 def _landed_twice(spark: SparkSession, sf: str) -> DataFrame:
     """Every post pulled again by a second pull that saw one more status of its author."""
     first = given.raw_posts(spark, sf)
@@ -397,6 +383,14 @@ def filter_funnel(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.filter_funnel(_batch(spark, sf), filters)
 
 
+@query("observed_funnel")
+def observed_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    """The same counts, taken while the chosen users are written."""
+    filters = worklist.work_filters(WORK_COUNTRIES, "update", drop_seeds=True, **WORK_WINDOW)
+    _, counts = worklist.select_and_count(_batch(spark, sf), filters)
+    return metrics.as_row(spark, counts)
+
+
 @query("pull_manifest")
 def pull_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Names of one pull file per customer segment, country and day, read back."""
@@ -437,11 +431,13 @@ def landing_files(spark: SparkSession, sf: str) -> DataFrame:
     sinks.write_json(_laid_out(given.raw_posts(spark, sf)), path, max_records=RECORDS_PER_FILE, columns=LAYOUT)
     records = landing.marked(landing.read_landing(spark, f"{path}/*/*/*/*.bz2", RAW_POST, multi_line=False))
     # Parts of the path, checked against what the record itself says of its pull.
-    by_record = _laid_out(landing.good_records(records)).select(*LAYOUT, F.struct(*landing.path_parts()).alias("p"))
-    agree = F.col("p.country_short").eqNullSafe(F.col("country")) & F.col("p.pull_date").eqNullSafe(F.col("date"))
-    return by_record.groupBy("p.country_short", "p.pull_date", "p.pull_type").agg(
-        F.count(F.lit(1)).alias("n_records"),
-        F.count_if(agree & F.col("p.pull_type").eqNullSafe(F.col("type"))).alias("n_in_place"),
+    located = landing.with_path_parts(landing.good_records(records), landing.files_under(spark, f"{path}/*/*/*/*.bz2"))
+    said = _laid_out(located).groupBy("country_short", "pull_date", "pull_type", *LAYOUT).agg(F.count(F.lit(1)).alias("n"))
+    agree = F.lit(True)
+    for ours, theirs in zip(("country_short", "pull_date", "pull_type"), LAYOUT, strict=True):
+        agree = agree & F.col(ours).eqNullSafe(F.col(theirs))
+    return said.groupBy("country_short", "pull_date", "pull_type").agg(
+        F.sum("n").alias("n_records"), F.coalesce(F.sum(F.when(agree, F.col("n"))), F.lit(0)).alias("n_in_place")
     )
 
 
@@ -449,7 +445,7 @@ def landing_files(spark: SparkSession, sf: str) -> DataFrame:
 def landing_arrays(spark: SparkSession, sf: str) -> DataFrame:
     """Users as files of one JSON array each, one of which does not parse; read as whole documents."""
     path = scratch_path(spark, "arrays")
-    _write_arrays(spark, sf, path, IDS_PER_ARRAY)
+    _write_arrays(spark, sf, path)
     good, _ = landing.read_users(spark, path)
     return flatten_users(good.drop("source_file"))
 
@@ -459,7 +455,7 @@ def landing_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """What has no id, with its text, by the kind of the file it came from."""
     path = scratch_path(spark, "arrays")
     _write_arrays(spark, sf, path)
-    records = landing.staged(landing.read_landing(spark, path, RAW_USER), scratch_path(spark, "staging"))
+    records, _ = landing.staged(landing.read_landing(spark, path, RAW_USER), scratch_path(spark, "staging"))
     return landing.bad_records(records).select(_array_kind("source_file"), "bad_text")
 
 
@@ -468,7 +464,7 @@ def landing_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Files and records by kind of file, from the staged records and the listing."""
     path = scratch_path(spark, "arrays")
     _write_arrays(spark, sf, path)
-    records = landing.staged(landing.read_landing(spark, path, RAW_USER), scratch_path(spark, "staging"))
+    records, _ = landing.staged(landing.read_landing(spark, path, RAW_USER), scratch_path(spark, "staging"))
     files = landing.audit_files(spark, path, records)
     return files.groupBy(_array_kind("source_file")).agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("n_records").alias("n_records"), F.sum("n_bad").alias("n_bad")
@@ -477,24 +473,37 @@ def landing_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("landing_schema")
 def landing_schema(spark: SparkSession, sf: str) -> DataFrame:
-    """Fields and types inferred from written users."""
+    """Fields and types that written users have in common."""
     path = scratch_path(spark, "sample")
-    users = given.raw_users(spark, sf).select("id_str", "followers_count", "verified", "status")
-    sinks.write_json(users, path, max_records=RECORDS_PER_FILE)
-    inferred = landing.infer_schema(spark, path, multi_line=False)
-    fields = [(f.name, f.dataType.simpleString()) for f in inferred.fields]
-    return spark.createDataFrame(fields, "name string, type string")
+    sinks.write_json(given.raw_users(spark, sf), path, max_records=RECORDS_PER_FILE)
+    fields = drift.inferred(landing.read_elements(spark, path, multi_line=False), depth=1).where("path <> '$'")
+    return fields.select(F.substring_index("path", ".", -1).alias("name"), drift.as_ddl("schema").alias("type"))
+
+
+@query("landing_drift")
+def landing_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths and types of the written arrays against the schema that is imposed on them."""
+    path = scratch_path(spark, "arrays")
+    _write_arrays(spark, sf, path)
+    return drift.drift(landing.read_elements(spark, path), RAW_USER)
 
 
 @query("table_round_trip")
 def table_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    """A table rolled by row count: no file holds more, all rows are there."""
+    """A table in files of a size: all rows are there, and no file is half or twice as large as it should be."""
     path = scratch_path(spark, "table")
-    lineitem = _in_whole_files(given.table(spark, sf, "lineitem"), ROWS_PER_FILE)
-    sinks.write_table(lineitem, path, rows_per_file=ROWS_PER_FILE)
-    files = tables.read_table(spark, path).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
+    n_files = sinks.write_sized(given.table(spark, sf, "lineitem"), path)
+    files = (
+        tables.read_table(spark, path)
+        .groupBy("_metadata.file_path", "_metadata.file_size")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_orderkey") * F.col("l_linenumber")).alias("keys"))
+    )
+    short = (F.col("file_size") < sinks.FILE_BYTES / 2) & F.lit(n_files > 1)
     return files.agg(
-        F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.max("n").alias("n_most")
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.sum("keys").alias("sum_keys"),
+        F.count_if(short).alias("n_short"),
+        F.count_if(F.col("file_size") > 2 * sinks.FILE_BYTES).alias("n_long"),
     )
 
 
@@ -502,8 +511,10 @@ def table_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 def friend_files(spark: SparkSession, sf: str) -> DataFrame:
     """Friend maps written as text, one JSON object in each file, and read as lists."""
     path = scratch_path(spark, "friends")
-    maps = given.friend_maps(spark, sf).select(F.to_json("friends").alias("value"))
-    maps.write.option("maxRecordsPerFile", 1).text(path)
+    lists = tables.explode_friend_map(given.friend_maps(spark, sf))
+    file = F.floor(F.col("user_id").cast("long") / USERS_PER_FILE)
+    maps = lists.groupBy(file).agg(F.map_from_entries(F.collect_list(F.struct("user_id", "friend_ids"))).alias("friends"))
+    maps.select(F.to_json("friends").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return links.friend_edges(tables.read_friend_lists(spark, path), distinct=True)
 
 

@@ -113,6 +113,9 @@ class Layout:
     def monthly(self) -> str:
         return self.path("metrics", "monthly")
 
+    def staged_counts(self, name: str) -> str:
+        return self.path("metrics", "staged", name)
+
     def funnel(self, pull_type: str) -> str:
         return self.path("metrics", "funnel", pull_type)
 
@@ -194,7 +197,8 @@ class Jobs:
         """The landing zone parsed once into a staging table; what is bad goes to the
         quarantine, which is always written anew, so a repaired file leaves it."""
         raw = landing.read_landing(self.spark, paths, schema, multi_line)
-        records = landing.staged(raw, self.at.staging(name))
+        records, counts = landing.staged(raw, self.at.staging(name))
+        sinks.write_table(metrics.as_row(self.spark, counts), self.at.staged_counts(name))
         sinks.write_table(landing.bad_records(records), bad_path)
         return records
 
@@ -311,8 +315,8 @@ class Jobs:
         names = ("min_timestamp", "max_timestamp", "drop_seeds")
         filters = worklist.work_filters(countries, pull_type, **{name: options[name] for name in names if options.get(name)})
         batch = self._table(self.at.remaining if remaining else self.at.batch)
-        sinks.write_table(metrics.filter_funnel(batch, filters), self.at.funnel(pull_type))
-        users = materialize(worklist.select_users(batch, filters), "users")
+        users, counts = worklist.select_and_count(batch, filters)
+        sinks.write_table(metrics.as_row(self.spark, counts), self.at.funnel(pull_type))
         work = self._sharded(users, shards, hash_shards, ("country_short",))
         sinks.write_partitioned(work, self.at.work(pull_type), ["country_short", "shard"], whole=True)
 
@@ -335,11 +339,11 @@ class Jobs:
         users, posts = self._table(self.at.batch, "user_id").distinct(), self._table(self.at.posts, "tweet_id", "user_id")
         sinks.write_table(metrics.request_estimate(users, posts, page), self.at.estimate)
 
-    def monthly_counts(self, **_) -> None:
-        """Posts of the post table by month."""
+    def monthly_counts(self, start: str | None = None, **_) -> None:
+        """Posts of the post table by month; months that end before ``start`` are left out."""
         posts = self._table(self.at.posts, "user_id", "tweet_timestamp")
         dated = posts.withColumn("tweet_timestamp", F.timestamp_seconds("tweet_timestamp"))
-        sinks.write_table(metrics.monthly_counts(dated, "tweet_timestamp"), self.at.monthly)
+        sinks.write_table(metrics.monthly_counts(dated, "tweet_timestamp", start), self.at.monthly)
 
     def newer_posts(self, **_) -> None:
         """Posts of the post table that are newer than their author's mark in the batch."""
@@ -367,6 +371,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--pull-type", default="*")
     parser.add_argument("--date", default="*")
     parser.add_argument("--min-timestamp")
+    parser.add_argument("--start", help="first month end of the monthly counts")
     parser.add_argument("--max-timestamp")
     parser.add_argument("--drop-seeds", action="store_true")
     parser.add_argument("--distinct-authors", action="store_true")

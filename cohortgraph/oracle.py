@@ -136,10 +136,9 @@ CTES = {
     "fresh": "SELECT * FROM posts WHERE tweet_timestamp >= 1706572800",
     "friend_lists": "SELECT DISTINCT user_id, mentioned[1] AS friend_id FROM posts WHERE mentioned IS NOT NULL",
     "arrays": """
-        SELECT u.*, ['sound', 'mistyped', 'nameless', 'broken'][user_followers_count % 4 + 1] AS kind
-        FROM (SELECT CASE WHEN c_acctbal >= 0 THEN user_id || '1' END AS tweet_id,
-                     CASE WHEN c_acctbal >= 0 THEN 1600000000 + CAST(floor(c_acctbal) AS BIGINT) END AS tweet_timestamp,
-                     c.* EXCLUDE (c_custkey) FROM user_columns c JOIN users USING (user_id)) u""",
+        SELECT *, ['sound', 'mistyped', 'nameless', 'broken'][user_followers_count % 4 + 1] AS kind,
+               CAST(user_id AS BIGINT) // 10000 AS block
+        FROM raw_users""",
     "laid_out": """
         SELECT CASE WHEN user_friends_count % 2 = 0 THEN 'XA' ELSE 'XB' END AS country_short,
                strftime(make_timestamp(tweet_timestamp * 1000000), '%d') || '2024' AS pull_date,
@@ -193,6 +192,7 @@ BATCH = (
     "users", "seeds", "locations", "user_columns", "posts", "latest", "profiles", "raw_users", "lookups",
     "looked_up", "timelines", "batch",
 )
+ARRAYS = ("users", "user_columns", "raw_users", "arrays")
 WANTED = "country_short IN ('AFRICA', 'AMERICA', 'EUROPE')"
 SHARDED = """
     SELECT *, CAST(ntile(7) OVER (PARTITION BY country_short ORDER BY md5(user_id || '0'), user_id) - 1
@@ -203,6 +203,21 @@ NUMBERED = """
                   AS shard_position
     FROM ({sharded})"""
 
+FUNNEL = sql(
+    f"""SELECT count(*) AS n_all,
+               count(*) FILTER (a) AS n_in_countries,
+               count(*) FILTER (a AND b) AS n_update,
+               count(*) FILTER (a AND b AND c) AS n_before_max,
+               count(*) FILTER (a AND b AND c AND d) AS n_after_min,
+               count(*) FILTER (a AND b AND c AND d AND e) AS n_not_seed,
+               count(DISTINCT CASE WHEN a AND b AND c AND d AND e THEN user_id END) AS n_unique
+        FROM (SELECT user_id, {WANTED} AS a, tweet_timestamp IS NOT NULL AS b,
+                     tweet_timestamp < TIMESTAMP '2024-01-30 18:00:00' AS c,
+                     tweet_timestamp > TIMESTAMP '2024-01-29 06:00:00' AS d, is_seed = 0 AS e
+              FROM batch)""",
+    *BATCH,
+)
+
 ORACLE_SQL = {
     "snowball": sql("SELECT user_id, country_short, n_users FROM snowball", *SNOWBALL),
     "snowball_distinct_authors": sql("SELECT user_id, country_short, n_authors AS n_users FROM snowball", *SNOWBALL),
@@ -355,20 +370,8 @@ ORACLE_SQL = {
                 LEFT JOIN supplier ON CAST(s_suppkey AS VARCHAR) = a.user_id""",
         *SNOWBALL, "seeds",
     ),
-    "filter_funnel": sql(
-        f"""SELECT count(*) AS n_all,
-                   count(*) FILTER (a) AS n_in_countries,
-                   count(*) FILTER (a AND b) AS n_update,
-                   count(*) FILTER (a AND b AND c) AS n_before_max,
-                   count(*) FILTER (a AND b AND c AND d) AS n_after_min,
-                   count(*) FILTER (a AND b AND c AND d AND e) AS n_not_seed,
-                   count(DISTINCT CASE WHEN a AND b AND c AND d AND e THEN user_id END) AS n_unique
-            FROM (SELECT user_id, {WANTED} AS a, tweet_timestamp IS NOT NULL AS b,
-                         tweet_timestamp < TIMESTAMP '2024-01-30 18:00:00' AS c,
-                         tweet_timestamp > TIMESTAMP '2024-01-29 06:00:00' AS d, is_seed = 0 AS e
-                  FROM batch)""",
-        *BATCH,
-    ),
+    "filter_funnel": FUNNEL,
+    "observed_funnel": FUNNEL,
     "pull_manifest": sql(
         """SELECT country_short, pull_date, pull_type, count(*) AS n_files,
                   CAST(sum(users) AS BIGINT) AS n_users, CAST(sum(views) AS BIGINT) AS n_requests,
@@ -389,16 +392,16 @@ ORACLE_SQL = {
         *FLAT, "laid_out",
     ),
     "landing_arrays": sql(
-        """SELECT * EXCLUDE (kind) REPLACE (CASE WHEN kind = 'sound' THEN user_friends_count END AS user_friends_count)
+        """SELECT * EXCLUDE (kind, block) REPLACE (CASE WHEN kind = 'sound' THEN user_friends_count END AS user_friends_count)
            FROM arrays WHERE kind IN ('sound', 'mistyped')""",
-        "users", "user_columns", "arrays",
+        *ARRAYS,
     ),
     "landing_quarantine": sql(
         """SELECT kind, '{"followers_count":' || user_followers_count || ',"name":"' || user_name || '"}' AS bad_text
            FROM arrays WHERE kind = 'nameless'
            UNION ALL
            SELECT 'broken', '[' || string_agg(record, ',' ORDER BY record) || chr(10) FROM (
-               SELECT user_followers_count AS nation, '{'
+               SELECT user_followers_count AS nation, block, '{'
                    || CASE WHEN tweet_id IS NULL THEN '' ELSE '"status":{"id_str":"' || tweet_id || '","created_at":"'
                         || strftime(make_timestamp(tweet_timestamp * 1000000), '%a %b %d %H:%M:%S +0000 %Y') || '"},' END
                    || '"created_at":"' || strftime(make_timestamp(user_timestamp * 1000000), '%a %b %d %H:%M:%S +0000 %Y')
@@ -412,24 +415,47 @@ ORACLE_SQL = {
                    || CASE WHEN user_url IS NULL THEN '' ELSE ',"url":"' || user_url || '"' END
                    || ',"verified":' || user_verified || '}' AS record
                FROM arrays WHERE kind = 'broken')
-           GROUP BY nation""",
-        "users", "user_columns", "arrays",
+           GROUP BY nation, block""",
+        *ARRAYS,
     ),
     "landing_audit": sql(
-        """SELECT kind, count(DISTINCT user_followers_count) AS n_files,
+        """SELECT kind, count(DISTINCT (user_followers_count, block)) AS n_files,
                   CAST(count(*) FILTER (kind IN ('sound', 'mistyped')) AS BIGINT) AS n_records,
-                  CASE kind WHEN 'nameless' THEN count(*) WHEN 'broken' THEN count(DISTINCT user_followers_count)
+                  CASE kind WHEN 'nameless' THEN count(*) WHEN 'broken' THEN count(DISTINCT (user_followers_count, block))
                             ELSE 0 END AS n_bad
            FROM arrays GROUP BY kind""",
-        "users", "user_columns", "arrays",
+        *ARRAYS,
     ),
     "landing_schema": """
-        SELECT * FROM (VALUES ('followers_count', 'bigint'), ('id_str', 'string'),
-            ('status', 'struct<created_at:string,id_str:string>'), ('verified', 'boolean')) AS t(name, type)
+        SELECT * FROM (VALUES ('created_at', 'string'), ('default_profile_image', 'boolean'), ('description', 'string'),
+            ('favourites_count', 'bigint'), ('followers_count', 'bigint'), ('friends_count', 'bigint'),
+            ('geo_enabled', 'boolean'), ('id_str', 'string'), ('location', 'string'), ('name', 'string'),
+            ('notifications', 'boolean'), ('profile_image_url_https', 'string'), ('protected', 'boolean'),
+            ('screen_name', 'string'), ('status', 'struct<created_at:string,id_str:string>'),
+            ('statuses_count', 'bigint'), ('url', 'string'), ('verified', 'boolean')) AS t(name, type)
         WHERE EXISTS (FROM customer)""",
+    "landing_drift": sql(
+        """SELECT path, type_found, type_expected, CAST(count(f) AS BIGINT) AS n_records,
+                  type_found <> type_expected AS is_drift
+           FROM (SELECT e.path, e.type AS type_expected, f,
+                        CASE WHEN e.path = '$.friends_count' AND kind = 'mistyped' THEN 'STRING' ELSE e.type END AS type_found
+                 FROM (VALUES ('$', 'OBJECT'), ('$.created_at', 'STRING'), ('$.default_profile_image', 'BOOLEAN'),
+                     ('$.description', 'STRING'), ('$.favourites_count', 'BIGINT'), ('$.followers_count', 'BIGINT'),
+                     ('$.friends_count', 'BIGINT'), ('$.geo_enabled', 'BOOLEAN'), ('$.id_str', 'STRING'),
+                     ('$.location', 'STRING'), ('$.name', 'STRING'), ('$.notifications', 'BOOLEAN'),
+                     ('$.profile_image_url_https', 'STRING'), ('$.protected', 'BOOLEAN'), ('$.screen_name', 'STRING'),
+                     ('$.status', 'OBJECT'), ('$.status.created_at', 'STRING'), ('$.status.id_str', 'STRING'),
+                     ('$.statuses_count', 'BIGINT'), ('$.url', 'STRING'), ('$.verified', 'BOOLEAN')) AS e(path, type)
+                      JOIN (SELECT *, 1 AS f FROM arrays WHERE kind <> 'broken') a
+                        ON (kind <> 'nameless' OR e.path IN ('$', '$.name', '$.followers_count'))
+                           AND (e.path NOT LIKE '$.status%' OR e.path = '$.statuses_count' OR tweet_id IS NOT NULL)
+                           AND (e.path <> '$.url' OR user_url IS NOT NULL))
+           GROUP BY path, type_found, type_expected""",
+        *ARRAYS,
+    ),
     "table_round_trip": """
-        SELECT CAST(ceil(count(*) / 1000) AS BIGINT) AS n_files, count(*) AS n_rows,
-               least(count(*), 1000) AS n_most FROM lineitem""",
+        SELECT count(*) AS n_rows, CAST(sum(l_orderkey * l_linenumber) AS BIGINT) AS sum_keys,
+               CAST(0 AS BIGINT) AS n_short, CAST(0 AS BIGINT) AS n_long FROM lineitem""",
     "friend_files": sql("SELECT user_id, friend_id FROM friend_lists", "posts", "friend_lists"),
     "hash_shard_users": sql(
         """SELECT *, CAST(CAST('0x' || substr(md5(user_id || '0'), 1, 15) AS BIGINT) % 7 AS INTEGER) AS shard

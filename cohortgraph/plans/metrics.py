@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cohortgraph.functions.columns import ceil_div
@@ -110,6 +110,11 @@ def filter_funnel(batch: DataFrame, filters: dict[str, Column], key: str = "user
     return batch.agg(*counts, F.count_distinct(F.when(passed, F.col(key))).alias("n_unique"))
 
 
+def as_row(spark: SparkSession, counts: dict) -> DataFrame:
+    """Counts taken during a write as a table of one row."""
+    return spark.createDataFrame([Row(**counts)], ", ".join(f"{name} long" for name in counts))
+
+
 def post_file_name(
     n_users: str, n_requests: str, n_tweets: str, country: str, date: str, pull_type: str, tag: str
 ) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortgraph.functions.columns import numeric_id
 from cohortgraph.operators.shards import assign_shards
 from cohortgraph.operators.survivors import keep_greatest
-from cohortgraph.session import materialize
+from cohortgraph.session import materialize, materialize_counted, observed
 
 
 def in_countries(countries: Sequence[str]) -> Column:
@@ -70,6 +70,23 @@ def work_filters(
     return filters
 
 
+def select_and_count(batch: DataFrame, filters: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """``select_users``, written out, and the counts of ``metrics.filter_funnel``, from one read of the batch.
+
+    Rows left by each filter are counted while those that pass all are written, users while the
+    chosen ones are.
+    """
+    counts, passed = {"n_all": F.count(F.lit(1))}, F.lit(True)
+    for name, condition in filters.items():
+        passed = passed & condition
+        counts[f"n_{name}"] = F.count_if(passed)
+    # The rows are counted before the filter, in the same stage.
+    seen, observation = observed(batch, counts)
+    left = materialize(seen.where(passed), "left")
+    users, n_users = materialize_counted(select_users(left, {}), {"n_unique": F.count("user_id")}, "users")
+    return users, observation.get | n_users
+
+
 def select_users(batch: DataFrame, filters: dict[str, Column]) -> DataFrame:
     """Rows passing all filters, one per user: the newest last post, then the greatest
     country, of users listed in several countries."""

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(app_name: str = "cohortgraph", **conf: str) -> SparkSession:
@@ -67,3 +69,19 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def observed(df: DataFrame, counts: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` with aggregates that are taken while it is written.
+
+    Observe the very rows that are written, with no shuffle between: Spark adds up the tasks of a
+    job's last stage once each, but those of earlier stages again if a lost executor repeats them.
+    """
+    seen = Observation()
+    return df.observe(seen, *(value.alias(name) for name, value in counts.items())), seen
+
+
+def materialize_counted(df: DataFrame, counts: Mapping[str, Column], name: str = "table") -> tuple[DataFrame, dict]:
+    """As ``materialize``, with the ``counts`` of what was written, without a second read."""
+    df, seen = observed(df, counts)
+    return materialize(df, name), seen.get

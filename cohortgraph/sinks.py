@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from math import ceil
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cohortgraph.session import scratch_path
 
 # About 100 MB of posts.
 ROWS_PER_FILE = 1_000_000
+FILE_BYTES = 128 << 20
 
 
 def write_table(
@@ -25,6 +31,27 @@ def write_table(
     df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
+def written_bytes(spark, path: str) -> int:
+    """Bytes of the Parquet files under ``path``, from the listing; one number to the driver."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
+    return listed.agg(F.sum("length")).first()[0] or 0
+
+
+def write_sized(df: DataFrame, path: str, file_bytes: int = FILE_BYTES, mode: str = "overwrite") -> int:
+    """Parquet table in files of about ``file_bytes``, whatever the width of its rows; gives their number.
+
+    What a row takes as Parquet is not known before it is written, so the table is written to the
+    shared folder first and its bytes are measured there; then the rows are dealt evenly over as many
+    files as that takes. Costs a second write and a shuffle: meant for tables that are read often.
+    """
+    staged = scratch_path(df.sparkSession, "unsized")
+    df.write.parquet(staged)
+    n_files = max(1, ceil(written_bytes(df.sparkSession, staged) / file_bytes))
+    rows = df.sparkSession.read.schema(df.schema).parquet(staged)
+    rows.repartition(n_files).write.mode(mode).parquet(path)
+    return n_files
+
+
 def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], whole: bool = False) -> None:
     """One directory per value of ``columns``, in one pass; only the partitions written
     are replaced, or the ``whole`` table. Rebalancing gathers small partitions and splits

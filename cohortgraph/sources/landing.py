@@ -8,85 +8,99 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortgraph.operators.sizing import fits
 from cohortgraph.schemas import CORRUPT_COLUMN, RAW_POST, RAW_USER
+from cohortgraph.session import observed
 
 Paths = str | Sequence[str]
+#: A record as it was read.
+ELEMENT = "element"
 
 
 def _paths(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_landing(spark: SparkSession, paths: Paths, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    """All records under ``paths`` (globs allowed), with an imposed schema and ``source_file``.
-
-    ``multi_line`` files hold one JSON array and are read by one task each; other files hold
-    one record per line. Compression follows the file suffix. A field of the wrong type is
-    null and the rest of its record stays. Of lines that do not parse at all the text is kept
-    in ``_corrupt_record``. An array that does not parse is one record of nulls: Spark would
-    copy the text of the whole file to every record of an array with one bad field, so it is
-    not asked for; ``unparsed_files`` reads the text of those files alone.
+def read_elements(spark: SparkSession, paths: Paths, multi_line: bool = True) -> DataFrame:
+    """(source_file, ``element``, ``_corrupt_record``): every record under ``paths`` (globs allowed) whole, as VARIANT.
+
+    ``multi_line`` files hold one JSON array (or one object) and are read once, as text, by one
+    task each; each of their elements becomes a value of its own, so neither an odd element nor a
+    large file costs more than its share, though a file's text must fit a row (2 GB). Other files hold
+    one record per line. Compression follows the file suffix. What does not parse has no element
+    but its text: the whole file's, or the line's; blank ones are nothing. Of a key that a record repeats the last one counts.
     """
-    fields = [field for field in schema.fields if field.name != CORRUPT_COLUMN]
+    # Without this a single record with a doubled key would take its whole file with it.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    # Columns that a directory's name adds are no part of a record.
+    text = spark.read.text(_paths(paths), wholetext=multi_line).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    text = text.where(F.trim("value") != "")
     if not multi_line:
-        fields.append(T.StructField(CORRUPT_COLUMN, T.StringType()))
-    read = (
-        spark.read.schema(T.StructType(fields))
-        .option("multiLine", multi_line)
-        .option("encoding", "UTF-8")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .json(_paths(paths))
+        lines = text.select("source_file", F.try_parse_json("value").alias(ELEMENT), "value")
+        return lines.select("source_file", ELEMENT, F.when(F.col(ELEMENT).isNull(), F.col("value")).alias(CORRUPT_COLUMN))
+    alone = F.when(F.ltrim("value").startswith("{"), F.try_parse_json("value"))
+    array = F.coalesce(F.from_json("value", "array<variant>"), F.when(alone.isNotNull(), F.array(alone)))
+    files = text.select("source_file", "value", array.alias("elements"))
+    unparsed = F.when(F.col("elements").isNull(), F.col("value")).alias(CORRUPT_COLUMN)
+    records = files.select("source_file", unparsed, F.explode_outer("elements").alias(ELEMENT))
+    return records.where(F.col(ELEMENT).isNotNull() | F.col(CORRUPT_COLUMN).isNotNull()).select("source_file", ELEMENT, CORRUPT_COLUMN)
+
+
+def read_landing(spark: SparkSession, paths: Paths, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """All records under ``paths`` with an imposed schema, ``source_file`` and what their text is made of.
+
+    A field of the wrong type is null and the rest of its record stays. Elements of an array keep
+    their VARIANT beside the columns; a line keeps its text, and is parsed straight into the columns.
+    """
+    names = [field.name for field in schema.fields]
+    if multi_line:
+        elements = read_elements(spark, paths)
+        record = F.try_variant_get(ELEMENT, F.lit("$"), schema.simpleString())
+        return elements.select(record.alias("r"), ELEMENT, CORRUPT_COLUMN, "source_file").select(
+            *(F.col(f"r.{name}").alias(name) for name in names), ELEMENT, CORRUPT_COLUMN, "source_file"
+        )
+    lines = spark.read.text(_paths(paths)).select("value", F.col("_metadata.file_path").alias("source_file"))
+    record = F.from_json("value", schema).alias("r")
+    none = F.lit(None).cast("variant").alias(ELEMENT)
+    return (
+        lines.where(F.trim("value") != "")
+        .select(record, "value", "source_file")
+        .select(*(F.col(f"r.{name}").alias(name) for name in names), none, F.col("value").alias(CORRUPT_COLUMN), "source_file")
     )
-    corrupt = F.lit(None).cast("string").alias(CORRUPT_COLUMN) if multi_line else F.col(CORRUPT_COLUMN)
-    names = [field.name for field in schema.fields if field.name != CORRUPT_COLUMN]
-    # Columns that a directory's name adds are no part of a record.
-    return read.select(*names, corrupt, F.col("_metadata.file_path").alias("source_file"))
 
 
 def marked(landing: DataFrame, key: str = "id_str") -> DataFrame:
     """Records with ``is_good`` and, of bad ones, their text in ``bad_text``.
 
-    Good is what has an id; no later step can use a record without one. A bad record that
-    was parsed is kept as JSON again; its text is null only if its whole file did not parse.
+    Good is what has an id; no later step can use a record without one. The text of an array's
+    element is its JSON, whatever fields it has; what did not parse is kept as it was.
     """
-    fields = [c for c in landing.columns if c not in (CORRUPT_COLUMN, "source_file")]
-    parsed = F.lit(False)
-    for c in fields:
-        parsed = parsed | F.col(c).isNotNull()
-    text = F.coalesce(CORRUPT_COLUMN, F.when(parsed, F.to_json(F.struct(*fields))))
+    fields = [c for c in landing.columns if c not in (ELEMENT, CORRUPT_COLUMN, "source_file")]
     good = F.col(key).isNotNull()
-    return landing.select(*fields, "source_file", good.alias("is_good"), F.when(~good, text).alias("bad_text"))
+    text = F.when(~good, F.coalesce(F.to_json(ELEMENT), F.col(CORRUPT_COLUMN)))
+    return landing.select(*fields, "source_file", good.alias("is_good"), text.alias("bad_text"))
 
 
-def staged(landing: DataFrame, path: str, key: str = "id_str") -> DataFrame:
-    """Marked records written to ``path`` as Parquet: the landing zone is parsed once, and
-    posts, quarantine and audit are taken from this table."""
-    marked(landing, key).write.mode("overwrite").parquet(path)
-    return landing.sparkSession.read.parquet(path)
+def staged(landing: DataFrame, path: str, key: str = "id_str") -> tuple[DataFrame, dict]:
+    """Marked records written to ``path`` as Parquet, and their counts: the landing zone is parsed
+    once, and posts, quarantine and audit are taken from this table."""
+    counts = {
+        "n_records": F.count_if("is_good"),
+        "n_bad": F.count_if(~F.col("is_good")),
+        "n_bad_bytes": F.coalesce(F.sum(F.octet_length("bad_text")), F.lit(0)),
+    }
+    records, seen = observed(marked(landing, key), counts)
+    records.write.mode("overwrite").parquet(path)
+    return landing.sparkSession.read.parquet(path), seen.get
 
 
 def good_records(records: DataFrame) -> DataFrame:
     return records.where("is_good").drop("is_good", "bad_text")
 
 
-def unparsed_files(records: DataFrame) -> DataFrame:
-    """(source_file, bad_text) of files of which nothing parsed; only those are read again.
-
-    Their names go through the driver: a name for each file, not for each record.
-    """
-    spark = records.sparkSession
-    names = [r.source_file for r in records.where("NOT is_good AND bad_text IS NULL").select("source_file").distinct().collect()]
-    if not names:
-        return spark.createDataFrame([], "source_file string, bad_text string")
-    text = spark.read.text(names, wholetext=True)
-    return text.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("bad_text"))
-
-
 def bad_records(records: DataFrame) -> DataFrame:
-    """(source_file, bad_text) of every record without an id and of every file that did not parse."""
-    bad = records.where("NOT is_good AND bad_text IS NOT NULL").select("source_file", "bad_text")
-    return bad.unionByName(unparsed_files(records))
+    """(source_file, bad_text) of every record without an id and of every file or line that did not parse."""
+    return records.where("NOT is_good").select("source_file", "bad_text")
 
 
 def read_posts(
@@ -105,11 +119,6 @@ def read_users(
     return good_records(records), bad_records(records)
 
 
-def infer_schema(spark: SparkSession, sample: Paths, multi_line: bool = True) -> T.StructType:
-    """Schema of a sample file, for looking at a new source; jobs use the constants."""
-    return spark.read.option("multiLine", multi_line).option("encoding", "UTF-8").json(_paths(sample)).schema
-
-
 def skip_corrupt_files(spark: SparkSession) -> None:
     """Opt in to skipping unreadable files; use with ``audit_files``."""
     spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
@@ -119,13 +128,9 @@ def audit_files(spark: SparkSession, paths: Paths, records: DataFrame) -> DataFr
     """(source_file, n_bytes, n_records, n_bad) of every file under ``paths``.
 
     ``records`` are marked. ``n_records`` counts those with an id; a file that was skipped or
-    gave nothing has 0. Only the listing is read, not the contents.
+    gave nothing has 0.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .load(_paths(paths))
-        .select(F.col("_metadata.file_path").alias("source_file"), F.col("length").alias("n_bytes"))
-    )
+    listed = files_under(spark, paths)
     read = records.groupBy("source_file").agg(
         F.count_if("is_good").alias("n_records"), F.count_if(~F.col("is_good")).alias("n_bad")
     )
@@ -134,12 +139,30 @@ def audit_files(spark: SparkSession, paths: Paths, records: DataFrame) -> DataFr
 
 def path_parts(path: Column | str = "source_file") -> list[Column]:
     """Country, pull date and pull type out of ``…/<country>/<date>/<type>/<file>``; a
-    directory may also be named ``<column>=<value>``."""
+    directory may also be named ``<column>=<value>``. Meant for a row a file, see ``with_path_parts``."""
+    directories = F.split(path, "/")
     names = ("country_short", "pull_date", "pull_type")
-    directory = r"(?:[^/=]+=)?([^/]+)/"
-    pattern = directory * 3 + r"[^/]+$"
-    return [F.regexp_extract(path, pattern, group).alias(name) for group, name in enumerate(names, 1)]
+    # A directory is called by its value, the part after the first "=".
+    found = (F.element_at(directories, at - len(names) - 1) for at in range(len(names)))
+    return [F.regexp_replace(part, "^[^=]+=", "").alias(name) for part, name in zip(found, names, strict=True)]
+
+
+def files_under(spark: SparkSession, paths: Paths) -> DataFrame:
+    """(source_file, n_bytes) of every file; only the listing is read, not the contents."""
+    listed = spark.read.format("binaryFile").load(_paths(paths))
+    return listed.select(F.col("_metadata.file_path").alias("source_file"), F.col("length").alias("n_bytes"))
+
+
+def with_path_parts(records: DataFrame, files: DataFrame) -> DataFrame:
+    """Records with the parts of their file's path, taken once for each of ``files`` (source_file, more).
+
+    The files are a dimension table: measured, broadcast if small, joined by a shuffle beyond.
+    """
+    dimension = files.select("source_file", *path_parts())
+    if fits(files.select("source_file")):
+        dimension = F.broadcast(dimension)
+    return records.join(dimension, "source_file", "left")
 
 
 def file_name(path: Column | str = "source_file") -> Column:
-    return F.regexp_extract(path, r"([^/]+)$", 1)
+    return F.element_at(F.split(path, "/"), -1)

@@ -10,7 +10,7 @@ from cohortgraph.functions.columns import flatten_posts
 from cohortgraph.plans import links
 from cohortgraph.plans.extract import extract_posts
 from cohortgraph.schemas import RAW_POST, USER_COLUMNS
-from cohortgraph.sources import landing, tables
+from cohortgraph.sources import drift, landing, tables
 from tests.conftest import raw_post, raw_user, write_bz2_array
 
 
@@ -28,7 +28,8 @@ def zone(tmp_path):
 
 def test_arrays_are_read_through_globs(spark, zone, bag):
     good, _ = landing.read_posts(spark, zone)
-    found = bag(good.select("id_str", *landing.path_parts()))
+    located = landing.with_path_parts(good, landing.files_under(spark, zone))
+    found = bag(located.select("id_str", "country_short", "pull_date", "pull_type"))
     assert found == [
         ("1", "XA", "01012024", "full"),
         ("2", "XA", "01012024", "full"),
@@ -64,6 +65,59 @@ def test_a_mistyped_field_costs_that_field_alone(spark, tmp_path, multi_line):
     assert bad.collect() == []
 
 
+def test_an_odd_element_costs_itself_alone(spark, tmp_path, bag):
+    """Whatever stands in a sound array, its own text is kept, with fields that no schema has."""
+    odd = '[{"id_str": "1", "lang": "en"}, 5, null, "text", [1], {"lang": "de", "extra": {"b": [1, {"c": 2.50}], "a": null}}, {"id_str": "7", "id_str": "8"}, {"id_str": 9}]'
+    (tmp_path / "odd.json").write_text(odd)
+    (tmp_path / "one.json").write_text(' {"id_str": "10"}')
+    (tmp_path / "none.json").write_text("[]")
+    (tmp_path / "nothing.json").write_text("")
+    good, bad = landing.read_posts(spark, f"{tmp_path}/*.json")
+    assert bag(good.select("id_str")) == [("1",), ("10",), ("8",), ("9",)]
+    texts = {r["bad_text"] for r in bad.collect()}
+    assert texts == {"5", "null", '"text"', "[1]", '{"extra":{"a":null,"b":[1,{"c":2.5}]},"lang":"de"}'}
+
+
+def test_bad_lines_keep_their_own_text(spark, tmp_path, bag):
+    lines = ['{"id_str": "1"}', "", '{"lang":  "de", "extra": 1}', '{"id_str": "2"', "   ", "7"]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    good, bad = landing.read_posts(spark, str(tmp_path), multi_line=False)
+    assert bag(good.select("id_str")) == [("1",)] and bag(bad.select("bad_text")) == sorted((x,) for x in (lines[2], lines[3], "7"))
+    elements = landing.read_elements(spark, str(tmp_path), multi_line=False)
+    assert bag(elements.select("_corrupt_record").where("element IS NULL")) == [(lines[3],)]
+
+
+def test_reading_starts_no_job(spark, zone):
+    """Good and bad records are both lazy, and no file name is collected."""
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    good, bad = landing.read_posts(spark, zone)
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert good.count() == 4 and bad.count() == 1
+
+
+def test_drift_is_counted_by_path_and_type(spark, tmp_path):
+    posts = [raw_post("1"), raw_post("2", lang=3), raw_post("3", extra={"x": 1}, coordinates={"coordinates": [1, 2.5]})]
+    posts += [raw_post("4", user=None, entities={"urls": [{"expanded_url": "u"}, {"expanded_url": 5}]}, place={"id": 7}), 5]
+    write_bz2_array(tmp_path / "a.json.bz2", posts)
+    found = {(r.path, r.type_found): r for r in drift.drift(landing.read_elements(spark, str(tmp_path)), RAW_POST).collect()}
+    n = {key: r.n_records for key, r in found.items()}
+    assert n["$", "OBJECT"] == 4 and n["$", "BIGINT"] == 1 and found["$", "BIGINT"].is_drift
+    assert n["$.lang", "STRING"] == 3 and n["$.lang", "BIGINT"] == 1 and found["$.lang", "BIGINT"].is_drift
+    assert n["$.extra.x", "BIGINT"] == 1 and found["$.extra.x", "BIGINT"].type_expected is None
+    assert n["$.entities.urls[].expanded_url", "VARIANT"] == 1 and n["$.entities.urls", "ARRAY"] == 4
+    assert not found["$.coordinates.coordinates[]", "DECIMAL"].is_drift
+    assert not found["$.user", "VOID"].is_drift and n["$.user", "OBJECT"] == 3
+    assert n["$.retweeted_status", None] == 0 and not found["$.retweeted_status", None].is_drift
+    assert ("$.place.id", "BIGINT") not in found  # kept whole, as text
+
+
+def test_staging_counts_are_those_of_the_table(spark, zone, tmp_path):
+    records, counts = landing.staged(landing.read_landing(spark, zone, RAW_POST), f"{tmp_path}/staging")
+    assert counts == {"n_records": 4, "n_bad": 1, "n_bad_bytes": 17}
+    assert records.where("is_good").count() == 4 and records.where("NOT is_good").count() == 1
+
+
 def test_extract_keeps_one_copy_and_is_idempotent(spark, zone, bag):
     good, _ = landing.read_posts(spark, zone)
     once = extract_posts(good)
@@ -113,9 +167,11 @@ def test_audit_finds_files_that_gave_nothing(spark, tmp_path):
 
 
 def test_inferred_schema_of_a_sample(spark, tmp_path):
-    write_bz2_array(tmp_path / "a.json.bz2", [raw_post("1")])
-    schema = landing.infer_schema(spark, f"{tmp_path}/a.json.bz2")
-    assert schema["user"].dataType["id_str"].dataType == RAW_POST["user"].dataType["id_str"].dataType
+    write_bz2_array(tmp_path / "a.json.bz2", [raw_post("1"), raw_post("2", place={"id": "p"})])
+    fields = drift.inferred(landing.read_elements(spark, str(tmp_path)), depth=1)
+    found = {r["path"]: r["ddl"] for r in fields.select("path", drift.as_ddl("schema").alias("ddl")).collect()}
+    assert found["$.place"] == "struct<id:string>" and found["$.entities"] == "struct<urls:array<void>,user_mentions:array<void>>"
+    assert "id_str:string" in found["$.user"] and found["$"].startswith("struct<created_at:string,")
 
 
 def test_json_is_rolled(spark, tmp_path):
@@ -131,6 +187,17 @@ def test_file_count(spark, tmp_path):
     assert len(list(tmp_path.glob("u/*.parquet"))) == 3
 
 
+def test_files_of_a_size(spark, tmp_path):
+    """Narrow and wide rows, however they lie, come in files of the size asked for."""
+    wide = spark.range(40_000, numPartitions=3).selectExpr("id", "sha2(CAST(id AS string), 256) AS text")
+    for name, df, size in (("narrow", spark.range(300_000, numPartitions=7), 200_000), ("wide", wide, 300_000)):
+        n_files = sinks.write_sized(df, f"{tmp_path}/{name}", file_bytes=size)
+        sizes = [f.stat().st_size for f in tmp_path.glob(f"{name}/*.parquet")]
+        assert len(sizes) == n_files > 3 and all(size / 2 <= s <= 2 * size for s in sizes)
+        assert spark.read.parquet(f"{tmp_path}/{name}").count() == df.count()
+    assert sinks.write_sized(spark.range(0), f"{tmp_path}/none") == 1
+
+
 def test_partitioned_write_replaces_only_its_partitions(spark, tmp_path, rows, bag):
     path = f"{tmp_path}/t"
     schema = "id string, country_short string"

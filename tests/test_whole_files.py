@@ -2,32 +2,16 @@
 
 import glob
 
-from cohortgraph import catalogue, sinks
+from cohortgraph import catalogue
 
 
-def test_arrays_are_bounded_by_blocks_of_ids(spark, tmp_path):
+def test_arrays_are_bounded_by_blocks_of_ids(spark, tmp_path, monkeypatch):
     path, sf = str(tmp_path / "arrays"), "/root/testdata/sf0.001"
-    catalogue._write_arrays(spark, sf, path, 50)
+    monkeypatch.setattr(catalogue, "IDS_PER_ARRAY", 50)
+    catalogue._write_arrays(spark, sf, path)
     counts = []
     for name in glob.glob(f"{path}/*/part-*"):
         with open(name) as file:
             counts.append(file.read().count('"followers_count"'))
-    assert sum(counts) == spark.read.parquet(f"{sf}/customer.parquet").count()
-    assert max(counts) <= 50 and len(counts) > 25
-
-
-def test_whole_files_are_written_by_several_tasks(spark, tmp_path):
-    path = str(tmp_path / "table")
-    spark.range(10_123, numPartitions=7).write.parquet(str(tmp_path / "rows"))
-    dealt = catalogue._in_whole_files(spark.read.parquet(str(tmp_path / "rows")), 1000)
-    sinks.write_table(dealt, path, rows_per_file=1000)
-    sizes = sorted(spark.read.parquet(f).count() for f in glob.glob(f"{path}/part-*"))
-    assert sizes == [123] + [1000] * 10
-
-
-def test_the_table_is_not_gathered_in_one_task(spark, monkeypatch):
-    written = []
-    write = sinks.write_table
-    monkeypatch.setattr(sinks, "write_table", lambda df, *a, **k: (written.append(df), write(df, *a, **k)))
-    catalogue.QUERIES["table_round_trip"](spark, "/root/testdata/sf0.001").collect()
-    assert "coalesce" not in written[0]._jdf.queryExecution().toString().lower()
+    assert sum(counts) == sum(spark.read.parquet(f"{sf}/{t}.parquet").count() for t in ("customer", "supplier"))
+    assert max(counts) <= 100 and len(counts) > 25
