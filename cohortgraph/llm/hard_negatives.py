@@ -168,7 +168,7 @@ def best_in_windows(
 
 
 def _signs(n_anchors: int, block: int) -> int:
-    return min(MAX_SIGNS, max(0, int(log2(max(1, n_anchors / block)))))
+    return min(MAX_SIGNS, max(1, int(log2(max(1, n_anchors / block)))))
 
 
 def trees(anchors: DataFrame, n_anchors: int, block: int = BLOCK) -> tuple[DataFrame, int]:
