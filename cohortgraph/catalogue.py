@@ -11,7 +11,7 @@ from cohortgraph import sinks
 from cohortgraph import standin as given
 from cohortgraph.functions.columns import epoch_seconds, epoch_to_timestamp, flatten_posts, flatten_users
 from cohortgraph.operators.geocode import attach_country
-from cohortgraph.operators.shards import assign_shards, chunk_ids, hash_shards
+from cohortgraph.operators.shards import assign_shards, chunk_ids, cut_shards, hash_shards
 from cohortgraph.operators.survivors import drop_copies
 from cohortgraph.plans import batches, levels, links, metrics, profiles, worklist
 from cohortgraph.plans.extract import extract_posts
@@ -327,6 +327,11 @@ def shard_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return shards.groupBy("country_short", "shard").agg(F.count(F.lit(1)).alias("n_users"))
 
 
+@query("cut_shard_users")
+def cut_shard_users(spark: SparkSession, sf: str) -> DataFrame:
+    return cut_shards(given.country_users(spark, sf), N_SHARDS)
+
+
 @query("chunk_sizes")
 def chunk_sizes(spark: SparkSession, sf: str) -> DataFrame:
     chunks = chunk_ids(assign_shards(given.country_users(spark, sf), N_SHARDS), size=PAGE_SIZE)

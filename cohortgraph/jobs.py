@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortgraph import sinks
-from cohortgraph.operators.shards import assign_shards, chunk_ids
+from cohortgraph.operators.shards import assign_shards, chunk_ids, cut_shards
 from cohortgraph.operators.shards import hash_shards as shard_by_hash
 from cohortgraph.plans import batches, levels, links, metrics, profiles, worklist
 from cohortgraph.plans.extract import extract_posts
@@ -305,7 +305,7 @@ class Jobs:
 
     @staticmethod
     def _sharded(users: DataFrame, shards: int, by_hash: bool, by: tuple[str, ...] = ()) -> DataFrame:
-        return shard_by_hash(users, shards) if by_hash else assign_shards(users, shards, by=by)
+        return shard_by_hash(users, shards) if by_hash else cut_shards(users, shards, by=by)
 
     def select_work(
         self, countries: list[str], pull_type: str, shards: int, hash_shards: bool = False, remaining: bool = False, **options
@@ -323,7 +323,9 @@ class Jobs:
     def lookup_work(self, shards: int, chunk: int = 100, hash_shards: bool = False, **_) -> None:
         """The lookup batch as shards of requests, written anew."""
         users = self._table(self.at.lookup_batch, "user_id")
-        requests = chunk_ids(self._sharded(users, shards, hash_shards), chunk, by=["shard"])
+        # Requests need the order inside a shard, too.
+        sharded = shard_by_hash(users, shards) if hash_shards else assign_shards(users, shards, by=())
+        requests = chunk_ids(sharded, chunk, by=["shard"])
         sinks.write_partitioned(requests, self.at.lookup_work, ["shard"], whole=True)
 
     def pull_coverage(self, **_) -> None:

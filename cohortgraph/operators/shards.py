@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortgraph.session import materialize
+
 # Hex digits of the md5 that name a bucket: 16**3 buckets per group.
 BUCKET_DIGITS = 3
+# Rows of a table of buckets that may be broadcast: about 32 MB.
+MAX_BUCKETS = 1 << 18
 
 
 def shuffle_hash(key: str, seed: int) -> Column:
@@ -51,21 +55,64 @@ def assign_shards(
 ) -> DataFrame:
     """Seeded shuffle of each group (``by=()``: of all rows), cut into ``n_shards`` runs whose sizes differ by at
     most one, the longer ones first. Adds ``shard`` and ``shard_position`` (from 0)."""
-    size, position = F.col("group_size"), F.col("position")
+    shard, shard_position = _cut(F.col("position"), F.col("group_size"), n_shards)
+    return exact_positions(df, key, by, seed).select(*df.columns, shard.alias("shard"), shard_position.alias("shard_position"))
+
+
+def _cut(position: Column, size: Column, n_shards: int) -> tuple[Column, Column]:
+    """Shard of a position, and the place in it."""
     short = F.floor(size / F.lit(n_shards))
     n_long = size % F.lit(n_shards)
     in_long = n_long * (short + 1)
     is_long = position < in_long
     # With fewer rows than shards every row is in a long run, so ``short`` is never divided by.
-    shard = F.when(is_long, F.floor(position / (short + 1))).otherwise(
-        n_long + F.floor((position - in_long) / F.greatest(short, F.lit(1)))
-    )
-    shard_position = F.when(is_long, position % (short + 1)).otherwise(
-        (position - in_long) % F.greatest(short, F.lit(1))
-    )
-    return exact_positions(df, key, by, seed).select(
-        *df.columns, shard.cast("int").alias("shard"), shard_position.cast("long").alias("shard_position")
-    )
+    beyond, width = position - in_long, F.greatest(short, F.lit(1))
+    shard = F.when(is_long, F.floor(position / (short + 1))).otherwise(n_long + F.floor(beyond / width))
+    place = F.when(is_long, position % (short + 1)).otherwise(beyond % width)
+    return shard.cast("int"), place.cast("long")
+
+
+def cut_shards(
+    df: DataFrame,
+    n_shards: int,
+    by: Sequence[str] = ("country_short",),
+    key: str = "user_id",
+    seed: int = 0,
+    max_buckets: int = MAX_BUCKETS,
+) -> DataFrame:
+    """The ``shard`` of ``assign_shards``, without moving the rows; ids are unique in a group.
+
+    A shard is a range of the seeded order, so it is known from its cuts. Rows are counted by bucket
+    of the hash (partial counts, a few thousand for a group); a bucket that lies inside one shard
+    needs no more. Only the buckets that a cut goes through, at most one for each cut, have their
+    rows ordered, to find the first row after the cut. The rows themselves then meet a broadcast
+    table of buckets, whose size is bounded: with many groups the buckets are made wider. Copies
+    of an id stay in one shard.
+    """
+    hashed = df.withColumns({"_hash": shuffle_hash(key, seed), "_group": F.struct(F.lit(0), *by), "_id": F.col(key).cast("string")})
+    counted = hashed.groupBy("_group", F.substring("_hash", 1, BUCKET_DIGITS).alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = materialize(counted, "buckets")
+    digits = BUCKET_DIGITS
+    while (small := counted.limit(max_buckets + 1).count() <= max_buckets) is False and digits > 1:
+        digits -= 1
+        counted = materialize(counted.groupBy("_group", F.substring("_bucket", 1, digits).alias("_bucket")).agg(F.sum("_n").alias("_n")), "buckets")
+    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, digits))
+    group = Window.partitionBy("_group")
+    first = F.sum("_n").over(group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    spans = counted.select("*", first.alias("_first"), F.sum("_n").over(group).alias("_size"))
+    spans = spans.withColumn("_low", _cut(F.col("_first"), F.col("_size"), n_shards)[0])
+    spans = spans.withColumn("_high", _cut(F.col("_first") + F.col("_n") - 1, F.col("_size"), n_shards)[0])
+    known = F.broadcast if small else lambda table: table
+    mixed = spans.where("_low < _high").select("_group", "_bucket", "_first", "_size")
+    inside = hashed.select("_group", "_bucket", "_hash", "_id").join(known(mixed), ["_group", "_bucket"])
+    row = F.row_number().over(Window.partitionBy("_group", "_bucket").orderBy("_hash", "_id"))
+    shard, place = _cut(F.col("_first") + F.col("_row") - 1, F.col("_size"), n_shards)
+    starts = inside.withColumn("_row", row).where((place == 0) & (F.col("_row") > 1))
+    cuts = starts.groupBy("_group", "_bucket").agg(F.array_sort(F.collect_list(F.struct("_hash", "_id"))).alias("_cuts"))
+    table = materialize(spans.select("_group", "_bucket", "_low").join(cuts, ["_group", "_bucket"], "left"), "cuts")
+    passed = F.size(F.filter("_cuts", lambda cut: cut <= F.struct("_hash", "_id")))
+    found = F.col("_low") + F.when(F.col("_cuts").isNull(), 0).otherwise(passed)
+    return hashed.join(known(table), ["_group", "_bucket"]).select(*df.columns, found.cast("int").alias("shard"))
 
 
 def hash_shards(df: DataFrame, n_shards: int, key: str = "user_id", seed: int = 0) -> DataFrame:

@@ -323,6 +323,7 @@ ORACLE_SQL = {
             FROM ({SHARDED.format(source="country_users")}) GROUP BY country_short, shard""",
         "users", "country_users",
     ),
+    "cut_shard_users": sql(SHARDED.format(source="country_users"), "users", "country_users"),
     "chunk_sizes": sql(
         f"""SELECT country_short, shard, CAST(shard_position // 20 AS INTEGER) AS chunk, count(*) AS n_ids,
                    string_agg(user_id, ',' ORDER BY shard_position) AS ids

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from cohortgraph.operators.shards import assign_shards, chunk_ids, hash_shards
+from cohortgraph.operators.shards import assign_shards, chunk_ids, cut_shards, hash_shards
 from cohortgraph.plans import metrics, worklist
 
 BATCH = "user_id string, country_short string, tweet_id string, tweet_timestamp timestamp, is_seed int"
@@ -110,6 +110,23 @@ def test_chunks_hold_every_id_once(spark):
     assert Counter(row["shard"] for row in chunks) == {0: 3, 1: 3, 2: 3, 3: 3}
 
 
+@pytest.mark.parametrize(("n_shards", "max_buckets"), [(1, 10**6), (3, 10**6), (7, 300), (50, 20), (400, 1)])
+def test_cut_shards_are_those_of_the_full_order(rows, n_shards, max_buckets):
+    values = [(f"u{i}", "XA" if i % 3 else "XB") for i in range(700)] + [("v1", None), (None, "XA"), ("w", "XC")]
+    table = rows("user_id string, country_short string", *values)
+    whole = {(r.country_short, r.user_id): r.shard for r in assign_shards(table, n_shards).collect()}
+    cut = cut_shards(table, n_shards, max_buckets=max_buckets)
+    assert cut.columns == ["user_id", "country_short", "shard"]
+    assert {(r.country_short, r.user_id): r.shard for r in cut.collect()} == whole
+    assert cut_shards(table.limit(0), n_shards).collect() == []
+
+
+def test_cut_shards_do_not_move_the_rows(spark):
+    users = spark.range(10_000).select(F.col("id").cast("string").alias("user_id"))
+    plan = cut_shards(users, 7, by=())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 1 and "Exchange hashpartitioning" not in plan
+
+
 def test_hash_shards_can_be_chunked(spark):
     table = hash_shards(spark.range(1000).select(F.col("id").cast("string").alias("user_id")), 5)
     chunks = chunk_ids(table, size=30, by=["shard"]).collect()
