@@ -9,13 +9,13 @@ estimated, by counting bits.
 1. Documents with the same set are one class, named by their smallest id.
 2. In each band bucket every class is paired with a hub, the member that shares the most buckets with
    others: at most one pair for a class and band. Pairs whose estimate is hopeless go; the rest are
-   confirmed on whole sets, and what is linked is joined into components. The next hubs then meet only
-   members of other components. In a group of near copies the hubs are the least edited texts, so few
-   members are left after ``STARS`` rounds.
-3. Links that could still be missing run between components of one bucket. Their members are joined
-   by the rare shingles that two sets so alike must share (a prefix filter, exact), again only
-   across components, estimated and confirmed. Copies and near copies are never expanded into
-   all pairs.
+   confirmed on whole sets, and what is linked is joined into components. In a group of near copies the
+   hub is one of the least edited texts, so that it is linked with most of the others.
+3. Links that could still be missing run between components of one bucket: a member outside the hub's
+   component against members of other components. Only those pairs are formed, if their estimate
+   allows it, and confirmed. Copies and near copies are never expanded into all pairs. What can
+   still grow with the square of a bucket are texts that are nearly as alike as the threshold
+   and not linked.
 
 Band width follows from the threshold: a pair just at it is missed by all bands with
 probability below one in a million.
@@ -30,7 +30,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +45,6 @@ PLACES, BAND_PLACES = 1024, 128
 MISS = 1e-6
 #: Standard deviations that an estimate may lie below the threshold.
 DOUBT = 5
-#: Members of a bucket that all others are compared with, one after the other.
-STARS = 3
 SLICE_BYTES = 1 << 20
 
 
@@ -196,43 +193,6 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     )
 
 
-def _divided_up(factor: int, by: int) -> Column:
-    """``factor * size / by`` rounded up, in whole numbers."""
-    return F.floor((F.lit(factor) * F.col("size") + (by - 1)) / by)
-
-
-def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components among ``sets`` (id, component, set) that can reach the threshold.
-
-    Of two sets that alike, the smaller shares one of its first n - ceil(2t / (1 + t) n) + 1 shingles
-    with the first n - ceil(t n) + 1 of the larger, in any common order. Rare shingles come
-    first, so texts that differ in shingles of their own do not meet; a shingle that only one
-    component has in these places pairs nothing.
-    """
-    shingles = sets.select("id", "component", F.size("set").alias("size"), F.explode("set").alias("s"))
-    often = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("often"))
-    ranked = (
-        shingles.join(often, "s")
-        .groupBy("id", "component", "size")
-        .agg(F.sort_array(F.collect_list(F.struct("often", "s"))).alias("order"))
-    )
-    least = F.col("size") - _divided_up(2 * percent, 100 + percent) + 1
-    most = F.col("size") - _divided_up(percent, 100) + 1
-    place = ranked.select("id", "component", "size", least.alias("least"), F.posexplode(F.slice("order", F.lit(1), most.cast("int"))).alias("at", "x"))
-    place = keep(place.select("id", "component", "size", (F.col("at") < F.col("least")).alias("short"), F.col("x.s").alias("s")), "places")
-    mixed = place.groupBy("s").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("s")
-    place = place.join(mixed, "s")
-    x, y = place.where("short").alias("x"), place.alias("y")
-    found = x.join(
-        y,
-        (F.col("x.s") == F.col("y.s"))
-        & (F.col("x.component") != F.col("y.component"))
-        & (F.struct("x.size", "x.id") < F.struct("y.size", "y.id"))
-        & (100 * F.col("x.size") >= percent * F.col("y.size")),
-    )
-    return found.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-
-
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` (doc_id, text, more) without text, with ``_size`` and ``_component``.
 
@@ -257,55 +217,41 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     return found.withColumn("_component", F.when(alone, F.col("doc_id")).otherwise(F.col("_component"))).drop("_digest")
 
 
-def _likely(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
-    x, y = signs.alias("x"), signs.alias("y")
-    near = pairs.join(x, F.col("a") == F.col("x.id")).join(y, (F.col("b") == F.col("y.id")) & similar_enough(percent))
-    return near.select("a", "b")
-
-
 def _linked(members: DataFrame, signs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(id, component) of all ids with a link, out of their band keys ``members`` (id, key)."""
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = members.join(sizes, "key")
-    fame = shared.groupBy("id").agg(F.sum("n").alias("fame"))
-    held = keep(shared.join(fame, "id").select("key", "id", F.struct("fame", (-F.col("id")).alias("of")).alias("fame")), "members")
-
-    tried, links, joined, hubs = [], [], None, None
-    for _ in range(STARS):
-        left = held if hubs is None else held.join(hubs, "key").where(F.col("fame") < F.col("hub_fame"))
-        hubs = left.groupBy("key").agg(F.max("fame").alias("hub_fame"))
-        hubs = keep(hubs, "hubs")
-        rows = _with_component(held, joined)
-        hub = hubs.select("key", (-F.col("hub_fame").getField("of")).alias("hub"))
-        centre = _with_component(hub.withColumnRenamed("hub", "id"), joined).select("key", F.col("id").alias("hub"), F.col("component").alias("centre"))
-        pairs = rows.join(centre, "key").where("component != centre")
-        pairs = pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-        for before in tried:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
-        tried.append(keep(_likely(pairs, signs, percent), "pairs"))
-        if tried[-1].isEmpty():
-            break
-        links.append(keep(confirmed(tried[-1], texts, shingle, percent), "links"))
-        joined = components(reduce(DataFrame.unionByName, links))
-
-    rows = keep(_with_component(held, joined), "members")
-    mixed = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
-    rest = keep(rows.join(mixed, "key").select("id", "component").distinct(), "mixed")
-    sets = whole_sets(rest.select("id"), texts, shingle).join(rest, "id")
-    pairs = prefix_pairs(keep(sets, "sets"), percent)
-    for before in tried:
-        pairs = pairs.join(before, ["a", "b"], "left_anti")
-    pairs = keep(_likely(pairs, signs, percent), "pairs")
-    if not pairs.isEmpty():
-        links.append(keep(confirmed(pairs, texts, shingle, percent), "links"))
-        joined = components(reduce(DataFrame.unionByName, links))
-    return joined if joined is not None else rows.select("id", "component").limit(0)
-
-
-def _with_component(rows: DataFrame, joined: DataFrame | None) -> DataFrame:
-    if joined is None:
-        return rows.withColumn("component", F.col("id"))
-    return rows.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    fame = shared.groupBy("id").agg(F.struct(F.sum("n").alias("n"), (-F.col("id")).alias("of")).alias("fame"))
+    famous = keep(shared.select("key", "id").join(fame, "id"), "members")
+    hubs = famous.groupBy("key").agg((-F.max("fame").getField("of")).alias("hub"))
+    held = keep(famous.select("key", "id").join(hubs, "key"), "members")
+
+    to_hub = held.where("id != hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    x, y = signs.alias("x"), signs.alias("y")
+    likely = to_hub.join(x, F.col("a") == F.col("x.id")).join(y, (F.col("b") == F.col("y.id")) & similar_enough(percent))
+    tried = keep(likely.select("a", "b"), "pairs")
+    links = keep(confirmed(tried, texts, shingle, percent), "links")
+    joined = components(links)
+
+    rows = held.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = keep(rows, "members")
+    mixed = rows.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.max(F.when(F.col("id") == F.col("hub"), F.col("component"))).alias("main"),
+    ).where("low != high").select("key", "main")
+    rows = keep(rows.drop("hub").join(mixed, "key").join(signs, "id"), "mixed")
+    x, y = rows.where("component != main").alias("x"), rows.alias("y")
+    across = x.join(
+        y,
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
+        & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))) & similar_enough(percent),
+    )
+    rest = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    rest = keep(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
+    if rest.isEmpty():
+        return joined
+    more = keep(confirmed(rest, texts, shingle, percent), "links")
+    return joined if more.isEmpty() else components(links.unionByName(more))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
