@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +38,20 @@ def fold(modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus
 
+
+
+#: Columns that a stage knows by name.
+KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def guarded(stage: Stage) -> Stage:
+    """A stage that returns the columns of its input: whatever the others are called, it sees them under
+    names that none of its own has, and they come back under theirs."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        safe = [c if c in KNOWN else f"extra{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*safe), sf_dir).toDF(*docs.columns)
+
+    return run

@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,7 +36,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortgraph.llm.common import content_key, documents, keep
+from cohortgraph.llm.common import content_key, documents, guarded, keep
+from cohortgraph.llm.hashing import word_hashes
 
 MIN_WORDS = 8
 #: Words to both sides of which a border of a run has the least hash.
@@ -47,6 +47,9 @@ _CUT = re.compile(r"[.!?]+[ \t]+|\n+")
 _UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
 _IS_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_BLANKS = np.array([9, 10, 11, 12, 13, 32], np.uint8)
+#: Unspaced scripts, and white space that is not ASCII's.
+_IS_ODD = re.compile(rf"[{_UNSPACED}\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def units(text: str) -> list[tuple[int, int]]:
@@ -77,50 +80,78 @@ def _least(keys: np.ndarray, reach: int) -> np.ndarray:
     return least
 
 
-def runs(text: str) -> list[tuple[int, int, str]]:
-    """Start, end and words of each run; white space after it belongs to it unless it ends a line."""
+def _bytes(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
+def _gaps(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of each word of ``data``; words end at ASCII white space."""
+    gaps = np.isin(np.frombuffer(b" " + data + b" ", np.uint8), _BLANKS)
+    turns = np.flatnonzero(gaps[1:] != gaps[:-1])
+    return turns[0::2], turns[1::2]
+
+
+def _words(text: str) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray]:
+    """Start and end of each word in code points, the lower-cased words with single blanks between
+    them, and which words are characters of unspaced scripts."""
+    if not _IS_ODD.search(text):
+        data = _bytes(text)
+        starts, ends = _gaps(data)
+        if len(data) != len(text):
+            before = np.concatenate([[0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)])
+            starts, ends = before[starts], before[ends]
+        return starts, ends, b" ".join(_bytes(text.lower()).split()), np.zeros(len(starts), bool)
     places = [m.span() for m in _WORD.finditer(text)]
-    words = [text[a:b].lower() for a, b in places]
-    if len(words) < MIN_WORDS:
+    words = [text[a:b] for a, b in places]
+    unspaced = np.fromiter((_IS_UNSPACED.match(w) is not None for w in words), bool, len(words))
+    at = np.array(places, np.int64).reshape(-1, 2)
+    return at[:, 0], at[:, 1], _bytes(" ".join(words).lower()), unspaced
+
+
+def runs(text: str) -> list[tuple[int, int, bytes]]:
+    """Start, end and words of each run; white space after it belongs to it unless it ends a line."""
+    starts, ends, words, unspaced = _words(text)
+    n = len(starts)
+    if n < MIN_WORDS:
         return []
-    hashes = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+    hashes, at = word_hashes(words)
     keys = hashes * np.uint64(0x9E3779B97F4A7C15)
     keys[:-1] += hashes[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
     keys ^= keys >> np.uint64(31)
     keys *= np.uint64(0xBF58476D1CE4E5B9)
     least = _least(keys, REACH)
-    halves = np.full(len(words), 2)
-    if _IS_UNSPACED.search(text):
-        unspaced = np.fromiter((_IS_UNSPACED.match(w) is not None for w in words), bool, len(words))
-        halves[unspaced] = 1
+    halves = np.where(unspaced, 1, 2)
+    if unspaced.any():
         least &= ~unspaced | _least(keys, 2 * MIN_WORDS - 1)
     least[0] = True
     borders = np.flatnonzero(least)
     long = np.add.reduceat(halves, borders) >= 2 * MIN_WORDS
     found = []
-    for a, b, enough in zip(borders.tolist(), [*borders[1:].tolist(), len(words)], long.tolist(), strict=True):
+    after = np.append(starts, len(text))[np.append(borders[1:], n)]
+    last = ends[np.append(borders[1:], n) - 1]
+    edges = np.append(at, len(words) + 1)[np.append(borders, n)].tolist()
+    rows = zip(starts[borders].tolist(), last.tolist(), after.tolist(), edges[:-1], edges[1:], long.tolist(), strict=True)
+    for start, end, to, a, b, enough in rows:
         if enough:
-            end = places[b - 1][1]
-            after = places[b][0] if b < len(words) else len(text)
-            found.append((places[a][0], end if "\n" in text[end:after] else after, " ".join(words[a:b])))
+            found.append((start, end if "\n" in text[end:to] else to, words[a : b - 1]))
     return found
 
 
-def keyed_units(text: str) -> list[tuple[int, int, int, str]]:
-    """Key, start, end and text of each unit; keys rise with the start."""
-    return [(2 * a, a, b, text[a:b]) for a, b in units(text)]
+def keyed_units(text: str) -> list[tuple[int, int, int, bytes]]:
+    """Key, start, end and words of each unit; keys rise with the start."""
+    return [(2 * a, a, b, _bytes(" ".join(text[a:b].lower().split()))) for a, b in units(text)]
 
 
-def keyed_parts(text: str) -> list[tuple[int, int, int, str]]:
+def keyed_parts(text: str) -> list[tuple[int, int, int, bytes]]:
     """Units and runs."""
     return sorted([*keyed_units(text), *((2 * a + 1, a, b, words) for a, b, words in runs(text))])
 
 
-Find = Callable[[str], list[tuple[int, int, int, str]]]
+Find = Callable[[str], list[tuple[int, int, int, bytes]]]
 
 
-def digest(unit: str) -> bytes:
-    return hashlib.blake2b(" ".join(unit.lower().split()).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+def digest(words: bytes) -> bytes:
+    return hashlib.blake2b(words, digest_size=16).digest()
 
 
 def unit_table(docs: DataFrame, find: Find = keyed_units) -> DataFrame:
@@ -165,7 +196,8 @@ def without_spans(docs: DataFrame, find: Find = keyed_units) -> DataFrame:
                     at = 0
                     of = dict(zip(cuts, kept_in, strict=True))
                     for key, start, end, _ in find(text):
-                        if key in of and end > at:
+                        # What is left of a part may be blank: then it stays.
+                        if key in of and end > at and not text[max(start, at) : end].isspace():
                             gone.append((max(start, at), end))
                             stays_in.append(of[key])
                             at = end
@@ -188,12 +220,14 @@ def dedup_units(docs: DataFrame, find: Find = keyed_units) -> DataFrame:
     the ids of the documents that hold their earliest copies, in the same order.
     """
     table = keep(unit_table(docs, find), "units")
+    # Keys are twice the offset, and one more for a run.
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "start")
     firsts = table.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).where("n > 1")
     again = table.join(firsts.select("digest", "first"), "digest").where(
         ~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
         | (F.col("_row") != F.col("first._row"))
-        | (F.col("start") != F.col("first.start"))
+        # A unit and a run that begin at one place are one passage.
+        | (F.shiftright("start", 1) != F.shiftright("first.start", 1))
     )
     cuts = (
         again.groupBy("doc_id", "_row")
@@ -205,6 +239,7 @@ def dedup_units(docs: DataFrame, find: Find = keyed_units) -> DataFrame:
     return without_spans(marked.withColumn("_kept_in", F.coalesce("_kept_in", F.array().cast("array<bigint>"))), find).drop("_cuts")
 
 
+@guarded
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with what an earlier one holds cut out; ``n_chars`` counts what is left."""
     found = dedup_units(docs.withColumn("_row", content_key()), keyed_parts).withColumn("n_chars", F.length("text").cast("long"))

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortgraph.llm.common import documents, keep
+from cohortgraph.llm.common import documents, guarded, keep
 from cohortgraph.llm.components import components
 from cohortgraph.llm.hashing import hashed_texts, mix, slices, texts_of
 
@@ -254,6 +254,7 @@ def _linked(members: DataFrame, signs: DataFrame, texts: DataFrame, shingle: int
     return joined if more.isEmpty() else components(links.unionByName(more))
 
 
+@guarded
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component and all texts without words, all columns unchanged.
 

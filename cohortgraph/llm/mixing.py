@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortgraph.llm.common import GAP_CLASS, WORD, content_key, documents, keep, let
+from cohortgraph.llm.common import GAP_CLASS, WORD, content_key, documents, guarded, keep, let
 
 WEIGHTS = (3, 1, 2)
 #: All targets together in halves of all sizes, and the most of a source in times its size.
@@ -189,6 +189,7 @@ def mixed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@guarded
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed(spark, docs)
 

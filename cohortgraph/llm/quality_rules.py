@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortgraph.llm.common import documents, keep, let, words
+from cohortgraph.llm.common import documents, guarded, keep, let, words
 
 #: Ratio: numerator, denominator, floor and ceiling of its limit in thousandths.
 RATIOS = {
@@ -198,6 +198,7 @@ def quality_filter(docs: DataFrame) -> DataFrame:
     return judged(measured(docs), limits).where("_kept").select(*docs.columns)
 
 
+@guarded
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_filter(docs)
 

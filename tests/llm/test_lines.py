@@ -1,18 +1,19 @@
 """Repeated lines and passages against a plain loop."""
 
+import importlib
 import random
 from collections import Counter
 
 import pytest
 
 from cohortgraph.llm.common import content_key
-from cohortgraph.llm.lines import dedup_units, digest, stage, units
+from cohortgraph.llm.lines import dedup_units, digest, runs, stage, units
 
 
 def plain(docs):
     seen, kept = {}, {}
     for doc_id, text in sorted(docs):
-        spans = [(a, b, digest(text[a:b])) for a, b in units(text or "")]
+        spans = [(a, b, digest(" ".join(text[a:b].lower().split()).encode())) for a, b in units(text or "")]
         cuts = [(a, b, seen[d]) for a, b, d in spans if d in seen or seen.setdefault(d, doc_id) is None]
         kept[doc_id] = cuts
     return kept
@@ -108,3 +109,30 @@ def test_scripts_without_spaces(spark):
     rows = {r.doc_id: r.text for r in stage(spark, df, "").collect()}
     assert rows[0] == docs[0][1]
     assert all(100 <= len(rows[i]) < 200 and rows[i].startswith(docs[i][1][:50]) and rows[i].endswith(docs[i][1][-50:]) for i in range(1, 10))
+
+
+CLASHING = {"_row": 7, "_size": 8, "_key": 9, "_measures": "m", "_cuts": 1.5, "_component": "c", "digest": 2, "key": 3, "extra3": "e", "of Ünï.x": 4}
+
+
+@pytest.mark.parametrize("module", ["quality_rules", "minhash", "lines", "mixing"])
+def test_stages_hand_back_columns_that_clash_with_their_own(spark, module):
+    function = importlib.import_module(f"cohortgraph.llm.{module}").stage
+    draw = random.Random(4)
+    words = [f"word{i}" for i in range(400)]
+    rows = [(i, " ".join(draw.choices(words, k=80)), "en", "s", 1, *CLASHING.values()) for i in range(6)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *CLASHING])
+    found = function(spark, docs, "")
+    assert found.columns == docs.columns and [f.dataType for f in found.schema] == [f.dataType for f in docs.schema]
+    out = [r.asDict() for r in found.collect()]
+    assert out and all({c: r[c] for c in CLASHING} == CLASHING for r in out)
+
+
+def test_words_are_found_alike_whatever_else_the_text_holds():
+    """A passage falls into the same runs beside a character that takes the slow way."""
+    draw = random.Random(5)
+    passage = " ".join("".join(draw.choices("abcäöéßİ", k=draw.randint(1, 9))) for _ in range(300))
+    alone = runs(passage)
+    odd = runs("\u00a0\u4e00 " + passage)
+    assert len(alone) > 10 and {w for *_, w in alone[1:]} <= {w for *_, w in odd}
+    for start, end, words in alone:
+        assert " ".join(passage[start:end].lower().split()).encode() == words
