@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         "classes",
     )
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    signs = classes.select("id", "_size", *PLANES)
+    signs = classes.select("id", "_size", "_bands", *PLANES)
     joined = _linked(classes.select("id", F.explode("_bands").alias("key")), signs, texts, shingle, percent)
 
     of_class = classes.select("_digest", "id").join(joined, "id", "left")
@@ -244,7 +244,9 @@ def _linked(members: DataFrame, signs: DataFrame, texts: DataFrame, shingle: int
     across = x.join(
         y,
         (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
-        & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))) & similar_enough(percent),
+        & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))) & similar_enough(percent)
+        # A pair comes out of the first of the buckets that it shares.
+        & (F.col("x.key") == F.array_min(F.array_intersect("x._bands", "y._bands"))),
     )
     rest = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     rest = keep(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
