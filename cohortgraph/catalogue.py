@@ -13,7 +13,7 @@ from cohortgraph.functions.columns import epoch_seconds, epoch_to_timestamp, fla
 from cohortgraph.operators.geocode import attach_country
 from cohortgraph.operators.shards import assign_shards, chunk_ids, cut_shards, hash_shards
 from cohortgraph.operators.survivors import drop_copies
-from cohortgraph.plans import batches, levels, links, metrics, profiles, worklist
+from cohortgraph.plans import batches, levels, links, metrics, profiles, state, worklist
 from cohortgraph.plans.extract import extract_posts
 from cohortgraph.plans.snowball import interaction_edges, snowball
 from cohortgraph.schemas import RAW_POST, RAW_USER
@@ -356,6 +356,41 @@ def newer_than_mark(spark: SparkSession, sf: str) -> DataFrame:
     return worklist.newer_than_mark(posts, profiles.latest_posts(stored).select("user_id", "tweet_id"))
 
 
+# State kept between pulls: the posts before FRESH_FROM are one pull, those from then on another.
+
+
+def _two_pulls(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    posts = given.profiled_posts(spark, sf)
+    fresh = F.col("tweet_timestamp") >= FRESH_FROM
+    return {"stored": posts.where(~fresh), "fresh": posts.where(fresh)}
+
+
+@query("kept_newest")
+def kept_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest posts and counts of two pulls that were added one after the other."""
+    kept = state.newest_posts(spark, scratch_path(spark, "newest"))
+    for pull, posts in _two_pulls(spark, sf).items():
+        state.add_posts(kept, pull, posts)
+    return state.latest_posts(kept)
+
+
+@query("kept_candidates")
+def kept_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """The snowball of two pulls, out of the counts of each."""
+    kept = state.candidates(spark, scratch_path(spark, "candidates"))
+    for pull, posts in _two_pulls(spark, sf).items():
+        kept.add(pull, snowball(posts, given.locations(spark, sf)))
+    return state.merged_candidates(kept)
+
+
+@query("kept_newer")
+def kept_newer(spark: SparkSession, sf: str) -> DataFrame:
+    posts = given.posts(spark, sf).select("tweet_id", "user_id", "tweet_timestamp")
+    kept = state.newest_posts(spark, scratch_path(spark, "newest"))
+    state.add_posts(kept, "stored", posts.where(F.col("tweet_timestamp") < MARKS_BEFORE))
+    return state.newer_than_kept(posts, kept)
+
+
 # Metrics.
 
 

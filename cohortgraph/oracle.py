@@ -468,3 +468,10 @@ ORACLE_SQL = {
     ),
     "ids_round_trip": sql("SELECT user_id FROM seeds", "seeds"),
 }
+
+# The same results by another way.
+ORACLE_SQL |= {
+    "kept_newest": ORACLE_SQL["latest_per_user"],
+    "kept_candidates": ORACLE_SQL["snowball"],
+    "kept_newer": ORACLE_SQL["newer_than_mark"],
+}

@@ -63,6 +63,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """An empty folder, if nothing lies there yet."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Rows written to the shared folder as Parquet, for a result that several branches read:
     lineage ends here, a lost executor costs a re-read, and readers prune columns."""
