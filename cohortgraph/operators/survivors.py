@@ -18,7 +18,10 @@ def keep_greatest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     Spark plans the first row number as a group limit, before and after the shuffle.
     """
     ranked = Window.partitionBy(*keys).orderBy(*[column.desc_nulls_last() for column in order])
-    return df.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") == 1).drop("_rank")
+    rank = "_rank"
+    while rank in df.columns:
+        rank += "_"
+    return df.withColumn(rank, F.row_number().over(ranked)).where(F.col(rank) == 1).drop(rank)
 
 
 def drop_copies(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from cohortgraph.operators.survivors import keep_greatest
 from cohortgraph.operators.shards import assign_shards, chunk_ids, cut_shards, hash_shards
 from cohortgraph.plans import metrics, worklist
 
@@ -226,3 +227,8 @@ def test_pull_manifest(rows, bag):
     table = rows("file_name string", *[(name,) for name in NAMES], *[(name,) for name in list(NAMES)[:1]])
     found = bag(metrics.pull_manifest(table))
     assert len(found) == 8 and ("QA", "15071999", "update", 2, 62, 124, 1860) in found
+
+
+def test_a_column_called_rank_stays(rows, bag):
+    table = rows("user_id string, _rank int, at int", ("1", 7, 1), ("1", 8, 2), ("2", 9, 1))
+    assert bag(keep_greatest(table, ["user_id"], [F.col("at")])) == [("1", 8, 2), ("2", 9, 1)]
