@@ -3,10 +3,13 @@
 Markup is stripped to lines, one for each block element. A line weighs the characters of its
 text outside links. The weights are summed over sliding windows of ``WINDOW`` lines: where a
 sum rises over the surge level the text starts, where it falls to nothing it ends, and all
-lines between are kept, those of weight 0 too. The level is ``SURGE``, or a share of the
-page's own largest sum if that is lower, so that short texts are found too. If the page marks
-its article, each line inside weighs ``BONUS`` more: a third of the surge level, so that the
-tag helps and the sums decide, inside and outside of it.
+lines between are kept, those of weight 0 too, but for what is loose at the two ends. That is,
+outside of an article: lines of copyright or that count comments, and short lines without a
+sentence's end, if they stand in a list of several items before the text, or in containers that
+hold no line as long as the level. The level is ``SURGE``, or a share of the page's own largest
+sum if that is lower, so that short texts are found too. If the page marks its article, each
+line inside weighs ``BONUS`` more: a third of the surge level, so that the tag helps and the
+sums decide, inside and outside of it.
 
 Elements that are never main text (scripts, menus, forms, and boxes named as adverts, notices
 or comments) are left out. The outermost articles, and what lies on both sides of a box, are
@@ -14,8 +17,13 @@ set off by a gap, so that windows don't reach across; parts of one container or
 a box between them, are not.
 
 Defined results: null, empty and tag-less pages give their text without markup (empty if
-none); markup that is never closed ends with the page; repeated rows are treated alike; an
-empty table gives an empty table. Extra columns are passed through.
+none); comments and elements without text that are never closed end with the page. Quotes
+count after an equals sign only. If the page ends inside a tag, then from that tag on quotes
+mean nothing, and a ``<`` without a ``>`` before the next ``<`` is text. Only an ``<a>`` with
+``href`` is a link; it ends with the element that holds it, at the next ``<a>``, and if that
+comes before any ``</a>``, at the next block. Every page is read in time linear in its
+length. Repeated rows are treated alike; an empty table gives an empty table. Extra columns
+are passed through.
 """
 
 from __future__ import annotations
@@ -38,7 +46,7 @@ SHARE = 0.25
 BONUS = SURGE // WINDOW
 
 #: HTML's elements whose content is not text, its block elements and containers.
-_RAW = "script style noscript template svg math iframe object canvas audio video textarea select option title"
+_RAW = "script style noscript template svg math iframe object canvas audio video textarea select datalist title".split()
 _NEVER = set("nav aside footer form menu dialog button fieldset head".split())
 _BLOCKS = set(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -60,11 +68,15 @@ _BESIDE = set(
 #: First parts of names of boxes that end in a word of ``_BESIDE``; only a site's header is a box.
 _SITE = set("bottom desktop global main mobile primary secondary site top".split())
 _PLACES = _SITE | set("article entry google left page post right social story user".split())
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({'|'.join(_RAW.split())})\b[^>]*(?:/>|>(?:.*?</\1\s*>|.*\Z))"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>",
-    re.S | re.I,
-)
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+#: Lines that are no text at either end of it, and how a sentence ends.
+_NOTICE = re.compile(r"(?:©|\(c\)|copyright\b|all rights reserved)|\d+ (?:comments?|replies|reply|responses?)$", re.I)
+_SENTENCE = re.compile(r"[.!?:;…。！？][\"'”’»)\]]*$")
+_TAG = re.compile(r"""<(?:(/?)([a-z][a-z0-9:-]*+)((?:[^=>]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+)|[!?][^>]*+)>""", re.I)
+_PLAIN_TAG = re.compile(r"<(?:(/?)([a-z][a-z0-9:-]*+)([^<>]*+)|[!?][^<>]*+)>", re.I)
+_OPENS = re.compile(r"<(?:/?[a-z]|[!?])", re.I)
+_RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^<>]*+>", re.I) for name in _RAW}
+_HREF = re.compile(r"(?<![\w-])href\s*=", re.I)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 
 
@@ -89,8 +101,30 @@ def _titled(attributes: str) -> bool:
     return any(re.match(r"(?:article|content|entry|page|post|story)[-_]+(?:header|head|title|heading)\b", name) for name in _words(attributes))
 
 
+def tokens(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, whether it closes, attributes) of each piece of markup; comments and elements without text have no name."""
+    pattern = _TAG
+    at = page.find("<")
+    while at >= 0:
+        end = at + 1
+        if page.startswith("<!--", at):
+            close = page.find("-->", at + 4)
+            end = len(page) if close < 0 else close + 3
+            yield at, end, "", False, ""
+        elif found := pattern.match(page, at):
+            end = found.end()
+            name, closes, attributes = (found[2] or "").lower(), found[1] == "/", found[3] or ""
+            if name in _RAW_ENDS and not closes and not attributes.endswith("/"):
+                close = _RAW_ENDS[name].search(page, end)
+                name, end = "", close.end() if close else len(page)
+            yield at, end, name, closes, attributes
+        elif pattern is _TAG and _OPENS.match(page, at):
+            pattern, end = _PLAIN_TAG, at
+        at = page.find("<", end)
+
+
 class Lines:
-    """The lines of a page: text, its characters in links, and the article, container and box that hold it.
+    """The lines of a page: text, its characters in links, the article, container and box that hold it, heading or list item.
 
     ``open`` are the open elements, each with its name, article and container; end tags that
     HTML lets a page leave out are added. ``held`` are the open boxes: number, place in ``open``
@@ -98,24 +132,37 @@ class Lines:
     """
 
     def __init__(self, page: str):
-        self.found: list[tuple[str, int, int, int, int]] = []
+        self.found: list[tuple[str, int, int, int, int, str]] = []
         self.text: list[str] = []
+        #: ``link``: how many elements are open around the open link.
         self.linked = self.link = self.made = 0
+        self.loose = False
         self.open: list[tuple[str, int, int]] = [("", 0, 0)]
         self.names: Counter[str] = Counter()
         #: Box: its parent box, and whether it may turn out to hold the main text.
         self.boxes: list[tuple[int, bool]] = []
         self.held: list[tuple[int, int, str]] = []
         self.holders: Counter[str] = Counter()
+        found = list(tokens(page))
+        links = [i for i, token in enumerate(found) if token[2] == "a"]
+        self.unclosed = {i for n, i in enumerate(links, 1) if n == len(links) or not found[links[n]][3]}
         at = 0
-        for token in _TOKEN.finditer(page):
-            self.add(page[at : token.start()])
-            at = token.end()
-            if token[3]:
-                self.tag(token[3].lower(), token[2] == "/", token[4])
+        for i, (start, end, name, closes, attributes) in enumerate(found):
+            self.add(page[at:start])
+            at = end
+            if name == "a":
+                self.anchor(not closes and bool(_HREF.search(attributes)), i in self.unclosed)
+            if name:
+                self.tag(name, closes, attributes)
         self.add(page[at:])
         self.end_line()
 
+    def anchor(self, opens: bool, unclosed: bool) -> None:
+        self.link, self.loose = (len(self.open), unclosed) if opens else (0, False)
+
+    def kind(self) -> str:
+        return "h" if any(self.names[h] for h in _HEADINGS) else "li" if self.names["li"] else ""
+
     def box(self) -> int:
         return self.held[-1][0] if self.held else -1
 
@@ -129,7 +176,7 @@ class Lines:
     def end_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.found.append((text, self.linked, *self.open[-1][1:], self.box()))
+            self.found.append((text, self.linked, *self.open[-1][1:], self.box(), self.kind()))
         self.text, self.linked = [], 0
 
     def pop(self, until: int) -> None:
@@ -140,6 +187,8 @@ class Lines:
         for name, _, _ in self.open[until:]:
             self.names[name] -= 1
         del self.open[until:]
+        if self.link > until:
+            self.link = 0
 
     def close(self, names: frozenset[str] | set[str], stops: frozenset[str] | set[str]) -> None:
         """Closes the innermost open element of ``names``, and what is open inside it."""
@@ -155,8 +204,8 @@ class Lines:
         block = name in _BLOCKS
         if block:
             self.end_line()
-        if name == "a":
-            self.link = 0 if closes else 1
+            if self.loose:
+                self.anchor(False, False)
         if closes:
             inline = not block and name not in _NEVER
             self.close({name}, _BLOCKS if inline else set() if name in _TABLE or name in ("body", "html") else {"table", "td", "th"})
@@ -193,11 +242,11 @@ class Lines:
             self.holders.clear()
 
 
-def _rescued(lines: list[tuple[str, int, int, int, int]], boxes: list[tuple[int, bool]]) -> list[bool]:
+def _rescued(lines: list[tuple[str, int, int, int, int, str]], boxes: list[tuple[int, bool]]) -> list[bool]:
     """For each box whether its lines stay: it holds most of the page's text, and no article beside it has any to speak of."""
     weights, marked = [0] * len(boxes), [0] * len(boxes)
     total = articles = 0
-    for text, linked, article, _, box in lines:
+    for text, linked, article, _, box, _ in lines:
         weight = max(0, len(text) - linked)
         total += weight
         articles += weight if article else 0
@@ -215,22 +264,45 @@ def _rescued(lines: list[tuple[str, int, int, int, int]], boxes: list[tuple[int,
     return stays
 
 
+def _trimmed(run: list[tuple[str, int, int, int, str]], before: str, level: float) -> list[str]:
+    """Texts of a run of (text, weight, article, container, kind) without what is loose at its ends; ``before`` is the kind of the line before."""
+    homes = {home for _, weight, _, home, _ in run if weight >= level}
+
+    listed = "li" in (before, *(line[4] for line in run[1:2]))
+
+    def loose(line: tuple[str, int, int, int, str], leads: bool) -> bool:
+        text, weight, article, home, kind = line
+        if article or weight >= level:
+            return False
+        if _NOTICE.match(text):
+            return True
+        apart = home not in homes and not (leads and kind == "h") or leads and listed and kind == "li"
+        return apart and not _SENTENCE.search(text)
+
+    start, end = 0, len(run)
+    if homes:
+        while loose(run[start], True):
+            start += 1
+        while loose(run[end - 1], False):
+            end -= 1
+    return [line[0] for line in run[start:end]]
+
+
 def main_text(page: str) -> str:
     read = Lines(page)
     stays = _rescued(read.found, read.boxes)
-    lines: list[str] = []
-    weights: list[int] = []
+    gap = ("", 0, 0, 0, "")
+    lines: list[tuple[str, int, int, int, str]] = []
     last, boxed = None, False
-    for text, linked, article, home, box in read.found:
+    for text, linked, article, home, box, kind in read.found:
         if box >= 0 and not stays[box]:
             boxed = True
             continue
         if last and (article != last[0] or boxed and not article and home != last[1]):
-            lines.extend([""] * WINDOW)
-            weights.extend([0] * WINDOW)
-        lines.append(text)
-        weights.append(max(0, len(text) - linked) + (BONUS if article else 0))
+            lines.extend([gap] * WINDOW)
+        lines.append((text, max(0, len(text) - linked) + (BONUS if article else 0), article, home, kind))
         last, boxed = (article, home), False
+    weights = [line[1] for line in lines]
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     level = min(SURGE, SHARE * max(sums, default=0))
     kept: list[str] = []
@@ -240,7 +312,7 @@ def main_text(page: str) -> str:
             end = i
             while end < len(lines) and sums[end] > 0:
                 end += 1
-            kept.extend(line for line in lines[i:end] if line)
+            kept.extend(_trimmed([line for line in lines[i:end] if line[0]], lines[i - 1][4] if i else "", level))
             i = end
         else:
             i += 1

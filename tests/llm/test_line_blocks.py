@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -87,3 +88,56 @@ NAMES = {
 def test_box_names_and_missing_end_tags(name):
     page, expected = NAMES[name]
     assert main_text(page) == expected
+
+
+LINKS = {
+    "anchor without href": (f"<body><a name=top><p>{LONG}</p><p>{LONG}</p>", f"{LONG}\n{LONG}"),
+    "unclosed link": (f"<div><p><a href=x>Go<p>{LONG}</p><p>{LONG}</p></div>", f"{LONG}\n{LONG}"),
+    "link ends with its holder": (f"<div><li><a href=x>Go</li><p>{LONG}</p></div><a name=y></a>", LONG),
+    "address in another attribute": (f"<p><a data-href=x>{LONG}</a></p>", LONG),
+}
+
+
+@pytest.mark.parametrize("name", LINKS)
+def test_links(name):
+    page, expected = LINKS[name]
+    assert main_text(page) == expected
+
+
+EDGES = {
+    "plain menu and copyright": (f"<body><div>About</div><div>Contact</div><div><h1>Head</h1><p>{LONG}</p><p>Yes</p></div>"
+                                 "<div>Copyright 2020 Foo Inc.</div><div>All rights reserved</div></body>", f"Head\n{LONG}\nYes"),
+    "list before the text": (f"<body><ul><li>About<li>Contact</ul><h1>Head</h1><p>{LONG}</p><ul><li>one</ul>", f"Head\n{LONG}\none"),
+    "counted comments": (f"<div><p>{LONG}</p><p>3 replies</p><div class=comments>{LONG}</div></div>", LONG),
+    "paragraphs in boxes of their own": (f"<div><p>{LONG}</p></div><div><p>Yes.</p></div>", f"{LONG}\nYes."),
+    "inside the article nothing is loose": (f"<article><div>About</div><div><p>{LONG}</p></div><div>Copyright</div></article>", f"About\n{LONG}\nCopyright"),
+}
+
+
+@pytest.mark.parametrize("name", EDGES)
+def test_loose_edges(name):
+    page, expected = EDGES[name]
+    assert main_text(page) == expected
+
+
+BROKEN = {
+    "ends inside a tag": (f"<article><p>{LONG}</p><p>if a <b then c", f"{LONG}\nif a <b then c"),
+    "apostrophe in a value": (f"<p title=don't>{LONG} isn't</p><p>{LONG}</p>", f"{LONG} isn't\n{LONG}"),
+    "open quote": (f'<p title="x>{LONG}</p>', LONG),
+    "quoted end": (f'<p title="a > b">{LONG}</p>', LONG),
+    "list of options": (f"<datalist><option value=a><option value=b></datalist><p>{LONG}</p>", LONG),
+    "option alone": (f"<option value=a><p>{LONG}</p>", LONG),
+}
+
+
+@pytest.mark.parametrize("name", BROKEN)
+def test_broken_markup(name):
+    page, expected = BROKEN[name]
+    assert main_text(page) == expected
+
+
+@pytest.mark.parametrize("piece", ["<div ", "<b ", "<a name=x", '<b "', "<b =\"", "<b '=\"", "<b \"=\"", "<script ", "</script ", "<script>", "<!", "<!--", "<?", "<", "</", "<p a=", "= <x"])
+def test_a_megabyte_of_broken_markup_is_read_in_linear_time(piece):
+    start = time.perf_counter()
+    main_text(f"<article><p>{LONG}</p>" + piece * (2**20 // len(piece)))
+    assert time.perf_counter() - start < 5
