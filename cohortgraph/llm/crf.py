@@ -9,6 +9,9 @@ Prediction runs forward and backward over all words of every text; a text's lang
 largest mean posterior, which is its score. Lexicons are words that the sample shows often
 and almost only in one language.
 
+Words are letters of any script with their marks; digits and numerals in other forms (½, Ⅷ) are
+no letters. Words are read whole, however long.
+
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every
 text if there is nothing to learn from; null languages are not learned from; repeated rows
 are predicted alike; an empty table gives an empty table. Extra columns are not read.
@@ -16,13 +19,13 @@ are predicted alike; an empty table gives an empty table. Extra columns are not
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,19 +40,25 @@ EPOCHS, BATCH, RATE, DECAY = 4, 32, 0.2, 1e-4
 MEMO = 300_000
 LANES, LANE_WORDS = 256, 300_000
 
-_WORD = re.compile(r"[^\W\d_]+")
+#: A word starts with a letter; marks, such as vowel signs, belong to it.
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 UNKNOWN = "und"
 
 
-def features(word: str, lexicon: dict[str, str]) -> list[str]:
-    marked = f"^{word[:40]}$"
+def features(word: str, lexicon: dict[str, str]) -> Iterator[str]:
+    """Features of the whole word, one at a time, however long it is."""
+    marked = f"^{word}$"
     n = len(marked)
-    found = [marked[i : i + k] for k in (2, 3) for i in range(n - k + 1)]
-    found += [marked[:k] for k in (4, 5) if n > k] + [marked[-k:] for k in (4, 5) if n > k]
-    found.append("=" + word[:40])
+    for k in (2, 3):
+        for i in range(n - k + 1):
+            yield marked[i : i + k]
+    for k in (4, 5):
+        if n > k:
+            yield marked[:k]
+            yield marked[-k:]
+    yield "=" + word
     if word in lexicon:
-        found.append("in " + lexicon[word])
-    return found
+        yield "in " + lexicon[word]
 
 
 @dataclass

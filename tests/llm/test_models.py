@@ -132,6 +132,15 @@ def test_code_switches_are_seen():
     assert post[:, 0].argmax(axis=1).tolist() == [0] * 10 + [1] * 10
 
 
+def test_letters_and_long_words():
+    assert crf._WORD.findall("½ ² ¾ Ⅷ 12 _ हिन्दी d'eau") == ["हिन्दी", "d", "eau"]
+    model = crf.train([("x", "abc bca cab " * 20), ("y", "mno nom omn " * 20)] * 10)
+    long = "1" + "mno" * 100 + "abc" * 100_000
+    langs, sure = crf.predict(model, crf.Scores(model), ["½ ² ¾ Ⅷ", long, "", None, "nom"])
+    assert langs == ["und", "x", "und", "und", "y"]
+    assert sure[0] == sure[2] == sure[3] == 0 and 0.5 < sure[1] <= 1
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b", None), (2, None, None)], "doc_id long, text string, lang string")
     found = crf.identified(docs, crf.train(crf.sampled(docs))).collect()
