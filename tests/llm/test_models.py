@@ -134,7 +134,9 @@ def test_code_switches_are_seen():
 
 def test_letters_and_long_words():
     assert crf._WORD.findall("½ ² ¾ Ⅷ 12 _ हिन्दी d'eau") == ["हिन्दी", "d", "eau"]
-    model = crf.train([("x", "abc bca cab " * 20), ("y", "mno nom omn " * 20)] * 10)
+    import itertools
+
+    model = crf.train([(k, " ".join(map("".join, itertools.product(of, repeat=4)))) for k, of in (("x", "abc"), ("y", "mno")) for _ in range(20)])
     long = "1" + "mno" * 100 + "abc" * 100_000
     langs, sure = crf.predict(model, crf.Scores(model), ["½ ² ¾ Ⅷ", long, "", None, "nom"])
     assert langs == ["und", "x", "und", "und", "y"]
