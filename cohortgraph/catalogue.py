@@ -410,6 +410,15 @@ def pull_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.pull_coverage(_batch(spark, sf), _fresh_posts(spark, sf))
 
 
+@query("coverage_by_pull")
+def coverage_by_pull(spark: SparkSession, sf: str) -> DataFrame:
+    """Each day's fresh posts are a pull of the country and type that the batch has for their author."""
+    work = _batch(spark, sf).select("user_id", "country_short", worklist.pull_type_of().alias("pull_type"))
+    day = F.date_format(F.timestamp_seconds("tweet_timestamp"), "ddMMyyyy").alias("pull_date")
+    pulled = _fresh_posts(spark, sf).select("tweet_id", "user_id", day).join(work.distinct(), "user_id")
+    return metrics.coverage_by_pull(_batch(spark, sf), pulled, page=2)
+
+
 @query("lookup_coverage")
 def lookup_coverage(spark: SparkSession, sf: str) -> DataFrame:
     targets = _snowball(spark, sf).select("user_id").unionByName(given.seeds(spark, sf))

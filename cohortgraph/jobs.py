@@ -101,6 +101,10 @@ class Layout:
     def coverage(self) -> str:
         return self.path("metrics", "pull_coverage")
 
+    @property
+    def coverage_by_pull(self) -> str:
+        return self.path("metrics", "coverage_by_pull")
+
     @property
     def lookup_coverage(self) -> str:
         return self.path("metrics", "lookup_coverage")
@@ -333,6 +337,13 @@ class Jobs:
         posts = self._table(self.at.posts, "tweet_id", "user_id")
         sinks.write_table(metrics.pull_coverage(self._table(self.at.batch), posts), self.at.coverage)
 
+    def coverage_by_pull(self, page: int = 200, **_) -> None:
+        """The same for each pull, by the records that the last ``extract`` staged and the folders of their files."""
+        staged = self._table(self.at.staging("posts"), "source_file", "is_good", "id_str", "user").where("is_good")
+        posts = staged.select("source_file", F.col("id_str").alias("tweet_id"), F.col("user.id_str").alias("user_id"))
+        pulled = landing.with_path_parts(posts, landing.files_under(self.spark, self.at.raw_posts()))
+        sinks.write_table(metrics.coverage_by_pull(self._table(self.at.batch), pulled, page), self.at.coverage_by_pull)
+
     def lookup_coverage(self, **_) -> None:
         asked, got = self._table(self.at.lookup_batch, "user_id"), self._table(self.at.lookups, "user_id")
         sinks.write_table(metrics.lookup_coverage(asked, got), self.at.lookup_coverage)

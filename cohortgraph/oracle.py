@@ -364,6 +364,22 @@ ORACLE_SQL = {
            GROUP BY country_short, pull_type""",
         *BATCH, "fresh",
     ),
+    "coverage_by_pull": sql(
+        """SELECT country_short, pull_date, pull_type, any_value(asked) AS n_users_asked, count(*) AS n_users_got,
+                  any_value(asked) - count(*) AS n_users_missed,
+                  CAST(sum((n + 1) // 2) AS BIGINT) AS n_requests, CAST(sum(n) AS BIGINT) AS n_tweets
+           FROM (SELECT country_short, pull_type, asked, user_id,
+                        strftime(make_timestamp(CAST(f.tweet_timestamp AS BIGINT) * 1000000), '%d%m%Y') AS pull_date, count(*) AS n
+                 FROM fresh f JOIN (
+                     SELECT *, count(*) OVER (PARTITION BY country_short, pull_type) AS asked
+                     FROM (SELECT DISTINCT user_id, country_short,
+                                  CASE WHEN tweet_timestamp IS NOT NULL AND tweet_id IS NOT NULL THEN 'update' ELSE 'full' END AS pull_type
+                           FROM batch)) USING (user_id)
+                 GROUP BY ALL)
+           WHERE country_short IS NOT NULL
+           GROUP BY country_short, pull_date, pull_type""",
+        *BATCH, "fresh",
+    ),
     "lookup_coverage": sql(
         """SELECT count(*) AS n_users_asked, count(s_suppkey) AS n_users_got,
                   count(*) - count(s_suppkey) AS n_users_missed

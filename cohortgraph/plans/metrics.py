@@ -80,6 +80,30 @@ def pull_coverage(batch: DataFrame, posts: DataFrame) -> DataFrame:
     )
 
 
+def coverage_by_pull(batch: DataFrame, pulled: DataFrame, page: int = 200) -> DataFrame:
+    """Per country, pull date and pull type: users asked for, got and missed, requests and posts got.
+
+    ``pulled`` are posts (tweet_id, user_id) with the country, date and type of their pull. Asked for
+    are the users of the batch of that country and type; posts of others in a pull are not counted, and a
+    pull that nobody was asked for in has zeros. Posts are counted per author of a pull before any join.
+    """
+    work = ("country_short", "pull_type")
+    asked = batch.select("user_id", "country_short", pull_type_of().alias("pull_type")).distinct()
+    authors = pulled.groupBy(*work, "pull_date", "user_id").agg(F.count("tweet_id").alias("n_tweets"))
+    got = authors.join(asked.withColumn("is_asked", F.lit(True)), [*work, "user_id"], "left")
+    n_requests = F.greatest(F.lit(1), ceil_div(F.col("n_tweets"), page))
+    pulls = got.groupBy(*work, "pull_date").agg(
+        F.count_if("is_asked").alias("n_users_got"),
+        F.coalesce(F.sum(F.when(F.col("is_asked"), n_requests)), F.lit(0)).cast("long").alias("n_requests"),
+        F.coalesce(F.sum(F.when(F.col("is_asked"), F.col("n_tweets"))), F.lit(0)).alias("n_tweets"),
+    )
+    n_asked = F.coalesce("n_users_asked", F.lit(0))
+    return pulls.join(asked.groupBy(*work).agg(F.count(F.lit(1)).alias("n_users_asked")), [*work], "left").select(
+        "country_short", "pull_date", "pull_type", n_asked.alias("n_users_asked"), "n_users_got",
+        (n_asked - F.col("n_users_got")).alias("n_users_missed"), "n_requests", "n_tweets",
+    )
+
+
 def lookup_coverage(asked: DataFrame, got: DataFrame) -> DataFrame:
     """One row: distinct users asked for, got and missed, of lookups or friend lists.
 

@@ -93,6 +93,10 @@ def test_sampling_loop(spark, root, bag):
     assert table("friends_ids/XA/work", "user_id") == [("b",), ("c",)]
     run("pull_coverage")
     assert ("XA", "update", 3, 3, 0, 4) in table("metrics/pull_coverage")
+    run("coverage_by_pull")
+    by_pull = spark.read.parquet(f"{root}/metrics/coverage_by_pull").collect()
+    assert all(r.n_users_asked == r.n_users_got + r.n_users_missed and r.n_requests >= r.n_users_got for r in by_pull)
+    assert {r.country_short for r in by_pull} <= {"XA", "XB"} and {r.pull_type for r in by_pull} <= {"full", "update"}
     run("lookup_coverage")
     assert table("metrics/lookup_coverage") == [(3, 0, 3)]
     run("request_estimate", "--page", "1")

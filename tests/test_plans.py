@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cohortgraph.functions.columns import epoch_seconds, numeric_id
 from cohortgraph.operators.geocode import attach_country
 from cohortgraph.operators.idsets import union_minus
-from cohortgraph.plans import batches, levels, links, profiles
+from cohortgraph.plans import batches, levels, links, metrics, profiles
 from cohortgraph.plans.snowball import interaction_edges, snowball
 from cohortgraph.schemas import PROFILE_COLUMNS, RAW_USER_STRUCT, USER_COLUMNS, user_column
 from cohortgraph.sources.landing import read_users
@@ -235,3 +235,22 @@ def test_post_urls(rows, places, bag):
     ]
     doubled = table.unionByName(table)
     assert links.post_urls(doubled, places, ["XA"], unique_posts=False).count() == 2
+
+
+def test_coverage_by_pull(spark):
+    batch = spark.createDataFrame(
+        [("a", "XA", "1", True), ("b", "XA", "2", True), ("c", "XA", None, False), ("a", "XB", "1", True), ("a", "XA", "1", True)],
+        "user_id string, country_short string, tweet_id string, known boolean",
+    ).selectExpr("user_id", "country_short", "tweet_id", "IF(known, timestamp '2022-01-01', NULL) AS tweet_timestamp")
+    pulled = spark.createDataFrame(
+        [*[(str(i), "a", "XA", "01022022", "update") for i in range(5)], ("9", "b", "XA", "02022022", "update"),
+         ("10", "z", "XA", "02022022", "update"), ("11", "c", "XA", "02022022", "full"), ("12", "z", "XC", "02022022", "full")],
+        "tweet_id string, user_id string, country_short string, pull_date string, pull_type string",
+    )
+    assert sorted(map(tuple, metrics.coverage_by_pull(batch, pulled, page=2).collect())) == [
+        ("XA", "01022022", "update", 2, 1, 1, 3, 5),
+        ("XA", "02022022", "full", 1, 1, 0, 1, 1),
+        ("XA", "02022022", "update", 2, 1, 1, 1, 1),
+        ("XC", "02022022", "full", 0, 0, 0, 0, 0),
+    ]
+    assert metrics.coverage_by_pull(batch, pulled.limit(0)).count() == 0
