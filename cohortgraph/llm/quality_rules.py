@@ -1,13 +1,16 @@
 """Quality rules with thresholds that adapt to each language and source.
 
-Every text is measured once, by SQL functions. The measures of all documents go into
+Texts are measured by SQL functions. The measures of all documents go into
 quantile sketches, one for each (lang, source, measure): histograms whose buckets are exact
 below 128 thousandths and keep seven leading bits above it, so that a quantile is off by
 less than 1/64 of itself. Sketches merge by adding counts: (lang, source) sketches add up to
-those of the language, and these to the global one, which stand in for groups of too few
-documents. The limit of a measure is the upper fence q75 + 3 * (q75 - q25) of its group,
-held between a floor, under which nothing is an outlier, and a ceiling, over which
-everything is, whatever its neighbours look like.
+those of the language, and these to the global one.
+
+The limit of a measure follows its group's sketch: a high quantile h, plus five times its distance
+from the median. The quantile is chosen for the share of junk that a measure may hold. Groups borrow
+from wider ones: a fence of n documents is weighed n against 200 of the next wider group's limit, and may
+not exceed twice that limit, so a source of junk cannot set its own standard. Last, a limit is held
+between a noise guard, the share that a single chance repeat or symbol gives, and a ceiling.
 
 Defined results: a null text has no words and fails the base rule; a null lang or source is
 a group of its own; repeated rows are judged one by one, alike; an empty table gives an
@@ -23,18 +26,20 @@ from pyspark.sql.window import Window
 
 from cohortgraph.llm.common import documents, guarded, keep, let, words
 
-#: Ratio: numerator, denominator, floor and ceiling of its limit in thousandths.
+#: Ratio: numerator, denominator, percent of the high quantile, noise guard and ceiling of the limit in thousandths.
 RATIOS = {
-    "symbols": ("n_symbols", "n_words", 100, 1000),
-    "dup_lines": ("n_dup_lines", "n_lines", 400, 900),
-    "repeats": ("n_repeat_words", "n_words", 300, 500),
-    "capitals": ("n_capitals", "word_chars", 300, 800),
+    "symbols": ("n_symbols", "n_words", 90, 50, 1000),
+    "dup_lines": ("n_dup_lines", "n_lines", 95, 340, 900),
+    "repeats": ("n_repeat_words", "n_words", 95, 100, 500),
+    "capitals": ("n_capitals", "word_chars", 95, 30, 800),
 }
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Groups of fewer sound documents use their language's sketch, or the global one.
-MIN_GROUP = 200
-FENCE = 3
+#: Documents that a wider group's limit counts as.
+PRIOR = 200
+FENCE = 5
+#: A group's fence exceeds the wider group's limit at most so many times.
+EXCESS = 2
 NO_VALUE = "\x00null"
 
 
@@ -106,7 +111,7 @@ def base_failed() -> Column:
 
 def ratio(name: str) -> Column:
     """Thousandths, rounded down."""
-    over, under, _, _ = RATIOS[name]
+    over, under = RATIOS[name][:2]
     m = F.col("_measures")
     return F.floor(1000 * m[over] / F.greatest(m[under], F.lit(1)))
 
@@ -133,9 +138,10 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def fences(sketch: DataFrame, *by: str) -> DataFrame:
-    """Size and limit of each measure for the groups ``by``, from merged sketches."""
+    """Size and fence of each measure for the groups ``by``, from merged sketches."""
     merged = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
     whole = Window.partitionBy(*by, "measure")
+    percent = of_measure(2)
     seen = merged.select(
         *by,
         "measure",
@@ -143,33 +149,42 @@ def fences(sketch: DataFrame, *by: str) -> DataFrame:
         F.sum("n").over(whole.orderBy("bucket")).alias("upto"),
         F.sum("n").over(whole).alias("size"),
     )
-    at = [F.min(F.when(100 * F.col("upto") >= q * F.col("size"), F.col("bucket"))) for q in (25, 75)]
-    ends = seen.groupBy(*by, "measure").agg(F.max("size").alias("size"), at[0].alias("q25"), at[1].alias("q75"))
-    limit = F.col("q75") + FENCE * (F.col("q75") - F.col("q25"))
-    for name, (_, _, floor, ceiling) in RATIOS.items():
-        held = F.least(F.greatest(limit, F.lit(floor)), F.lit(ceiling))
-        limit_of = held if name == next(iter(RATIOS)) else F.when(F.col("measure") == name, held).otherwise(limit_of)
-    return ends.select(*by, "measure", "size", limit_of.alias("limit"))
+    at = [F.min(F.when(100 * F.col("upto") >= q * F.col("size"), F.col("bucket"))) for q in (F.lit(50), percent)]
+    ends = seen.groupBy(*by, "measure").agg(F.max("size").alias("size"), at[0].alias("mid"), at[1].alias("high"))
+    return ends.select(*by, "measure", "size", (F.col("high") + FENCE * (F.col("high") - F.col("mid"))).alias("fence"))
+
+
+def of_measure(part: int) -> Column:
+    """That part of the row's measure in RATIOS."""
+    return F.element_at(F.create_map(*(F.lit(x) for name, r in RATIOS.items() for x in (name, r[part]))), F.col("measure"))
+
+
+def held(limit: Column) -> Column:
+    return F.least(F.greatest(limit, of_measure(3)), of_measure(4))
+
+
+def borrowed(fence: Column, size: Column, wider: Column) -> Column:
+    """A group's limit: its fence, at most EXCESS times the wider limit, weighed against that limit."""
+    own = F.least(fence, EXCESS * wider)
+    return held(F.floor((size * own + PRIOR * wider) / (size + PRIOR)))
 
 
 def thresholds(docs: DataFrame) -> DataFrame:
-    """One row for each (lang_key, source_key) with an array of limits, one for each of RATIOS.
+    """One row for each (lang_key, source_key) with a limit for each of RATIOS.
 
     A group without sound documents has no row; its documents have failed already.
     """
     sketch = keep(sketches(docs), "sketches")
     own, by_lang, whole = fences(sketch, "lang_key", "source_key"), fences(sketch, "lang_key"), fences(sketch)
-    for part, name in ((by_lang, "lang"), (whole, "all")):
-        by = [c for c in part.columns if c.endswith("_key")]
-        part = part.withColumnsRenamed({"size": f"{name}_size", "limit": f"{name}_limit"})
-        own = own.join(part, [*by, "measure"])
-    chosen = (
-        F.when(F.col("size") >= MIN_GROUP, F.col("limit"))
-        .when(F.col("lang_size") >= MIN_GROUP, F.col("lang_limit"))
-        .otherwise(F.col("all_limit"))
+    whole = whole.select("measure", held(F.col("fence")).alias("all_limit"))
+    by_lang = by_lang.join(whole, "measure").select(
+        "lang_key", "measure", borrowed(F.col("fence"), F.col("size"), F.col("all_limit")).alias("lang_limit")
+    )
+    chosen = own.join(by_lang, ["lang_key", "measure"]).select(
+        "lang_key", "source_key", "measure", borrowed(F.col("fence"), F.col("size"), F.col("lang_limit")).alias("limit")
     )
-    limits = [F.max(F.when(F.col("measure") == name, chosen)).alias(f"limit_{name}") for name in RATIOS]
-    return own.groupBy("lang_key", "source_key").agg(*limits)
+    limits = [F.max(F.when(F.col("measure") == name, F.col("limit"))).alias(f"limit_{name}") for name in RATIOS]
+    return chosen.groupBy("lang_key", "source_key").agg(*limits)
 
 
 def judged(docs: DataFrame, limits: DataFrame) -> DataFrame:
@@ -192,10 +207,11 @@ def quality_filter(docs: DataFrame) -> DataFrame:
     """The documents that pass, all columns unchanged.
 
     The measures are kept for the sketches and taken again with the texts: that costs less
-    disk than a copy of all texts beside their measures.
+    disk than a copy of all texts beside their measures. The verdict is tested as a whole, after
+    the join: a part of it pushed below the join would measure each text again.
     """
     limits = thresholds(keep(measured(docs).select("_measures", "lang", "source"), "measured"))
-    return judged(measured(docs), limits).where("_kept").select(*docs.columns)
+    return judged(measured(docs), limits).where(F.coalesce("_kept", F.lit(False))).select(*docs.columns)
 
 
 @guarded
@@ -214,16 +230,24 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _limits_sql(by: str) -> str:
+def _case_sql(part: int) -> str:
+    return "CASE measure " + " ".join(f"WHEN '{name}' THEN {r[part]}" for name, r in RATIOS.items()) + " END"
+
+
+def _held_sql(limit: str) -> str:
+    return f"least(greatest({limit}, {_case_sql(3)}), {_case_sql(4)})"
+
+
+def _borrowed_sql(wider: str) -> str:
+    return _held_sql(f"(size * least(fence, {EXCESS} * {wider}) + {PRIOR} * {wider}) // (size + {PRIOR})")
+
+
+def _fences_sql(by: str) -> str:
     keys = f"{by}, " if by else ""
-    cases = "\n".join(
-        f"      WHEN '{name}' THEN least(greatest(q75 + {FENCE} * (q75 - q25), {floor}), {ceiling})"
-        for name, (_, _, floor, ceiling) in RATIOS.items()
-    )
     return f"""(
-    SELECT {keys}measure, size, CASE measure\n{cases} END AS lim FROM (
-      SELECT {keys}measure, max(size) AS size, min(bucket) FILTER (100 * upto >= 25 * size) AS q25,
-             min(bucket) FILTER (100 * upto >= 75 * size) AS q75
+    SELECT {keys}measure, size, high + {FENCE} * (high - mid) AS fence FROM (
+      SELECT {keys}measure, max(size) AS size, min(bucket) FILTER (100 * upto >= 50 * size) AS mid,
+             min(bucket) FILTER (100 * upto >= {_case_sql(2)} * size) AS high
       FROM (SELECT {keys}measure, bucket, sum(n) OVER (PARTITION BY {keys}measure ORDER BY bucket) AS upto,
                    sum(n) OVER (PARTITION BY {keys}measure) AS size
             FROM (SELECT {keys}measure, bucket, sum(n) AS n FROM sketch GROUP BY ALL))
@@ -234,7 +258,7 @@ def _sql() -> str:
     ratios = "\n    UNION ALL ".join(
         f"SELECT doc_id, lang_key, source_key, bad, '{name}' AS measure, "
         f"CAST(floor(1000 * {over} / greatest({under}, 1)) AS BIGINT) AS v FROM m"
-        for name, (over, under, _, _) in RATIOS.items()
+        for name, (over, under, *_) in RATIOS.items()
     )
     return rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '{NO_VALUE[1:]}?') AS lang_key,
@@ -262,13 +286,14 @@ ratios AS ({ratios}),
 sketch AS (SELECT lang_key, source_key, measure,
              (v >> greatest(length(bin(v)) - 7, 0)) << greatest(length(bin(v)) - 7, 0) AS bucket, count(*) AS n
            FROM ratios WHERE NOT bad GROUP BY ALL),
-own AS {_limits_sql("lang_key, source_key")},
-by_lang AS {_limits_sql("lang_key")},
-whole AS {_limits_sql("")},
-limits AS (SELECT own.lang_key, own.source_key, own.measure,
-             CASE WHEN own.size >= {MIN_GROUP} THEN own.lim WHEN by_lang.size >= {MIN_GROUP} THEN by_lang.lim
-                  ELSE whole.lim END AS lim
-           FROM own JOIN by_lang USING (lang_key, measure) JOIN whole USING (measure)),
+own AS {_fences_sql("lang_key, source_key")},
+by_lang AS {_fences_sql("lang_key")},
+whole AS {_fences_sql("")},
+all_limits AS (SELECT measure, {_held_sql("fence")} AS all_limit FROM whole),
+lang_limits AS (SELECT lang_key, measure, {_borrowed_sql("all_limit")} AS lang_limit
+                FROM by_lang JOIN all_limits USING (measure)),
+limits AS (SELECT lang_key, source_key, measure, {_borrowed_sql("lang_limit")} AS lim
+           FROM own JOIN lang_limits USING (lang_key, measure)),
 over AS (SELECT DISTINCT doc_id FROM ratios JOIN limits USING (lang_key, source_key, measure) WHERE v > lim)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, bad AS base_failed,
        NOT bad AND doc_id NOT IN (FROM over) AS kept

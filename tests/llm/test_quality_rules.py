@@ -2,7 +2,12 @@
 
 import random
 
-from cohortgraph.llm.quality_rules import stage
+from pyspark.sql import functions as F
+
+from cohortgraph.llm.common import documents
+from cohortgraph.llm.quality_rules import judged, measured, quality_filter, stage, thresholds
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_junk_goes_and_clean_documents_stay(spark):
@@ -19,3 +24,44 @@ def test_junk_goes_and_clean_documents_stay(spark):
 def test_stage_on_odd_documents(spark, odd_documents):
     assert stage(spark, odd_documents, "").collect() == []
     assert stage(spark, odd_documents.limit(0), "").collect() == []
+
+
+def shouting(spark, groups):
+    """Documents of 60 words of five letters; for each (lang, source, n, share), n with that share of capital words."""
+    words = ["GREEN" if i % 10 < share else "green" for share in range(11) for i in range(60)]
+    rows = []
+    for lang, source, n, share in groups:
+        own = words[60 * share : 60 * share + 60]
+        rows += [(len(rows) + i, " ".join(f"{w}{chr(97 + k // 26)}{chr(97 + k % 26)}" for k, w in enumerate(own)), lang, source, 0) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def kept_by_group(spark, groups):
+    docs = shouting(spark, groups)
+    limits = thresholds(measured(docs))
+    found = judged(measured(docs), limits).groupBy("lang", "source").agg(F.avg(F.col("_kept").cast("int")).alias("kept"))
+    return {(r.lang, r.source): r.kept for r in found.collect()}, {(r.lang_key, r.source_key): r.limit_capitals for r in limits.collect()}
+
+
+def test_a_sketch_changes_a_verdict(spark):
+    """The same text passes where its language writes so, and fails where it doesn't."""
+    plain = [("en", s, 900, 0) for s in "abc"]
+    kept, limits = kept_by_group(spark, [*plain, ("en", "d", 20, 1), ("de", "a", 900, 1), ("de", "b", 900, 0)])
+    assert kept[("de", "a")] == 1 and kept[("en", "d")] == 0
+    assert limits[("de", "a")] > limits[("en", "d")] >= 30
+
+
+def test_a_source_of_junk_sets_no_standard_of_its_own(spark):
+    kept, limits = kept_by_group(spark, [("en", "a", 1500, 0), ("en", "b", 1500, 0), ("en", "junk", 120, 7)])
+    assert kept == {("en", "a"): 1, ("en", "b"): 1, ("en", "junk"): 0}
+    assert limits[("en", "junk")] <= 2 * limits[("en", "a")]
+
+
+def test_small_groups_borrow(spark):
+    _, limits = kept_by_group(spark, [("en", "a", 600, 0), ("en", "b", 3, 1), ("fr", "a", 2, 1)])
+    assert limits[("en", "b")] <= limits[("en", "a")] * 1.02 and limits[("fr", "a")] <= limits[("en", "a")] * 1.02
+
+
+def test_each_text_is_measured_once_a_pass(spark):
+    plan = quality_filter(documents(spark, SF_DIR))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64") == 1
