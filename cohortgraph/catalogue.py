@@ -248,6 +248,14 @@ def network_batch(spark: SparkSession, sf: str) -> DataFrame:
     return batches.network_batch(_users_profiles(spark, sf), stored, LEVEL_COUNTRY)
 
 
+@query("network_batches")
+def network_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists of some users are stored for the last two countries, none for the first."""
+    stored = tables.friend_map_users(given.friend_maps(spark, sf, "click"))
+    lists = stored.select("user_id", F.explode(F.array(*map(F.lit, WORK_COUNTRIES[1:]))).alias("country_short"))
+    return batches.network_batches(_users_profiles(spark, sf), lists, WORK_COUNTRIES)
+
+
 # Levels.
 
 
@@ -282,6 +290,13 @@ def friend_edges(spark: SparkSession, sf: str) -> DataFrame:
     return links.friend_edges(tables.explode_friend_map(given.friend_maps(spark, sf)))
 
 
+@query("follow_edges")
+def follow_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Viewed users as friends, users clicked on as followers."""
+    friends, followers = (tables.explode_friend_map(given.friend_maps(spark, sf, kind)) for kind in ("view", "click"))
+    return links.follow_edges(friends, followers)
+
+
 @query("friend_map_users")
 def friend_map_users(spark: SparkSession, sf: str) -> DataFrame:
     return tables.friend_map_users(given.friend_maps(spark, sf))

@@ -25,10 +25,12 @@ from cohortgraph.plans import batches, levels, links, metrics, profiles, worklis
 from cohortgraph.plans.extract import extract_posts
 from cohortgraph.plans.snowball import snowball
 from cohortgraph.schemas import RAW_POST, RAW_USER, USER_COLUMNS
-from cohortgraph.session import build_session, materialize
+from cohortgraph.session import build_session, materialize, scratch_path
 from cohortgraph.sources import landing, tables
 
 
+#: Whose ids a list holds: of those a user follows, or of those who follow the user.
+RELATIONS = ("friends", "followers")
 #: What a pull tells of a post when only its author is wanted.
 PULLED = T.StructType([f for f in RAW_POST.fields if f.name == "id_str"]).add("user", T.StructType().add("id_str", "string"))
 
@@ -48,11 +50,8 @@ class Layout:
     def raw_users(self) -> str:
         return self.path("lookup_users", "API", "*")
 
-    def raw_friends(self, country: str) -> str:
-        return self.path("friends_ids", country, "API", "*", "*.json")
-
-    def raw_followers(self, country: str) -> str:
-        return self.path("followers_ids", country, "API", "*", "*.json")
+    def raw_lists(self, country: str, relation: str = "friends") -> str:
+        return self.path(f"{relation}_ids", country, "API", "*", "*.json")
 
     def staging(self, name: str) -> str:
         return self.path("staging", name)
@@ -157,15 +156,19 @@ class Layout:
     def stats(self, country: str) -> str:
         return self.path("preprocessing", "stats", country)
 
-    def friends_batch(self, country: str) -> str:
-        return self.path("friends_ids", country, "batch.csv")
+    def lists_batch(self, country: str, relation: str = "friends") -> str:
+        return self.path(f"{relation}_ids", country, "batch.csv")
 
-    def friends_work(self, country: str) -> str:
-        return self.path("friends_ids", country, "work")
+    def lists_work(self, country: str, relation: str = "friends") -> str:
+        return self.path(f"{relation}_ids", country, "work")
 
     def friends(self, country: str) -> str:
         return self.path("friends_ids", country, "edges")
 
+    @property
+    def follows(self) -> str:
+        return self.path("preprocessed", "follows")
+
 
 class Jobs:
     """One method per job; ``options`` are the command-line options."""
@@ -189,9 +192,15 @@ class Jobs:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def _stored_friend_users(self, country: str) -> DataFrame:
-        path = self.at.raw_friends(country)
-        return self._or_empty(lambda: tables.friend_map_users(tables.read_friend_maps(self.spark, path), "friends"), "user_id string")
+    def _stored_lists(self, countries: list[str], relation: str) -> DataFrame:
+        """A row with a map for each stored file of the countries."""
+
+        def of(country: str) -> DataFrame:
+            path, schema = self.at.raw_lists(country, relation), "friends map<string,array<string>>"
+            maps = self._or_empty(lambda: tables.read_friend_maps(self.spark, path), schema)
+            return maps.select(F.lit(country).alias("country_short"), "friends")
+
+        return reduce(DataFrame.unionByName, map(of, dict.fromkeys(countries)))
 
     def _files(self, path: str) -> DataFrame:
         name = landing.file_name("path").alias("file_name")
@@ -264,22 +273,37 @@ class Jobs:
         pulled = landing.good_records(records).select(F.col("user.id_str").alias("user_id"))
         sinks.write_table(batches.remaining_batch(self._table(self.at.batch), pulled), self.at.remaining)
 
-    def network_batch(self, countries: list[str], **_) -> None:
-        """A country without any stored friend list gets all its users."""
+    def network_batch(self, countries: list[str], relation: str = "friends", **_) -> None:
+        """Users whose friend (or follower) list is to be pulled, for all ``countries`` in one pass.
+        A country without any stored list gets all its users."""
+        stored = self._stored_lists(countries, relation)
+        known = stored.select("country_short", F.explode(F.map_keys("friends")).alias("user_id"))
+        path = scratch_path(self.spark, "network")
+        users = self._table(self.at.profiles, "user_id", "country_short")
+        sinks.write_partitioned(batches.network_batches(users, known, countries), path, ["country_short"])
+        wanted = self.spark.read.schema("user_id string, country_short string").parquet(path)
         for country in countries:
-            stored = self._stored_friend_users(country)
-            users = self._table(self.at.profiles, "user_id", "country_short")
-            sinks.write_ids_csv(batches.network_batch(users, stored, country), self.at.friends_batch(country))
+            sinks.write_ids_csv(wanted.where(F.col("country_short") == country), self.at.lists_batch(country, relation))
 
-    def network_work(self, countries: list[str], shards: int, hash_shards: bool = False, **_) -> None:
-        """The friend batches as shards."""
+    def network_work(self, countries: list[str], shards: int, hash_shards: bool = False, relation: str = "friends", **_) -> None:
+        """The friend (or follower) batches as shards."""
         for country in countries:
-            users = tables.read_ids_csv(self.spark, self.at.friends_batch(country))
-            sinks.write_partitioned(self._sharded(users, shards, hash_shards), self.at.friends_work(country), ["shard"], whole=True)
+            users = tables.read_ids_csv(self.spark, self.at.lists_batch(country, relation))
+            work = self._sharded(users, shards, hash_shards)
+            sinks.write_partitioned(work, self.at.lists_work(country, relation), ["shard"], whole=True)
+
+    def follow_edges(self, countries: list[str], **_) -> None:
+        """Who follows whom, by all stored friend and follower lists of ``countries``; replaces their partitions."""
+        lists = [
+            self._stored_lists(countries, relation).select("country_short", F.explode("friends").alias("user_id", "friend_ids"))
+            for relation in RELATIONS
+        ]
+        edges = links.follow_edges(*lists, "country_short")
+        sinks.write_partitioned(edges, self.at.follows, ["country_short"])
 
     def friend_edges(self, countries: list[str], **_) -> None:
         for country in countries:
-            stored = tables.read_friend_lists(self.spark, self.at.raw_friends(country))
+            stored = tables.read_friend_lists(self.spark, self.at.raw_lists(country))
             sinks.write_table(links.friend_edges(stored, distinct=True), self.at.friends(country))
 
     def level_stats(self, countries: list[str], depth: int = 4, **_) -> None:
@@ -365,14 +389,14 @@ class Jobs:
 
     def pull_manifest(self, **_) -> None:
         """Totals of the stored pull files, from their names alone."""
-        found = [self._files(path) for path in (self.at.raw_posts(), self.at.raw_users(), self.at.raw_friends("*"), self.at.raw_followers("*"))]
+        found = [self._files(path) for path in (self.at.raw_posts(), self.at.raw_users(), *(self.at.raw_lists("*", r) for r in RELATIONS))]
         files = reduce(DataFrame.unionByName, found)
         sinks.write_table(metrics.pull_manifest(files), self.at.manifest)
 
 
 JOBS = [name for name in vars(Jobs) if not name.startswith("_")]
 NEED_COUNTRIES = {
-    "remaining_batch", "network_batch", "network_work", "friend_edges", "level_stats", "post_urls", "select_work"
+    "remaining_batch", "network_batch", "network_work", "friend_edges", "follow_edges", "level_stats", "post_urls", "select_work"
 }
 
 
@@ -397,6 +421,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--files", type=int)
     parser.add_argument("--page", type=int, default=200)
     parser.add_argument("--hash-shards", action="store_true", help="shards by hash, equal on average, without a shuffle")
+    parser.add_argument("--relation", choices=RELATIONS, default="friends", help="lists that the network jobs are about")
     parser.add_argument("--remaining", action="store_true", help="select from the remaining batch")
     parser.add_argument("--shuffle-width", help="shuffle partitions that adaptive execution starts from")
     options = vars(parser.parse_args(arguments))

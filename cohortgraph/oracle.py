@@ -273,6 +273,12 @@ ORACLE_SQL = {
            EXCEPT SELECT user_id FROM friend_lists""",
         *LOOKUPS, "posts", "friend_lists",
     ),
+    "network_batches": sql(
+        f"""SELECT DISTINCT country_short, user_id FROM lookups l
+            WHERE {WANTED} AND (country_short = 'AFRICA' OR user_id NOT IN
+                (SELECT CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'click'))""",
+        *LOOKUPS,
+    ),
     "level_members": walk("SELECT country_short, user_id, level FROM members"),
     "level_stats": walk(
         """SELECT country_short, count(*) FILTER (level = 0) AS n_seeds,
@@ -293,6 +299,14 @@ ORACLE_SQL = {
         "SELECT tweet_id, unnest(urls) AS url, country_short FROM links WHERE country_short IN ('EN', 'ES')", "links"
     ),
     "friend_edges": sql("SELECT user_id, friend_id FROM friend_lists", "posts", "friend_lists"),
+    "follow_edges": sql(
+        """SELECT user_id AS follower_id, json_extract_string(props, '$.k') AS followed_id
+           FROM (SELECT CAST(user_id AS VARCHAR) AS user_id, props FROM events WHERE event_type = 'view')
+           WHERE followed_id IS NOT NULL
+           UNION
+           SELECT json_extract_string(props, '$.k'), CAST(user_id AS VARCHAR) FROM events
+           WHERE event_type = 'click' AND json_extract_string(props, '$.k') IS NOT NULL"""
+    ),
     "friend_map_users": sql("SELECT DISTINCT user_id FROM friend_lists", "posts", "friend_lists"),
     "select_work_full": sql(
         f"""{NUMBERED.format(sharded=SHARDED.format(source=f'''

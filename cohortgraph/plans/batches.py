@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,15 @@ def network_batch(profiles: DataFrame, friend_lists: DataFrame, country: str) ->
     return union_minus([profiles.where(F.col("country_short") == country)], [friend_lists])
 
 
+def network_batches(profiles: DataFrame, lists: DataFrame, countries: Sequence[str]) -> DataFrame:
+    """(country, user) of several countries at once: users whose list is not stored for that country.
+
+    ``lists`` holds (country_short, user_id). Profiles are read once, whatever the number of countries.
+    """
+    users = profiles.where(F.col("country_short").isin(list(countries)))
+    return union_minus([users], [lists], "country_short", "user_id")
+
+
 def timeline_batch(profiles: DataFrame, lookups: DataFrame, seeds: DataFrame) -> DataFrame:
     """Users to pull: (user, country, last post, ``is_seed``), one row per user.
 

@@ -42,3 +42,15 @@ def friend_edges(friend_lists: DataFrame, distinct: bool = False) -> DataFrame:
     """
     edges = friend_lists.select("user_id", F.explode("friend_ids").alias("friend_id"))
     return edges.distinct() if distinct else edges
+
+
+def follow_edges(friend_lists: DataFrame, follower_lists: DataFrame, *by: str) -> DataFrame:
+    """Distinct (follower_id, followed_id) of friend and follower lists, inside the columns ``by``.
+
+    A user follows their friends and is followed by their followers. A pair that both lists
+    tell of is one edge; the copies are combined map-side, and the pair is the shuffle key, so
+    neither a long list nor a celebrity forms a hot partition.
+    """
+    friends = friend_lists.select(*by, F.col("user_id").alias("follower_id"), F.explode("friend_ids").alias("followed_id"))
+    followers = follower_lists.select(*by, F.explode("friend_ids").alias("follower_id"), F.col("user_id").alias("followed_id"))
+    return friends.unionByName(followers).distinct()

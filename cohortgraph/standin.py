@@ -189,11 +189,11 @@ def place_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "region").selectExpr("r_name", f"{COUNTRY_CODE} AS code")
 
 
-def friend_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One map user → users viewed per author. ``k`` has a hundred values, which bounds a list."""
+def friend_maps(spark: SparkSession, sf_dir: str, event_type: str = "view") -> DataFrame:
+    """One map user → users viewed (or clicked, …) per author. ``k`` has a hundred values, which bounds a list."""
     lists = (
         table(spark, sf_dir, "events")
-        .where("event_type = 'view'")
+        .where(f"event_type = '{event_type}'")
         .selectExpr("CAST(user_id AS string) AS user_id", f"{TARGET} AS friend")
         .groupBy("user_id")
         .agg({"friend": "collect_set"})

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 from cohortgraph import jobs
+from cohortgraph.sources import tables
 from tests.conftest import raw_post, raw_user, write_bz2_array
 
 
@@ -35,6 +36,9 @@ def root(spark, tmp_path, rows):
     friends = tmp_path / "friends_ids" / "XA" / "API" / "102018"
     friends.mkdir(parents=True)
     (friends / "f.json").write_text(json.dumps({"a": ["b", "z"], "q": []}))
+    followers = tmp_path / "followers_ids" / "XA" / "API" / "102018"
+    followers.mkdir(parents=True)
+    (followers / "g.json").write_text(json.dumps({"b": ["a", "y"], "q": []}))
     yield str(tmp_path)
     spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
 
@@ -80,10 +84,16 @@ def test_sampling_loop(spark, root, bag):
     assert table("preprocessing/stats/XA") == [(1, 1, 1, 0, 0)]
     run("post_urls", "--countries", "XA", "XB")
     assert table("preprocessed/urls/country_short=XB") == [("4", "u4")]
-    run("network_batch", "--countries", "XA")
+    run("network_batch", "--countries", "XA", "XB", "XC")
     assert bag(spark.read.csv(f"{root}/friends_ids/XA/batch.csv", header=True)) == [("b",), ("c",)]
-    run("network_batch", "--countries", "XB")
     assert bag(spark.read.csv(f"{root}/friends_ids/XB/batch.csv", header=True)) == [("d",)]
+    assert tables.read_ids_csv(spark, f"{root}/friends_ids/XC/batch.csv").collect() == []
+    run("network_batch", "--countries", "XA", "--relation", "followers")
+    assert bag(spark.read.csv(f"{root}/followers_ids/XA/batch.csv", header=True)) == [("a",), ("c",)]
+    run("network_work", "--countries", "XA", "--relation", "followers", "--shards", "2", "--hash-shards")
+    assert table("followers_ids/XA/work", "user_id") == [("a",), ("c",)]
+    run("follow_edges", "--countries", "XA", "XB")
+    assert table("preprocessed/follows") == [("a", "b", "XA"), ("a", "z", "XA"), ("y", "b", "XA")]
     run("friend_edges", "--countries", "XA")
     assert table("friends_ids/XA/edges") == [("a", "b"), ("a", "z")]
     run("pull_manifest")

@@ -191,6 +191,21 @@ def test_network_batch(rows, bag):
     assert bag(batches.network_batch(users, stored, "XA")) == [("1",)]
 
 
+def test_network_batches(rows, bag):
+    users = rows("user_id string, country_short string", ("1", "XA"), ("1", "XB"), ("2", "XA"), ("2", "XA"), ("3", "XC"), (None, "XB"), ("4", None))
+    lists = rows("country_short string, user_id string", ("XA", "1"), ("XA", "1"), ("XB", None), ("XC", "2"))
+    assert bag(batches.network_batches(users, lists, ["XA", "XB"])) == [("XA", "2"), ("XB", None), ("XB", "1")]
+
+
+def test_follow_edges(rows, bag):
+    schema = "country_short string, user_id string, friend_ids array<string>"
+    friends = rows(schema, ("XA", "1", ["2", "3", "2"]), ("XB", "1", ["2"]), ("XA", "4", []), ("XA", "5", None))
+    followers = rows(schema, ("XA", "2", ["1", "9"]), ("XA", "4", None))
+    expected = [("XA", "1", "2"), ("XA", "1", "3"), ("XA", "9", "2"), ("XB", "1", "2")]
+    assert bag(links.follow_edges(friends, followers, "country_short")) == expected
+    assert bag(links.follow_edges(friends.limit(0), followers)) == [("1", "2"), ("9", "2")]
+
+
 MENTIONS = "user_id string, tweet_mentioned_user_id array<string>"
 
 
