@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortgraph.llm import crf, pitman_yor, rule_ensemble
 from cohortgraph.llm.common import documents
@@ -86,6 +87,18 @@ def test_quality_of_held_out_documents(spark):
     assert np.mean([p == y for p, y in held]) > 0.9
 
 
+def test_a_thinned_sample_is_that_of_the_smallest_hashes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(rule_ensemble, "fit", lambda x, y: seen.append((x.tolist(), y.tolist())))
+    monkeypatch.setattr(rule_ensemble, "SAMPLE", 300)
+    table = spark.range(4000).select("id", *(F.rand(j).alias(c) for j, c in enumerate(rule_ensemble.STATISTICS))).withColumnRenamed("id", "doc_id")
+    labels = spark.range(4000).selectExpr("id AS doc_id", "id % 2 AS quality")
+    for times in (3, 10**6):
+        monkeypatch.setattr(rule_ensemble, "THINNED", times)
+        rule_ensemble.learned(table, labels)
+    assert seen[0] == seen[1] and len(seen[0][1]) == 300
+
+
 def test_compiled_rules_equal_the_model(spark):
     draw = np.random.default_rng(2)
     x = draw.random((400, len(rule_ensemble.STATISTICS)))
