@@ -485,7 +485,7 @@ def landing_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     sinks.write_json(_laid_out(given.raw_posts(spark, sf)), path, max_records=RECORDS_PER_FILE, columns=LAYOUT)
     good, _ = landing.read_posts(spark, f"{path}/*/*/*/*.bz2", multi_line=False)
     posts = _comparable_posts(flatten_posts(good.drop("source_file")))
-    return posts
+    return landing.unpacked(posts, "posts")
 
 
 @query("landing_files")

@@ -96,6 +96,32 @@ def test_reading_starts_no_job(spark, zone):
     assert good.count() == 4 and bad.count() == 1
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_a_record_is_parsed_once(spark, tmp_path, multi_line):
+    """The filter on the id does not parse again."""
+    (tmp_path / "a.json").write_text('{"id_str": "1"}\n')
+    for records in landing.read_posts(spark, str(tmp_path), multi_line=multi_line):
+        parser = "variant_get(" if multi_line else "from_json("
+        assert records._jdf.queryExecution().executedPlan().toString().count(parser) == 1
+
+
+def test_landing_files_are_unpacked_in_even_tasks(spark, tmp_path, monkeypatch, bag):
+    """A large and many small files: tasks get bytes, not files, alike; the session keeps its own settings."""
+    for i in range(12):
+        n = 4000 if i == 0 else 1
+        (tmp_path / f"{i}.json").write_text("".join(json.dumps(raw_post(f"{i}-{j}")) + "\n" for j in range(n)))
+    own = {key: spark.conf.get(key) for key in landing.SPLITS}
+    monkeypatch.setattr(landing, "SPLITS", dict.fromkeys(landing.SPLITS, "100000b"))
+    good, _ = landing.read_posts(spark, str(tmp_path), multi_line=False)
+    posts = landing.unpacked(good.withColumn("task", F.spark_partition_id()))
+    assert posts.count() == 4011 and bag(posts.groupBy("id_str").count().where("count > 1")) == []
+    shares = [r["count"] for r in posts.groupBy("task").count().collect()]
+    assert len(shares) > 6 and max(shares) < 1000
+    staged, _ = landing.staged(landing.read_landing(spark, str(tmp_path), RAW_POST, multi_line=False), f"{tmp_path}-staged")
+    assert staged.count() == 4011 and len(staged.inputFiles()) > 6
+    assert {key: spark.conf.get(key) for key in landing.SPLITS} == own
+
+
 def test_drift_is_counted_by_path_and_type(spark, tmp_path):
     posts = [raw_post("1"), raw_post("2", lang=3), raw_post("3", extra={"x": 1}, coordinates={"coordinates": [1, 2.5]})]
     posts += [raw_post("4", user=None, entities={"urls": [{"expanded_url": "u"}, {"expanded_url": 5}]}, place={"id": 7}), 5]
@@ -180,6 +206,17 @@ def test_json_is_rolled(spark, tmp_path):
     assert len(files) == 3 and spark.read.json(f"{tmp_path}/out").count() == 10
 
 
+def test_one_directory_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    """A task compresses a bounded share, whatever the session's advisory size is; that stays as it was."""
+    monkeypatch.setattr(sinks, "JSON_TASK_BYTES", 100_000)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    own = spark.conf.get(key)
+    posts = spark.range(20_000, numPartitions=8).selectExpr("id", "sha2(CAST(id AS string), 256) AS text", "'XA' AS country")
+    sinks.write_json(posts, f"{tmp_path}/out", columns=["country"])
+    assert len(list(tmp_path.glob("out/country=XA/*.bz2"))) > 4 and spark.conf.get(key) == own
+    assert spark.read.json(f"{tmp_path}/out").distinct().count() == 20_000
+
+
 def test_file_count(spark, tmp_path):
     sinks.write_table(spark.range(1000), f"{tmp_path}/t", n_files=3)
     assert len(list(tmp_path.glob("t/*.parquet"))) == 3
