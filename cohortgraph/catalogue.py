@@ -497,6 +497,7 @@ def landing_files(spark: SparkSession, sf: str) -> DataFrame:
     # Parts of the path, checked against what the record itself says of its pull.
     located = landing.with_path_parts(landing.good_records(records), landing.files_under(spark, f"{path}/*/*/*/*.bz2"))
     said = _laid_out(located).groupBy("country_short", "pull_date", "pull_type", *LAYOUT).agg(F.count(F.lit(1)).alias("n"))
+    said = landing.unpacked(said)
     agree = F.lit(True)
     for ours, theirs in zip(("country_short", "pull_date", "pull_type"), LAYOUT, strict=True):
         agree = agree & F.col(ours).eqNullSafe(F.col(theirs))

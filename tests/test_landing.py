@@ -1,11 +1,14 @@
 """Reading and writing files."""
 
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from cohortgraph import sinks
+from cohortgraph import standin as given
+from cohortgraph.catalogue import QUERIES
 from cohortgraph.functions.columns import flatten_posts
 from cohortgraph.plans import links
 from cohortgraph.plans.extract import extract_posts
@@ -122,6 +125,25 @@ def test_landing_files_are_unpacked_in_even_tasks(spark, tmp_path, monkeypatch,
     assert {key: spark.conf.get(key) for key in landing.SPLITS} == own
 
 
+@pytest.mark.parametrize("name", ["landing_round_trip", "landing_files"])
+def test_landing_queries_read_their_files_at_once(spark, tmp_path, rows, name):
+    """What is given back reads the unpacked records, and parses nothing."""
+    tables_of = {
+        "region": [(0, "AFRICA")],
+        "nation": [(5, "ETHIOPIA", 0)],
+        "customer": [(1, "Customer#1", 5, 10.0, "BUILDING")],
+        "events": [(i, datetime(2024, 1, 1 + i % 2), 1, ("view", "signup")[i % 2], 1.5, '{"k": 7}') for i in range(6)],
+    }
+    for table, values in tables_of.items():
+        rows(given.SCHEMAS[table], *values).write.parquet(f"{tmp_path}/{table}.parquet")
+    found = QUERIES[name](spark, str(tmp_path))
+    assert "from_json" not in found._jdf.queryExecution().executedPlan().toString()
+    if name == "landing_files":
+        assert sorted(map(tuple, found.collect())) == [("XA", "012024", "full", 3, 3), ("XA", "022024", "update", 3, 3)]
+    else:
+        assert sorted(r["tweet_id"] for r in found.collect()) == list("012345")
+
+
 def test_drift_is_counted_by_path_and_type(spark, tmp_path):
     posts = [raw_post("1"), raw_post("2", lang=3), raw_post("3", extra={"x": 1}, coordinates={"coordinates": [1, 2.5]})]
     posts += [raw_post("4", user=None, entities={"urls": [{"expanded_url": "u"}, {"expanded_url": 5}]}, place={"id": 7}), 5]
