@@ -3,12 +3,16 @@
 import math
 import os
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortgraph.llm import crf, pitman_yor, rule_ensemble
 from cohortgraph.llm.common import documents
@@ -79,6 +83,73 @@ def test_seating_of_two_customers_follows_the_restaurant():
     assert got == pytest.approx(new / (new + 1 - d), abs=0.02)
 
 
+def dealt_here(monkeypatch, texts, n):
+    """What ``dealt`` gives for one task's texts, run in this process, where memory can be traced."""
+
+    class Docs:
+        schema = T.StructType([T.StructField("doc_id", T.LongType())])
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, work, _):
+            return work
+
+    class Context(Docs):
+        get, partitionId = staticmethod(lambda: Context), staticmethod(lambda: 0)
+
+    monkeypatch.setattr("pyspark.TaskContext", Context)
+    work = pitman_yor.dealt(Docs(), np.array([], np.uint64), n)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    return work(iter([batch]))
+
+
+def test_memory_of_a_task_is_a_small_multiple_of_its_tokens(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, (1e4 * rng.random(500) ** 4).astype(int))) for _ in range(1200)]
+    tokens = 501 * len(texts)
+    monkeypatch.setattr(pitman_yor, "SLICE_BYTES", 1 << 17)
+    tracemalloc.start()
+    try:
+        batches = dealt_here(monkeypatch, texts, 16)
+        first, kept = next(batches), 0
+        rows = [first.filter(pc.equal(first["bucket"], 0))]
+        for batch in batches:
+            kept = max(kept, batch.nbytes)
+            rows.append(batch.filter(pc.equal(batch["bucket"], 0)))
+        most_dealt = tracemalloc.get_traced_memory()[1]
+        table = pa.Table.from_batches(rows)
+        tracemalloc.reset_peak()
+        began = tracemalloc.get_traced_memory()[0]
+        bucket = pitman_yor.Bucket(table, np.array([], np.uint64), 16, 0)
+        most_seated = tracemalloc.get_traced_memory()[1] - began
+    finally:
+        tracemalloc.stop()
+    assert kept <= 2 * pitman_yor.BATCH_BYTES
+    assert most_dealt < 110 * tokens
+    assert most_seated < 160 * len(bucket.word_of)
+
+
+def test_a_bucket_given_its_seats_is_the_seated_one(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(map(str, rng.integers(0, 30, 60))) for _ in range(200)]
+    for batch in dealt_here(monkeypatch, texts, 1):
+        table = pa.Table.from_batches([batch])
+        seated = pitman_yor.Bucket(table, np.array([], np.uint64), 1, 0)
+        monkeypatch.setattr(pitman_yor, "_reseat", None)
+        again = pitman_yor.Bucket(table, np.array([], np.uint64), 1, 0, seated.seats)
+        assert (seated.t == again.t).all() and (seated.t_v == again.t_v).all() and (seated.t[seated.c > 1] > 3).any()
+
+
+def test_buckets_without_pairs_or_words(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b a b c"), (2, "b c"), (3, None), (4, "c c c c")], "doc_id long, text string").coalesce(1)
+    few = sorted(pitman_yor.scored(docs).collect())
+    monkeypatch.setattr(pitman_yor, "BUCKET_TOKENS", 1)
+    many = sorted(pitman_yor.scored(docs).collect())
+    for a, b in zip(few, many, strict=True):
+        assert a[:5] == b[:5] and b.base_score == pytest.approx(a.base_score, rel=1e-9) and -100 < b.score < 0
+
+
 def test_quality_of_held_out_documents(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
     found = rule_ensemble.op9_rule_ensemble(spark, SF_DIR).collect()
