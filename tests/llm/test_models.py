@@ -125,7 +125,7 @@ def test_memory_of_a_task_is_a_small_multiple_of_its_tokens(monkeypatch):
         most_seated = tracemalloc.get_traced_memory()[1] - began
     finally:
         tracemalloc.stop()
-    assert most_dealt < 110 * tokens
+    assert most_dealt < 70 * tokens
     assert most_seated < 160 * len(bucket.word_of)
     assert kept <= 2 * pitman_yor.BATCH_BYTES
 
