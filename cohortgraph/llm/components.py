@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortgraph.llm.common import keep
+from cohortgraph.llm.common import keep, unsent
 
 
 def _smallest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -20,14 +20,15 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Rounds of large stars and small stars: larger neighbours, then smaller ones, are hung on
     a node's smallest neighbour, until nothing moves; rounds grow with the logarithm of the
     size. Neighbours are reduced to their minimum before the shuffle and never gathered, so a
-    node with very many is no hot group. Two numbers a round reach the driver.
+    node with very many is no hot group. Two numbers a round reach the driver,
+    and nothing is broadcast.
     """
     found, before = keep(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"), None
     for _ in range(max_rounds):
         for large in (True, False):
             both, low = _smallest(found)
             kept = F.col("b") > F.col("a") if large else F.col("b") <= F.col("a")
-            hung = both.join(low, "a").where(kept).select(F.col("b").alias("x"), F.col("low").alias("y"))
+            hung = both.join(unsent(low), "a").where(kept).select(F.col("b").alias("x"), F.col("low").alias("y"))
             if not large:
                 hung = hung.unionByName(low.select(F.col("a").alias("x"), F.col("low").alias("y")))
             found = hung.where("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()

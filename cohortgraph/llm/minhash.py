@@ -17,6 +17,9 @@ estimated, by counting bits.
    still grow with the square of a bucket are texts that are nearly as alike as the threshold
    and not linked.
 
+No join broadcasts a side: all sides grow with the texts, and the band keys of a document, a row each, count
+as one row in Spark's sizes.
+
 Band width follows from the threshold: a pair just at it is missed by all bands with
 probability below one in a million.
 
@@ -37,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortgraph.llm.common import documents, guarded, keep
+from cohortgraph.llm.common import documents, guarded, keep, unsent
 from cohortgraph.llm.components import components
 from cohortgraph.llm.hashing import hashed_texts, mix, slices, texts_of
 
@@ -174,7 +177,7 @@ def similar_enough(percent: int) -> Column:
 
 def whole_sets(ids: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """(id, set), one row for each of ``ids``; ``docs`` has (id, text), where rows may be repeated."""
-    return sets_of(docs.join(ids, "id", "left_semi"), shingle).groupBy("id").agg(F.min("set").alias("set"))
+    return sets_of(docs.join(unsent(ids), "id", "left_semi"), shingle).groupBy("id").agg(F.min("set").alias("set"))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -185,8 +188,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     right = sets.select(F.col("id").alias("b"), F.col("set").alias("_right"))
     shared = F.size(F.array_intersect("_left", "_right"))
     return (
-        pairs.join(left, "a")
-        .join(right, "b")
+        pairs.join(unsent(left), "a")
+        .join(unsent(right), "b")
         .select("a", "b", shared.alias("n"), (F.size("_left") + F.size("_right")).alias("both"))
         .where(100 * F.col("n") >= percent * (F.col("both") - F.col("n")))
         .select("a", "b")
@@ -210,9 +213,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     signs = classes.select("id", "_size", "_bands", *PLANES)
     joined = _linked(classes.select("id", F.explode("_bands").alias("key")), signs, texts, shingle, percent)
 
-    of_class = classes.select("_digest", "id").join(joined, "id", "left")
+    of_class = classes.select("_digest", "id").join(unsent(joined), "id", "left")
     of_class = of_class.select("_digest", F.coalesce("component", "id").alias("_component"))
-    found = table.drop("_bands", *PLANES).join(of_class, "_digest", "left")
+    found = table.drop("_bands", *PLANES).join(unsent(of_class), "_digest", "left")
     alone = F.col("_size") == 0
     return found.withColumn("_component", F.when(alone, F.col("doc_id")).otherwise(F.col("_component"))).drop("_digest")
 
@@ -220,36 +223,36 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 def _linked(members: DataFrame, signs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(id, component) of all ids with a link, out of their band keys ``members`` (id, key)."""
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = members.join(sizes, "key")
+    shared = members.join(unsent(sizes), "key")
     fame = shared.groupBy("id").agg(F.struct(F.sum("n").alias("n"), (-F.col("id")).alias("of")).alias("fame"))
-    famous = keep(shared.select("key", "id").join(fame, "id"), "members")
+    famous = keep(shared.select("key", "id").join(unsent(fame), "id"), "members")
     hubs = famous.groupBy("key").agg((-F.max("fame").getField("of")).alias("hub"))
-    held = keep(famous.select("key", "id").join(hubs, "key"), "members")
+    held = keep(famous.select("key", "id").join(unsent(hubs), "key"), "members")
 
     to_hub = held.where("id != hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     x, y = signs.alias("x"), signs.alias("y")
-    likely = to_hub.join(x, F.col("a") == F.col("x.id")).join(y, (F.col("b") == F.col("y.id")) & similar_enough(percent))
+    likely = to_hub.join(unsent(x), F.col("a") == F.col("x.id")).join(unsent(y), (F.col("b") == F.col("y.id")) & similar_enough(percent))
     tried = keep(likely.select("a", "b"), "pairs")
     links = keep(confirmed(tried, texts, shingle, percent), "links")
     joined = components(links)
 
-    rows = held.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = held.join(unsent(joined), "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows = keep(rows, "members")
     mixed = rows.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.max(F.when(F.col("id") == F.col("hub"), F.col("component"))).alias("main"),
     ).where("low != high").select("key", "main")
-    rows = keep(rows.drop("hub").join(mixed, "key").join(signs, "id"), "mixed")
+    rows = keep(rows.drop("hub").join(unsent(mixed), "key").join(unsent(signs), "id"), "mixed")
     x, y = rows.where("component != main").alias("x"), rows.alias("y")
     across = x.join(
-        y,
+        unsent(y),
         (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
         & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))) & similar_enough(percent)
         # A pair comes out of the first of the buckets that it shares.
         & (F.col("x.key") == F.array_min(F.array_intersect("x._bands", "y._bands"))),
     )
     rest = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    rest = keep(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
+    rest = keep(rest.join(unsent(tried), ["a", "b"], "left_anti"), "pairs")
     if rest.isEmpty():
         return joined
     more = keep(confirmed(rest, texts, shingle, percent), "links")
@@ -265,7 +268,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     found = near_duplicates(docs.select("doc_id", "text"))
     stays = found.where("_size = 0 OR doc_id = _component").select("doc_id").distinct()
-    known = docs.join(stays, "doc_id", "left_semi")
+    known = docs.join(unsent(stays), "doc_id", "left_semi")
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     first = F.min(F.struct(*rest, "text")).alias("_first")
     known = known.groupBy("doc_id", F.xxhash64("text").alias("_of")).agg(first).select("doc_id", "_first.*")

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from cohortgraph.llm import minhash
+from cohortgraph.llm import components, minhash
 from cohortgraph.llm.minhash import band_width, near_duplicates, stage
 
 
@@ -78,6 +78,20 @@ def test_hot_group_of_near_copies(spark, monkeypatch, edits, n):
     assert sum(checked) < 40 * n
 
 
+@pytest.mark.parametrize("percent", [85, 60])
+def test_nothing_is_broadcast(spark, monkeypatch, percent):
+    """Band keys are many rows a text, which Spark counts as one: a side that it finds small may fill the driver."""
+    plans, keep = [], minhash.keep
+    planned = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    for module in (components, minhash):
+        monkeypatch.setattr(module, "keep", lambda df, name: (planned(df), keep(df, name))[1])
+    docs = spark.createDataFrame(corpus(5), "doc_id long, text string")
+    planned(near_duplicates(docs, 3, percent))
+    planned(stage(spark, docs, ""))
+    assert len(plans) > 20 and sum("SortMergeJoin" in p for p in plans) > 8
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 def test_bands_miss_less_than_one_in_a_million():
     for percent in (60, 80, 85, 95):
         r = band_width(percent)
