@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortgraph.llm.common import content_key, documents, guarded, keep
+from cohortgraph.llm.common import content_key, documents, guarded, keep, unsent
 from cohortgraph.llm.hashing import word_hashes
 
 MIN_WORDS = 8
@@ -223,7 +223,7 @@ def dedup_units(docs: DataFrame, find: Find = keyed_units) -> DataFrame:
     # Keys are twice the offset, and one more for a run.
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "start")
     firsts = table.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).where("n > 1")
-    again = table.join(firsts.select("digest", "first"), "digest").where(
+    again = table.join(unsent(firsts.select("digest", "first")), "digest").where(
         ~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
         | (F.col("_row") != F.col("first._row"))
         # A unit and a run that begin at one place are one passage.
@@ -235,7 +235,7 @@ def dedup_units(docs: DataFrame, find: Find = keyed_units) -> DataFrame:
         .select(F.col("doc_id").alias("_of"), F.col("_row").alias("_of_row"), F.col("c.start").alias("_cuts"), F.col("c.kept_in").alias("_kept_in"))
     )
     same = (F.col("_row") == F.col("_of_row")) & F.col("doc_id").eqNullSafe(F.col("_of"))
-    marked = docs.join(keep(cuts, "cuts"), same, "left").drop("_of", "_of_row")
+    marked = docs.join(unsent(keep(cuts, "cuts")), same, "left").drop("_of", "_of_row")
     return without_spans(marked.withColumn("_kept_in", F.coalesce("_kept_in", F.array().cast("array<bigint>"))), find).drop("_cuts")
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortgraph.llm.common import GAP_CLASS, WORD, content_key, documents, guarded, keep, let
+from cohortgraph.llm.common import GAP_CLASS, WORD, content_key, documents, guarded, keep, let, unsent
 
 WEIGHTS = (3, 1, 2)
 #: All targets together in halves of all sizes, and the most of a source in times its size.
@@ -149,7 +149,7 @@ def taken_parts(spark: SparkSession, sized: DataFrame) -> tuple[DataFrame, DataF
         F.explode(F.sequence(F.floor(F.col("offset") / F.col("block")), F.floor((last - 1) / F.col("block")))).alias("block_no"),
     )
     begin = F.col("block_no") * F.col("block")
-    parts = held.join(slots(spark, sources), ["sid", "block_no"]).select(
+    parts = held.join(unsent(slots(spark, sources)), ["sid", "block_no"]).select(
         "_row", "turn", "shard",
         (F.greatest(F.col("offset"), begin) - F.col("offset")).alias("start"),
         (F.least(last, begin + F.col("block")) - F.col("offset")).alias("end"),

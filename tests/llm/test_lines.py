@@ -51,6 +51,17 @@ def test_equals_a_plain_loop(spark):
     assert found == plain(docs) and any(found.values())
 
 
+def test_units_and_cuts_are_not_broadcast(spark, monkeypatch):
+    plans = []
+    planned = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    lines = importlib.import_module("cohortgraph.llm.lines")
+    keep = lines.keep
+    monkeypatch.setattr(lines, "keep", lambda df, name: (planned(df), keep(df, name))[1])
+    docs = spark.createDataFrame(corpus(2), "doc_id long, text string").withColumn("_row", content_key())
+    planned(dedup_units(docs))
+    assert sum("SortMergeJoin" in p for p in plans) == 2 and not [p for p in plans if "Broadcast" in p]
+
+
 def test_a_passage_inside_other_lines_stays_once(spark):
     draw = random.Random(2)
     shared = ". ".join(passage(draw, 15) for _ in range(4)) + "."

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cohortgraph.llm.mixing import op8_mixing, stage
+from cohortgraph.llm.mixing import op8_mixing, sizes, stage, taken_parts
 
 
 def test_targets_and_caps(spark, tables):
@@ -35,6 +35,15 @@ def test_stage_repeats_and_cuts(spark):
     assert found.exceptAll(stage(spark, docs, "")).count() == 0
 
 
+def test_blocks_and_slots_meet_in_a_shuffle(spark, tables):
+    """Both are a row for each block of words, exploded from few rows: neither may be sent to the driver."""
+    docs = spark.createDataFrame([(i, "w " * 3000, f"s{i % 2}") for i in range(40)], "_row long, text string, source string")
+    _, parts = taken_parts(spark, sizes(docs.withColumn("doc_id", F.col("_row"))).drop("text"))
+    plan = lambda: parts._jdf.queryExecution().executedPlan().toString()
+    assert parts.agg(F.sum(F.col("end") - F.col("start"))).first()[0] > 0
+    assert any("SortMergeJoin" in line and "block_no" in line for line in plan().splitlines())
+
+
 def test_stage_on_odd_documents(spark, odd_documents):
     assert stage(spark, odd_documents, "").columns == odd_documents.columns
     assert stage(spark, odd_documents.limit(0), "").collect() == []
