@@ -83,6 +83,39 @@ def test_seating_of_two_customers_follows_the_restaurant():
     assert got == pytest.approx(new / (new + 1 - d), abs=0.02)
 
 
+def law_of_tables(n, others, base, d):
+    """Probabilities of 1 to n tables of n customers of one word, by adding up all their seatings one customer at a time."""
+    sums = [1.0]
+    for seated in range(1, n):
+        joins = [s * (seated - d * t) for t, s in enumerate(sums, 1)] + [0.0]
+        opens = [0.0] + [s * base * (pitman_yor.STRENGTH + d * (others + t)) for t, s in enumerate(sums, 1)]
+        sums = [a + b for a, b in zip(joins, opens, strict=True)]
+        total = sum(sums)
+        sums = [s / total for s in sums]
+    return np.array(sums)
+
+
+@pytest.mark.parametrize(("n", "base", "d"), [(2, 0.2, 0.5), (20, 0.3, 0.7), (33, 0.3, 0.7), (200, 0.02, 0.5), (300, 0.5, 0.3), (2000, 0.01, 0.9)])
+def test_tables_of_pairs_of_any_size_follow_the_sum_over_all_seatings(n, base, d):
+    """Each pair alone in its restaurant, so that moves at once change nothing."""
+    pairs = 3000
+    sweeps = pitman_yor._reseat(np.full(pairs, n), np.arange(pairs), pairs, np.full(pairs, base), d, np.random.default_rng(5))
+    found = [next(sweeps).copy() for _ in range(25)][-1]
+    law = law_of_tables(n, 0, base, d)
+    got = np.bincount(found, minlength=n + 1)[1:] / pairs
+    assert np.abs(np.cumsum(got) - np.cumsum(law)).max() < 0.035
+
+
+@pytest.mark.parametrize(("n", "others", "base", "d"), [(33, 0, 0.99, 0.95), (400, 10_000, 0.2, 0.05), (3000, 50, 0.9, 0.2), (3000, 20_000, 0.003, 0.8)])
+def test_no_number_of_tables_that_counts_is_out_of_reach(n, others, base, d):
+    counts = pitman_yor.Counts(np.full(5000, n), d)
+    found = counts.draw(np.full(5000, others), np.full(5000, base), np.random.default_rng(6))
+    law = law_of_tables(n, others, base, d)
+    assert law[counts.reach[0] :].sum() < 1e-12
+    got = np.bincount(found, minlength=n + 1)[1:] / len(found)
+    assert np.abs(np.cumsum(got) - np.cumsum(law)).max() < 0.03
+
+
 def dealt_here(monkeypatch, texts, n):
     """What ``dealt`` gives for one task's texts, run in this process, where memory can be traced."""
 
