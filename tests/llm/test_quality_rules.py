@@ -62,6 +62,14 @@ def test_small_groups_borrow(spark):
     assert limits[("en", "b")] <= limits[("en", "a")] * 1.02 and limits[("fr", "a")] <= limits[("en", "a")] * 1.02
 
 
+def test_limits_of_sources_are_not_broadcast(spark):
+    """They are four rows a source, of which there may be as many as sites; those of languages are few."""
+    limits = thresholds(measured(documents(spark, SF_DIR).select("text", "lang", "source")))
+    plan = limits._jdf.queryExecution().executedPlan().toString()
+    assert [line for line in plan.splitlines() if "SortMergeJoin" in line and "lang_key" in line and "measure" in line]
+    assert plan.count("BroadcastExchange") <= 1 < limits.count()
+
+
 def test_each_text_is_measured_once_a_pass(spark):
     plan = quality_filter(documents(spark, SF_DIR))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("xxhash64") == 1
